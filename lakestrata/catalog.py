@@ -26,7 +26,8 @@ def recreate_table(
 ) -> None:
     """Declare an external Parquet table anew. Files at ``location`` stay as they are.
 
-    Folders of a partitioned table are picked up at once. ``columns`` may use
+    A partitioned table is empty until its folders are picked up by
+    :func:`refresh_partitions` or written by an insert. ``columns`` may use
     VARCHAR(n): an insert of longer text then fails.
     """
     name = qualified(database, table)
@@ -38,8 +39,6 @@ def recreate_table(
         + (f" PARTITIONED BY ({partitioned_by})" if partitioned_by else "")
         + f" LOCATION '{location}'"
     )
-    if partitioned_by:
-        refresh_partitions(spark, database, table)
 
 
 def refresh_partitions(spark: SparkSession, database: str, table: str) -> None:

@@ -25,12 +25,11 @@ CARRIED = ("birth_date", "age", "phone_number")
 def register_silver(spark: SparkSession, lake: Layout, database: str = "silver") -> None:
     """Declare the silver directories as tables; safe to repeat."""
     catalog.create_database(spark, database, lake.warehouse(database))
-    for table, columns, day in (
-        ("customers", schemas.SILVER_CUSTOMERS, None),
-        ("user_profiles", schemas.SILVER_PROFILES, None),
-        ("sales", schemas.SILVER_SALES, "purchase_date"),
+    for table, columns in (
+        ("customers", schemas.SILVER_CUSTOMERS),
+        ("user_profiles", schemas.SILVER_PROFILES),
     ):
-        catalog.recreate_table(spark, database, table, columns, lake.silver(table), day)
+        catalog.recreate_table(spark, database, table, columns, lake.silver(table))
 
 
 def enrich_customers(
@@ -130,7 +129,7 @@ def load_gold_sales(
             database,
             "sales",
             schemas.GOLD_SALES,
-            f"{lake.warehouse(database)}/sales-{first}-{last}",
+            f"{lake.warehouse(database)}/sales",
             "purchase_date",
             {"partitionOverwriteMode": "dynamic"},
         )

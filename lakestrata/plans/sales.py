@@ -59,8 +59,15 @@ def raw_to_bronze(spark: SparkSession, lake: Layout) -> None:
     write_parquet(bronze_sales(raw), lake.bronze("sales"))
 
 
-def bronze_to_silver(spark: SparkSession, lake: Layout) -> Observation:
-    """Rewrite all of silver; returns ``rows_in`` and ``rows_accepted`` of the pass."""
+def bronze_to_silver(
+    spark: SparkSession, lake: Layout, *, clustered: bool = True
+) -> Observation:
+    """Rewrite all of silver; returns ``rows_in`` and ``rows_accepted`` of the pass.
+
+    Raw files come in one folder per day and bronze keeps their order, so each
+    task already holds few days and the rows are written without a shuffle.
+    Unset ``clustered`` when the folders mix many days.
+    """
     marked = typed_sales(read_parquet(spark, lake.bronze("sales"), BRONZE))
     counted, counts = observed(
         marked,
@@ -68,7 +75,9 @@ def bronze_to_silver(spark: SparkSession, lake: Layout) -> Observation:
         rows_in=F.count(F.lit(1)),
         rows_accepted=F.count_if(F.col(REJECT_REASON).isNull()),
     )
-    write_partitioned(accepted_rows(counted), lake.silver("sales"), "purchase_date")
+    write_partitioned(
+        accepted_rows(counted), lake.silver("sales"), "purchase_date", clustered=clustered
+    )
     return counts
 
 

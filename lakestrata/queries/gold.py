@@ -86,9 +86,6 @@ def silver_lake(spark: SparkSession, sf_dir: str) -> Layout:
 def gold_profiles_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver tables from the catalog, enriched, and loaded into the typed gold table."""
     lake, silver_db, gold_db = silver_lake(spark, sf_dir), fresh_database("s"), fresh_database("g")
-    write_partitioned(
-        sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date"
-    )
     run_all.enrich(spark, lake, as_of(), silver_db, gold_db)
     stamp = F.col("updated_at").cast("timestamp_ntz")
     return read_table(spark, gold_db, "user_profiles_enriched").withColumn("updated_at", stamp)
@@ -111,25 +108,31 @@ def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_sales_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten days of silver into the typed sales table; the second half is loaded twice."""
     lake, gold_db = new_lake(spark), fresh_database("g")
-    write_partitioned(sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date")
+    write_partitioned(
+        sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date", clustered=True
+    )
     gold.load_gold_sales(spark, lake, FIRST, LAST, gold_db)
     middle = FIRST + (LAST - FIRST) / 2
     gold.load_gold_sales(spark, lake, middle, LAST, gold_db, append=True)
     return read_table(spark, gold_db, "sales")
 
 
-@query("SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS order_day FROM orders")
+@query(
+    "SELECT o_orderkey, o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month "
+    "FROM orders"
+)
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files by day registered as a table, dropped, registered again, and read by name."""
+    """Files by month registered as a table, dropped, registered again, and read by name."""
     location, database = working_folder(spark, "orders"), fresh_database("c")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("order_day")
+        "o_orderkey", "o_orderpriority", F.trunc("o_orderdate", "month").alias("month")
     )
-    write_partitioned(rows, location, "order_day")
+    write_partitioned(rows, location, "month")
     catalog.create_database(spark, database, working_folder(spark, "database"))
-    columns = "o_orderkey BIGINT, o_orderpriority STRING, order_day DATE"
+    columns = "o_orderkey BIGINT, o_orderpriority STRING, month DATE"
     for _ in range(2):
-        catalog.recreate_table(spark, database, "orders", columns, location, "order_day")
+        catalog.recreate_table(spark, database, "orders", columns, location, "month")
+        catalog.refresh_partitions(spark, database, "orders")
     return read_table(spark, database, "orders")
 
 

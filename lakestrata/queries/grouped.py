@@ -22,18 +22,19 @@ from lakestrata.operators import (
     top_k,
     upsert,
 )
-from lakestrata.queries.inputs import table
+from lakestrata.queries.inputs import single_precision, table
 from lakestrata.queries.registry import query
 
 
 @query(
-    "SELECT event_type, user_id, round(avg(value), 8) AS avg_value FROM events GROUP BY ALL"
+    "SELECT event_type, user_id, CAST(CAST(avg(value) AS REAL) AS DOUBLE) AS avg_value "
+    "FROM events GROUP BY ALL"
 )
 def average_by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     averages = average_by(
         table(spark, sf_dir, "events"), ["event_type", "user_id"], "value", "avg_value"
     )
-    return averages.withColumn("avg_value", F.round("avg_value", 8)).orderBy(
+    return averages.withColumn("avg_value", single_precision("avg_value")).orderBy(
         "event_type", "user_id"
     )
 

@@ -20,6 +20,11 @@ def new_lake(spark: SparkSession) -> Layout:
     return Layout(working_folder(spark, "lake"))
 
 
+def single_precision(name: str) -> Column:
+    """A float average to the digits that do not depend on the order of its additions."""
+    return F.col(name).cast("float").cast("double")
+
+
 def lenient_day(day: Column) -> Column:
     """``2022-09-1``: the day of the month without a leading zero."""
     return F.concat(F.date_format(day, "yyyy-MM-"), F.dayofmonth(day).cast("string"))

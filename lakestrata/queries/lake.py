@@ -20,6 +20,7 @@ from lakestrata.queries.inputs import (
     deliver_profiles,
     deliver_sales,
     new_lake,
+    single_precision,
     table,
 )
 from lakestrata.queries.registry import query
@@ -147,49 +148,52 @@ def parquet_scan_with_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FIRST, LAST = dt.date(1997, 9, 1), dt.date(1997, 9, 10)
+FIRST, LAST = dt.date(1997, 9, 1), dt.date(1998, 2, 1)
+MONTH_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 
 
-def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("order_day")
+        "o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("month")
     )
 
 
 @query(
-    "SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_day FROM orders "
-    f"WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
+    f"SELECT o_orderkey, o_totalprice, {MONTH_SQL} AS month FROM orders "
+    f"WHERE {MONTH_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
 )
 def partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = working_folder(spark, "orders-by-day")
-    write_partitioned(orders_by_day(spark, sf_dir), path, "order_day")
-    return read_partition_range(spark, path, "order_day", FIRST, LAST)
+    path = working_folder(spark, "orders-by-month")
+    write_partitioned(orders_by_month(spark, sf_dir), path, "month")
+    return read_partition_range(spark, path, "month", FIRST, LAST)
 
 
 @query(
-    f"""SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
-      THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-      CAST(o_orderdate AS DATE) AS order_day FROM orders"""
+    f"""SELECT o_orderkey, CASE WHEN {MONTH_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+      THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, {MONTH_SQL} AS month FROM orders"""
 )
 def partition_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten days are written again with other prices; all other days stay as they were."""
+    """Six months are written again with other prices; all others stay as they were."""
     path = working_folder(spark, "orders-replayed")
-    days = orders_by_day(spark, sf_dir)
-    write_partitioned(days, path, "order_day")
-    again = days.where(F.col("order_day").between(FIRST, LAST)).withColumn(
+    months = orders_by_month(spark, sf_dir)
+    write_partitioned(months, path, "month")
+    again = months.where(F.col("month").between(FIRST, LAST)).withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
-    write_partitioned(again, path, "order_day", replay=True)
-    return read_parquet(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, order_day DATE")
+    write_partitioned(again, path, "month", replay=True)
+    return read_parquet(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, month DATE")
 
 
-@query("SELECT p_type, round(avg(p_retailprice), 8) AS avg_price FROM part GROUP BY p_type")
+@query(
+    "SELECT p_type, CAST(CAST(avg(p_retailprice) AS REAL) AS DOUBLE) AS avg_price "
+    "FROM part GROUP BY p_type"
+)
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "csv")
     averages = average_by(table(spark, sf_dir, "part"), ["p_type"], "p_retailprice", "avg_price")
     write_csv(averages.orderBy("p_type"), path)
     back = spark.read.csv(path, "p_type STRING, avg_price DOUBLE", header=True)
-    return back.withColumn("avg_price", F.round("avg_price", 8))
+    return back.withColumn("avg_price", single_precision("avg_price"))
 
 
 @query(

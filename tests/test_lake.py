@@ -1,0 +1,248 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import put
+from lakestrata import catalog, schemas, sinks, sources
+from lakestrata.plans import customers, gold, profiles, question, run_all, sales
+from lakestrata.streaming import ingest_new_sales, refine_new_sales
+
+D = dt.date
+FIRST, LAST = D(2022, 9, 1), D(2022, 9, 10)
+
+SILVER_SALES = [
+    ("Laptop", 4, Decimal("1299.99"), D(2022, 9, 1)),
+    ("TV", 1, Decimal("2000.00"), D(2022, 9, 1)),
+    ("TV", 2, Decimal("1500.50"), D(2022, 9, 1)),
+    ("TV", 2, Decimal("1999.99"), D(2022, 9, 2)),
+    ("TV", 9, Decimal("50.00"), D(2022, 9, 2)),
+]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def as_of(day="2022-09-10"):
+    return F.lit(day).cast("date")
+
+
+def silver_rows(spark, lake):
+    return rows(sources.read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES))
+
+
+def test_sales(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    bronze = sources.read_parquet(spark, shop.bronze("sales"))
+    assert bronze.count() == 11
+    folders = bronze.select(F.element_at(F.split(sources.SOURCE_FILE, "/"), -2)).distinct()
+    assert rows(folders) == [("2022-09-1",), ("2022-09-2",)]
+    counts = sales.bronze_to_silver(spark, shop).get
+    assert counts == {"rows_in": 11, "rows_accepted": 5}
+    assert silver_rows(spark, shop) == SILVER_SALES
+    rejected = sales.rejected_sales(bronze).groupBy("reject_reason").count()
+    assert rows(rejected) == [("bad client_id", 2), ("bad price", 3), ("bad purchase_date", 1)]
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_sales_rerun_gives_the_same(spark, shop, clustered):
+    sales.raw_to_bronze(spark, shop)
+    for _ in range(2):
+        sales.bronze_to_silver(spark, shop, clustered=clustered)
+        assert silver_rows(spark, shop) == SILVER_SALES
+
+
+def test_replay_touches_only_the_given_days(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    sales.bronze_to_silver(spark, shop)
+    put(
+        shop.raw("sales/2022-09-2/late.csv"),
+        "CustomerId,PurchaseDate,Product,Price\n3,2022-09-2,TV,$1\n3,2022-09-1,TV,$1\n",
+    )
+    sales.raw_to_bronze(spark, shop)
+    sales.replay_days(spark, shop, [D(2022, 9, 2)])
+    late = ("TV", 3, Decimal("1.00"), D(2022, 9, 2))
+    assert silver_rows(spark, shop) == sorted([*SILVER_SALES, late], key=repr)
+
+
+def test_daily_increments_take_each_file_once(spark, shop):
+    for _ in range(2):
+        ingest_new_sales(spark, shop)
+        refine_new_sales(spark, shop)
+        assert silver_rows(spark, shop) == SILVER_SALES
+    put(
+        shop.raw("sales/2022-09-3/s.csv"),
+        "CustomerId,PurchaseDate,Product,Price\n3,2022-09-3, TV,$7\nbad,2022-09-3,TV,$7\n",
+    )
+    ingest_new_sales(spark, shop)
+    refine_new_sales(spark, shop)
+    assert sources.read_parquet(spark, shop.bronze("sales")).count() == 13
+    added = ("TV", 3, Decimal("7.00"), D(2022, 9, 3))
+    assert silver_rows(spark, shop) == sorted([*SILVER_SALES, added], key=repr)
+
+
+def test_customers(spark, shop):
+    run_all.process_customers(spark, shop)
+    found = sources.read_parquet(spark, shop.silver("customers"))
+    assert rows(found) == [
+        (1, "Anna", "Lee", "anna.lee@example.com", D(2021, 5, 1), "Texas"),
+        (2, None, "Moore", "bob@ex.com", D(2021, 6, 12), None),
+        (9, None, None, "nine@ex.com", D(2022, 2, 15), "Nevada"),
+    ]
+
+
+def test_dump_day_is_a_date_not_text(spark):
+    df = spark.createDataFrame(
+        [("file:/x/2022-8-10/c.csv",), ("file:/x/2022-08-05/c.csv",), ("file:/x/other/c.csv",)], "f STRING"
+    )
+    days = [r[0] for r in df.select(customers.dump_day(F.col("f"))).collect()]
+    assert days == [D(2022, 8, 10), D(2022, 8, 5), None]
+
+
+def test_profiles(spark, shop):
+    run_all.process_profiles(spark, shop, as_of())
+    found = sources.read_parquet(spark, shop.silver("user_profiles"))
+    assert rows(found) == [
+        ("anna.lee@example.com", "Anna Lee", D(1995, 3, 10), 27, "Texas", "555-0001"),
+        ("bob@ex.com", "Bob Moore", D(2002, 12, 31), 19, "Utah", "555-0002"),
+        ("nine@ex.com", "Nine Van Dyke", None, None, "Iowa", "555-0009"),
+    ]
+    assert found.schema.simpleString() == spark.createDataFrame(
+        [], schemas.SILVER_PROFILES
+    ).schema.simpleString()
+
+
+ENRICHED = [
+    (1, "Anna", "Lee", "anna.lee@example.com", D(2021, 5, 1), "Texas", D(1995, 3, 10), 27, "555-0001"),
+    (2, "Bob", "Moore", "bob@ex.com", D(2021, 6, 12), "Utah", D(2002, 12, 31), 19, "555-0002"),
+    (9, "Nine", "Van Dyke", "nine@ex.com", D(2022, 2, 15), "Iowa", None, None, "555-0009"),
+]
+
+
+def test_whole_run_twice(spark, shop):
+    for _ in range(2):
+        answer = run_all.run_all(
+            spark, shop, "TV", FIRST, LAST, (20, 30), as_of(), "silver_t", "gold_t"
+        )
+        assert rows(answer) == [("Utah", 2)]
+        users = sources.read_table(spark, "gold_t", "user_profiles_enriched")
+        assert rows(users.drop("updated_at")) == ENRICHED
+        assert [r[0] for r in users.select("updated_at").distinct().collect()] == [
+            dt.datetime(2022, 9, 10)
+        ]
+        assert rows(sources.read_table(spark, "gold_t", "sales")) == SILVER_SALES
+    loaded = sources.read_table(spark, "gold_t", "sales")
+    everyone = question.purchases_by_state(
+        question.sales_in_window(loaded, "TV", month=9, days=(1, 10)), users, (20, 30)
+    )
+    assert rows(everyone) == [("Texas", 1), ("Utah", 2)]
+    grown_up = loaded.join(users, "client_id").where(
+        (F.col("product_name") == "TV") & F.col("age").between(20, 30)
+    )
+    assert rows(grown_up.groupBy("state").count()) == [("Texas", 1)]
+
+
+def test_verbatim_names(spark, shop):
+    run_all.process_customers(spark, shop)
+    run_all.process_profiles(spark, shop, as_of())
+    enriched = gold.enrich_customers(
+        sources.read_parquet(spark, shop.silver("customers")),
+        sources.read_parquet(spark, shop.silver("user_profiles")),
+        name_policy="verbatim",
+    )
+    assert rows(enriched.select("client_id", "first_name", "last_name")) == [
+        (1, "Anna", "Lee"), (2, "Bob Moore", "Moore"), (9, "Nine Van Dyke", None)
+    ]
+    with pytest.raises(ValueError):
+        gold.enrich_customers(enriched, enriched, name_policy="other")
+
+
+def test_load_sales_by_days(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    sales.bronze_to_silver(spark, shop)
+    day1, day2 = D(2022, 9, 1), D(2022, 9, 2)
+    assert gold.load_gold_sales(spark, shop, day1, day1, "gold_days") == 3
+    assert gold.load_gold_sales(spark, shop, day2, day2, "gold_days", append=True) == 2
+    assert gold.load_gold_sales(spark, shop, day2, day2, "gold_days", append=True) == 2
+    assert rows(sources.read_table(spark, "gold_days", "sales")) == SILVER_SALES
+    assert gold.load_gold_sales(spark, shop, day2, day2, "gold_days") == 2
+    assert sources.read_table(spark, "gold_days", "sales").count() == 2
+
+
+def test_reconcile_raises_on_loss(spark):
+    with pytest.raises(RuntimeError):
+        gold.reconcile(3, spark.range(2))
+
+
+def test_over_wide_text_is_refused(spark, lake):
+    catalog.create_database(spark, "narrow", lake.warehouse("narrow"))
+    catalog.recreate_table(spark, "narrow", "t", "a VARCHAR(3), b INT", lake.path("x", "t"))
+    catalog.insert_by_name(spark.sql("SELECT 1 AS b, 'abc' AS a"), "narrow", "t")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        catalog.insert_by_name(spark.sql("SELECT 1 AS b, 'abcd' AS a"), "narrow", "t")
+    assert rows(sources.read_table(spark, "narrow", "t")) == [("abc", 1)]
+
+
+def test_external_files_outlive_the_table(spark, lake):
+    spark.range(5).select("id", (F.col("id") % 2).alias("p")).write.partitionBy("p").parquet(
+        lake.path("x", "parts")
+    )
+    catalog.create_database(spark, "ext", lake.warehouse("ext"))
+    for _ in range(2):
+        catalog.recreate_table(
+            spark, "ext", "parts", "id BIGINT, p INT", lake.path("x", "parts"), "p"
+        )
+        assert sources.read_table(spark, "ext", "parts").count() == 0
+        catalog.refresh_partitions(spark, "ext", "parts")
+        assert sources.read_table(spark, "ext", "parts").count() == 5
+
+
+def test_table_replaced_from_itself(spark, lake):
+    catalog.create_database(spark, "self", lake.warehouse("self"))
+    catalog.recreate_table(spark, "self", "t", "id BIGINT", lake.path("x", "v1"))
+    catalog.insert_by_name(spark.range(3), "self", "t")
+    table = sources.read_table(spark, "self", "t")
+    catalog.replace_contents(
+        table.unionAll(table.select(F.col("id") + 10)), "self", "t", lake.path("x", "v2")
+    )
+    assert rows(sources.read_table(spark, "self", "t")) == [(i,) for i in (0, 1, 10, 11, 12, 2)]
+
+
+def test_partition_range_prunes(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    sales.bronze_to_silver(spark, shop)
+    day = D(2022, 9, 2)
+    chosen = sources.read_partition_range(spark, shop.silver("sales"), "purchase_date", day, day)
+    assert rows(chosen) == SILVER_SALES[3:]
+    assert "PartitionFilters: [isnotnull(purchase_date" in chosen._jdf.queryExecution().toString()
+
+
+def test_csv_export_has_headers(spark, lake):
+    sinks.write_csv(spark.createDataFrame([("a", 1.5), (None, None)], "k STRING, v DOUBLE"), lake.path("o", "c"))
+    back = spark.read.csv(lake.path("o", "c"), header=True)
+    assert back.columns == ["k", "v"] and rows(back) == [("a", "1.5"), (None, None)]
+
+
+def test_discovery_merges_columns(spark, lake):
+    base = lake.path("x", "merged")
+    spark.sql("SELECT 1 AS a").write.parquet(f"{base}/d=1")
+    spark.sql("SELECT 2 AS a, 'n' AS b").write.parquet(f"{base}/d=2")
+    spark.sql("SELECT 3 AS a").write.parquet(f"{base}/_temporary/d=3")
+    found = sources.discover_parquet(spark, base)
+    assert sorted(found.columns) == ["a", "b", "d"]
+    assert rows(found.select("a", "b", "d")) == [(1, None, 1), (2, "n", 2)]
+
+
+def test_command_line_steps(spark, shop):
+    run_all.main(["customers", "--root", shop.root])
+    run_all.main(["profiles", "--root", shop.root, "--as-of", "2022-09-10"])
+    run_all.main(["sales", "--root", shop.root])
+    run_all.main(["enrich", "--root", shop.root, "--as-of", "2022-09-10"])
+    run_all.main(
+        ["load-sales", "--root", shop.root, "--first", "2022-09-01", "--last", "2022-09-10"]
+    )
+    assert sources.read_table(spark, "gold", "sales").count() == 5
+    profiled = sources.read_parquet(spark, shop.bronze("user_profiles"), profiles.BRONZE)
+    assert profiled.count() == 5
