@@ -41,6 +41,28 @@ def recreate_table(
     )
 
 
+def discover_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    file_format: str = "parquet",
+    **options: str,
+) -> None:
+    """Declare a table with the columns and partitions found at ``location``.
+
+    Columns of all Parquet files are merged. Run again after new files came:
+    the table then has their columns and folders as well.
+    """
+    name = qualified(database, table)
+    if file_format == "parquet":
+        options = {"mergeSchema": "true", **options}
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=location, source=file_format, **options)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        refresh_partitions(spark, database, table)
+
+
 def refresh_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Bring the catalog in line with the partition folders present."""
     spark.catalog.recoverPartitions(qualified(database, table))

@@ -4,26 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def keep_latest(
-    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column] = ()
-) -> DataFrame:
-    """The newest row per key.
+def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[Column] = ()) -> DataFrame:
+    """The newest row per key: the one with the largest ``newest``, NULL being oldest.
 
     Ties are settled by all remaining columns, so the answer does not depend on
-    how the input was split. The rank filter runs once before the shuffle (a
-    task sends at most one row per key), so a hot key costs no task more than
-    one row per upstream task.
+    how the input was split. It is one aggregate, a maximum over whole rows:
+    every task reduces its rows to one per key before the shuffle, so a key that
+    holds a third of the table costs the last stage one row per upstream task.
     """
-    tie_break = [F.col(c).desc() for c in df.columns if c not in keys]
-    newest = Window.partitionBy(*keys).orderBy(*newest_first, *tie_break)
-    return (
-        df.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    others = [c for c in df.columns if c not in keys]
+    marks = [mark.alias(f"_newest{n}") for n, mark in enumerate(newest)]
+    if not others:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*marks, *others)).alias("_best"))
+    return best.select(*[F.col(c if c in keys else f"_best.{c}") for c in df.columns])
 
 
 def drop_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

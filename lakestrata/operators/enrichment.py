@@ -48,7 +48,7 @@ def upsert(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    newest_first: Sequence = (),
+    newest: Sequence = (),
     *,
     keep_when_null: bool = True,
 ) -> DataFrame:
@@ -63,7 +63,7 @@ def upsert(
     shuffled; only matched keys, at most one per change, decide what is new.
     """
     keys = list(keys)
-    latest = keep_latest(changes.dropna(subset=keys), keys, newest_first)
+    latest = keep_latest(changes.dropna(subset=keys), keys, newest)
     changes = materialize(latest.select(*target.columns), "changes")
 
     flagged = changes.withColumn("_changed", F.lit(True))

@@ -46,7 +46,7 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
     latest = keep_latest(
         require_columns(typed, ["client_id", "email"]),
         ["client_id"],
-        [F.col("_dump_day").desc_nulls_last(), F.col(SOURCE_FILE).desc()],
+        [F.col("_dump_day"), F.col(SOURCE_FILE)],
     )
     return latest.drop("_dump_day", SOURCE_FILE)
 

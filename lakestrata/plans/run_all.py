@@ -78,6 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--first", type=dt.date.fromisoformat, help="first day to load")
     args.add_argument("--last", type=dt.date.fromisoformat, help="last day to load")
     args.add_argument("--product", default="TV")
+    args.add_argument(
+        "--then-enrich", action="store_true", help="after the step 'profiles', go on with 'enrich'"
+    )
     args.add_argument("--documents", help="food documents, for the step 'food'")
     args.add_argument("--output", help="CSV output directory, for the step 'food'")
     given = args.parse_args(argv)
@@ -89,6 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         process_customers(spark, lake)
     elif given.step == "profiles":
         process_profiles(spark, lake, as_of)
+        if given.then_enrich:
+            print(enrich(spark, lake, as_of))
     elif given.step == "sales":
         print(process_sales(spark, lake))
     elif given.step == "enrich":

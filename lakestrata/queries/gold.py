@@ -136,6 +136,23 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, database, "orders")
 
 
+@query(
+    """SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_brand END AS p_brand,
+      CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS batch FROM part"""
+)
+def discovered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table found by looking at its files, and found again when a folder was added."""
+    location, database = working_folder(spark, "found"), fresh_database("c")
+    parts, large = table(spark, sf_dir, "part"), F.col("p_size") > 25
+    catalog.create_database(spark, database, working_folder(spark, "database"))
+    parts.where(~large).select("p_partkey", "p_name").write.parquet(f"{location}/batch=small")
+    catalog.discover_table(spark, database, "part", location)
+    wider = parts.where(large).select("p_partkey", "p_name", "p_brand")
+    wider.write.parquet(f"{location}/batch=large")
+    catalog.discover_table(spark, database, "part", location)
+    return read_table(spark, database, "part")
+
+
 @query("SELECT n_nationkey, n_name, c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def insert_matches_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole directory loaded into a typed table whose columns are in another order."""

@@ -110,7 +110,7 @@ def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").drop("props")
-    return keep_latest(events, ["user_id"], [F.col("ts").desc()])
+    return keep_latest(events, ["user_id"], [F.col("ts")])
 
 
 @query(
@@ -196,7 +196,7 @@ NEW_SUPPLIERS_SQL = (
 )
 def upsert_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = supplier_changes(spark, sf_dir)
-    newest = [F.col("generation").desc()]
+    newest = [F.col("generation")]
     return upsert(table(spark, sf_dir, "supplier"), changes, ["s_suppkey"], newest)
 
 
@@ -209,7 +209,7 @@ def upsert_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def upsert_replacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = supplier_changes(spark, sf_dir)
-    newest = [F.col("generation").desc()]
+    newest = [F.col("generation")]
     return upsert(
         table(spark, sf_dir, "supplier"), changes, ["s_suppkey"], newest, keep_when_null=False
     )

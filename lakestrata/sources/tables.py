@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -21,8 +22,17 @@ def read_partition_range(
 ) -> DataFrame:
     """Days ``first`` to ``last`` (both included) of a table laid out by day.
 
-    The partition column is restored from the folder names, and only folders
-    in the range are opened.
+    The folders in the range are named in the path, so the files of other days
+    are not even listed; days without a folder have no rows. The partition
+    column is restored from the folder names.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).where(F.col(column).between(first, last))
+    days = (first + dt.timedelta(days=n) for n in range((last - first).days + 1))
+    folders = ",".join(f"{column}={day}" for day in days)
+    try:
+        rows = reader.option("basePath", path).parquet(f"{path}/{{{folders}}}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = reader.parquet(path)
+    return rows.where(F.col(column).between(first, last))

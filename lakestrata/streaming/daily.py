@@ -28,19 +28,27 @@ def _drain(rows: DataFrame, lake: Layout, name: str, path: str, by: str | None =
     writer.start(path).awaitTermination()
 
 
-def ingest_new_sales(spark: SparkSession, lake: Layout) -> None:
-    """Append the raw sales files not yet seen to bronze."""
+def ingest_new_sales(spark: SparkSession, lake: Layout, files_per_batch: int = 10_000) -> None:
+    """Append the raw sales files not yet seen to bronze.
+
+    A large backlog is worked off in batches, so a run that dies repeats one
+    batch and not everything.
+    """
     arrivals = (
         spark.readStream.schema(schemas.RAW_SALES)
-        .options(header=True, mode="PERMISSIVE")
+        .options(header=True, mode="PERMISSIVE", maxFilesPerTrigger=files_per_batch)
         .csv(lake.raw("sales/*/*.csv"))
     )
     _drain(bronze_sales(arrivals), lake, "bronze-sales", lake.bronze("sales"))
 
 
-def refine_new_sales(spark: SparkSession, lake: Layout) -> None:
+def refine_new_sales(spark: SparkSession, lake: Layout, files_per_batch: int = 10_000) -> None:
     """Append the bronze rows not yet seen to silver, one folder per purchase day."""
-    arrivals = spark.readStream.schema(BRONZE).parquet(lake.bronze("sales"))
+    arrivals = (
+        spark.readStream.schema(BRONZE)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(lake.bronze("sales"))
+    )
     _drain(
         silver_sales(arrivals), lake, "silver-sales", lake.silver("sales"), by="purchase_date"
     )

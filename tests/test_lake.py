@@ -199,6 +199,17 @@ def test_external_files_outlive_the_table(spark, lake):
         assert sources.read_table(spark, "ext", "parts").count() == 5
 
 
+def test_discovered_csv_table(spark, shop):
+    catalog.create_database(spark, "found", shop.warehouse("found"))
+    catalog.discover_table(
+        spark, "found", "sales", f"{shop.root}/raw/sales", "csv", header="true",
+        recursiveFileLookup="true",
+    )
+    found = sources.read_table(spark, "found", "sales")
+    assert found.columns == ["CustomerId", "PurchaseDate", "Product", "Price"]
+    assert found.count() == 11
+
+
 def test_table_replaced_from_itself(spark, lake):
     catalog.create_database(spark, "self", lake.warehouse("self"))
     catalog.recreate_table(spark, "self", "t", "id BIGINT", lake.path("x", "v1"))
@@ -219,6 +230,21 @@ def test_partition_range_prunes(spark, shop):
     assert "PartitionFilters: [isnotnull(purchase_date" in chosen._jdf.queryExecution().toString()
 
 
+def test_partition_range_opens_only_its_folders(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    sales.bronze_to_silver(spark, shop)
+    path = shop.silver("sales")
+    chosen = sources.read_partition_range(
+        spark, path, "purchase_date", D(2022, 9, 2), D(2022, 12, 31), schemas.SILVER_SALES
+    )
+    assert rows(chosen) == SILVER_SALES[3:]
+    assert all("purchase_date=2022-09-02" in f for f in chosen.inputFiles())
+    none = sources.read_partition_range(
+        spark, path, "purchase_date", D(2023, 1, 1), D(2023, 1, 5), schemas.SILVER_SALES
+    )
+    assert rows(none) == [] and none.columns == chosen.columns
+
+
 def test_csv_export_has_headers(spark, lake):
     sinks.write_csv(spark.createDataFrame([("a", 1.5), (None, None)], "k STRING, v DOUBLE"), lake.path("o", "c"))
     back = spark.read.csv(lake.path("o", "c"), header=True)
@@ -237,7 +263,8 @@ def test_discovery_merges_columns(spark, lake):
 
 def test_command_line_steps(spark, shop):
     run_all.main(["customers", "--root", shop.root])
-    run_all.main(["profiles", "--root", shop.root, "--as-of", "2022-09-10"])
+    run_all.main(["profiles", "--root", shop.root, "--as-of", "2022-09-10", "--then-enrich"])
+    assert sources.read_table(spark, "gold", "user_profiles_enriched").count() == 3
     run_all.main(["sales", "--root", shop.root])
     run_all.main(["enrich", "--root", shop.root, "--as-of", "2022-09-10"])
     run_all.main(

@@ -28,15 +28,19 @@ def test_keep_latest_matches_brute_force(skewed):
     for i, k, v in data:
         if k not in wanted or (v or 0, i) > (wanted[k][2] or 0, wanted[k][0]):
             wanted[k] = (i, k, v)
-    found = op.keep_latest(df, ["k"], [F.col("v").desc_nulls_last()])
+    found = op.keep_latest(df, ["k"], [F.col("v")])
     assert rows(found) == sorted(wanted.values(), key=repr)
 
 
-def test_keep_latest_filters_before_the_shuffle(skewed):
+def test_keep_latest_reduces_before_the_shuffle(skewed):
     plan = op.keep_latest(skewed[1], ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning") < plan.rindex(
-        "WindowGroupLimit"
-    )
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_max")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
+def test_keep_latest_with_keys_only(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "k INT")
+    assert rows(op.keep_latest(df, ["k"])) == [(1,), (None,)]
 
 
 def test_drop_duplicate_keys_does_not_depend_on_partitioning(skewed):
@@ -141,7 +145,7 @@ def test_upsert_modes(spark):
         [(2, None, 20, 1), (2, "Y", None, 2), (4, "new", 4, 1), (None, "lost", 0, 1)],
         schema + ", at INT",
     )
-    newest = [F.col("at").desc()]
+    newest = [F.col("at")]
     filled = op.upsert(target, changes, ["id"], newest)
     assert rows(filled) == [(1, "x", 1), (2, "Y", 2), (3, "z", 3), (4, "new", 4)]
     replaced = op.upsert(target, changes, ["id"], newest, keep_when_null=False)
