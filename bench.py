@@ -32,10 +32,8 @@ HEADLINES = (
     "count_by_derived_year",
     "upsert_filling",
     "money_from_text",
-    "food_lines_flattened",
     "food_derived_columns",
     "food_average",
-    "food_median",
     "food_statistics_exported",
 )
 # A query slower than this is timed once after its warm-up, others three times.

@@ -78,6 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--first", type=dt.date.fromisoformat, help="first day to load")
     args.add_argument("--last", type=dt.date.fromisoformat, help="last day to load")
     args.add_argument("--product", default="TV")
+    args.add_argument("--dump", help="for 'customers': merge only this new dump folder")
     args.add_argument(
         "--then-enrich", action="store_true", help="after the step 'profiles', go on with 'enrich'"
     )
@@ -88,7 +89,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"lakestrata-{given.step}")
     lake = Layout(given.root)
     as_of = F.lit(given.as_of).cast("date") if given.as_of else None
-    if given.step == "customers":
+    if given.step == "customers" and given.dump:
+        customers.apply_dump(spark, lake, given.dump)
+    elif given.step == "customers":
         process_customers(spark, lake)
     elif given.step == "profiles":
         process_profiles(spark, lake, as_of)

@@ -12,6 +12,7 @@ from lakestrata.operators import REJECT_REASON, average_by, rows_by
 from lakestrata.plans import customers, profiles, sales
 from lakestrata.queries.inputs import (
     CUSTOMERS_SQL,
+    DUMPS,
     PROFILE_DAY,
     PROFILES_SQL,
     SALES_REJECT_SQL,
@@ -122,6 +123,20 @@ def customers_dumps_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, lake.silver("customers"), schemas.SILVER_CUSTOMERS)
 
 
+@query(CUSTOMERS_SQL)
+def customers_dumps_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the first dump alone, with each later dump merged as it comes."""
+    lake = new_lake(spark)
+    deliver_customers(spark, sf_dir, lake)
+    earliest, *later = DUMPS
+    first = read_csv_text(spark, lake.raw(f"customers/{earliest}"), schemas.RAW_CUSTOMERS)
+    initial = customers.silver_customers(customers.bronze_customers(first))
+    write_parquet(initial, lake.silver("customers"))
+    for dump in later:
+        customers.apply_dump(spark, lake, dump)
+    return read_parquet(spark, lake.silver("customers"), schemas.SILVER_CUSTOMERS)
+
+
 @query(PROFILES_SQL)
 def profiles_raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)

@@ -78,8 +78,10 @@ if __name__ == "__main__":
     sys.path.insert(0, root)
     import __spark_entry__ as entry
 
+    # Arguments: table directory, then query names and Spark settings (key=value).
     sf = sys.argv[1]
-    names = sys.argv[2:] or list(entry.queries())
+    settings = dict(a.split("=", 1) for a in sys.argv[2:] if "=" in a)
+    names = [a for a in sys.argv[2:] if "=" not in a] or list(entry.queries())
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
@@ -87,6 +89,7 @@ if __name__ == "__main__":
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=settings)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

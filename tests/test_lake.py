@@ -93,6 +93,19 @@ def test_customers(spark, shop):
     ]
 
 
+def test_dumps_merged_one_by_one(spark, shop):
+    first = sources.read_csv_text(
+        spark, shop.raw("customers/2022-8-1"), schemas.RAW_CUSTOMERS
+    )
+    initial = customers.silver_customers(customers.bronze_customers(first))
+    sinks.write_parquet(initial, shop.silver("customers"))
+    run_all.main(["customers", "--root", shop.root, "--dump", "2022-8-5"])
+    run_all.main(["customers", "--root", shop.root, "--dump", "2022-8-10"])
+    merged = rows(sources.read_parquet(spark, shop.silver("customers")))
+    run_all.process_customers(spark, shop)
+    assert merged == rows(sources.read_parquet(spark, shop.silver("customers")))
+
+
 def test_dump_day_is_a_date_not_text(spark):
     df = spark.createDataFrame(
         [("file:/x/2022-8-10/c.csv",), ("file:/x/2022-08-05/c.csv",), ("file:/x/other/c.csv",)], "f STRING"
