@@ -84,6 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     args.add_argument("--documents", help="food documents, for the step 'food'")
     args.add_argument("--output", help="CSV output directory, for the step 'food'")
+    args.add_argument("--derived", help="for 'food': write the derived rows here as Parquet, too")
     given = args.parse_args(argv)
 
     spark = build_session(f"lakestrata-{given.step}")
@@ -105,6 +106,8 @@ def main(argv: list[str] | None = None) -> None:
         print(gold.load_gold_sales(spark, lake, given.first, given.last))
     elif given.step == "food":
         print(food.export_food_statistics(spark, given.documents, given.output))
+        if given.derived:
+            food.write_derived_foods(spark, given.documents, given.derived)
     else:
         run_all(spark, lake, given.product, given.first, given.last, as_of=as_of).show()
 

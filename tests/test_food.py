@@ -93,8 +93,10 @@ def test_lines_equal_documents(spark, lake, flat):
 def test_export(spark, lake, flat):
     run_all.main(
         ["food", "--root", lake.root, "--documents", lake.raw("food/food.json"),
-         "--output", lake.path("out", "food")]
+         "--output", lake.path("out", "food"), "--derived", lake.path("out", "derived")]
     )
+    derived = spark.read.parquet(lake.path("out", "derived"))
+    assert rows(derived) == rows(food.derived_foods(flat))
     for name, wanted in STATISTICS.items():
         back = spark.read.csv(lake.path("out", f"food/{name}"), header=True)
         assert rows(back) == sorted(

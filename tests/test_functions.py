@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -35,6 +36,18 @@ def test_parse_money(spark, text, price):
     assert evaluate(spark, L.parse_money(F.col("a")), text) == price
 
 
+def test_parse_money_on_many_written_forms(spark):
+    rng = random.Random(11)
+    cases = []
+    for _ in range(2000):
+        cents = rng.randrange(10 ** rng.randrange(1, 13))
+        text = f"{cents // 100:,}.{cents % 100:02d}"
+        text = "".join(c + rng.choice(["", "", "", " ", "\t"]) for c in rng.choice(["$", ""]) + text)
+        cases.append((text, Decimal(cents) / 100))
+    df = spark.createDataFrame(cases, "a STRING, wanted DECIMAL(12,2)")
+    assert df.where(~L.parse_money(F.col("a")).eqNullSafe(F.col("wanted"))).count() == 0
+
+
 def test_price_noise_is_what_a_blank_pattern_matches(spark):
     every = "".join(chr(c) for c in range(1, 256))
     by_pattern = F.regexp_replace(F.regexp_replace("a", r"[\$,]", ""), r"\s+", "")
