@@ -1,6 +1,7 @@
 """Reusable Column functions. All are built from JVM-side expressions."""
 
 from lakestrata.functions.dates import (
+    FOLDER_DAY,
     LENIENT_DAY,
     STRICT_DAY,
     completed_years,
@@ -12,6 +13,7 @@ from lakestrata.functions.numbers import level_bucket, parse_int, parse_money
 from lakestrata.functions.text import blank_to_null, normalize_email, split_full_name
 
 __all__ = [
+    "FOLDER_DAY",
     "LENIENT_DAY",
     "STRICT_DAY",
     "blank_to_null",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Accepted day formats.
+# Accepted day formats. Folders may be named with or without zeros.
 LENIENT_DAY = "yyyy-MM-d"
 STRICT_DAY = "yyyy-MM-dd"
+FOLDER_DAY = "yyyy-M-d"
 
 
 def parse_day(value: Column, pattern: str = LENIENT_DAY) -> Column:

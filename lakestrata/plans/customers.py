@@ -5,22 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.functions import blank_to_null, normalize_email, parse_day, parse_int
+from lakestrata.functions import (
+    FOLDER_DAY,
+    blank_to_null,
+    normalize_email,
+    parse_day,
+    parse_int,
+)
 from lakestrata.layout import Layout, materialize
 from lakestrata.operators import keep_latest, require_columns, trim_strings, upsert
 from lakestrata.sinks import write_parquet
-from lakestrata.sources import SOURCE_FILE, read_csv_text, read_parquet, with_source_file
+from lakestrata.sources import (
+    SOURCE_FILE,
+    read_csv_text,
+    read_parquet,
+    source_folder,
+    with_source_file,
+)
 
 BRONZE = f"{schemas.RAW_CUSTOMERS}, {SOURCE_FILE} STRING"
 
-# Fixed value: dump folders are named by day, with or without leading zeros.
-DUMP_DAY = "yyyy-M-d"
-
 
 def dump_day(source_file: Column) -> Column:
     """The day in the name of the folder a file lies in."""
-    folder = F.substring_index(F.substring_index(source_file, "/", -2), "/", 1)
-    return F.try_to_date(folder, DUMP_DAY)
+    return parse_day(source_folder(source_file), FOLDER_DAY)
 
 
 def bronze_customers(raw: DataFrame) -> DataFrame:

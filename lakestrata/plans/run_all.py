@@ -14,8 +14,8 @@ from lakestrata.sources import read_table
 
 
 def process_sales(spark: SparkSession, lake: Layout) -> dict:
-    sales.raw_to_bronze(spark, lake)
-    return sales.bronze_to_silver(spark, lake).get
+    by_day = sales.is_clustered(sales.raw_to_bronze(spark, lake))
+    return sales.bronze_to_silver(spark, lake, clustered=by_day).get
 
 
 def process_customers(spark: SparkSession, lake: Layout) -> None:

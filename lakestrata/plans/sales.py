@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.functions import parse_day, parse_int, parse_money
+from lakestrata.functions import FOLDER_DAY, STRICT_DAY, parse_day, parse_int, parse_money
 from lakestrata.layout import Layout
 from lakestrata.operators import (
     REJECT_REASON,
@@ -18,7 +18,13 @@ from lakestrata.operators import (
     trim_strings,
 )
 from lakestrata.sinks import observed, write_parquet, write_partitioned
-from lakestrata.sources import SOURCE_FILE, read_csv_text, read_parquet, with_source_file
+from lakestrata.sources import (
+    SOURCE_FILE,
+    read_csv_text,
+    read_parquet,
+    source_folder,
+    with_source_file,
+)
 
 BRONZE = f"{schemas.RAW_SALES}, {SOURCE_FILE} STRING"
 
@@ -54,19 +60,45 @@ def rejected_sales(bronze: DataFrame) -> DataFrame:
     return rejected_rows(typed_sales(bronze))
 
 
-def raw_to_bronze(spark: SparkSession, lake: Layout) -> None:
+def misfiled() -> Column:
+    """Whether a bronze row lies in a folder that names another day (or month)."""
+    day, folder = parse_day(F.col("PurchaseDate")), source_folder(F.col(SOURCE_FILE))
+    at_home = (parse_day(folder, FOLDER_DAY) == day) | F.date_format(day, STRICT_DAY).startswith(
+        folder
+    )
+    return day.isNotNull() & ~F.coalesce(at_home, F.lit(False))
+
+
+def raw_to_bronze(spark: SparkSession, lake: Layout) -> Observation:
+    """Rewrite all of bronze; returns ``rows`` and ``misfiled`` rows of the pass."""
     raw = read_csv_text(spark, lake.raw("sales/*/*.csv"), schemas.RAW_SALES)
-    write_parquet(bronze_sales(raw), lake.bronze("sales"))
+    counted, counts = observed(
+        bronze_sales(raw),
+        "bronze_sales",
+        rows=F.count(F.lit(1)),
+        misfiled=F.count_if(misfiled()),
+    )
+    write_parquet(counted, lake.bronze("sales"))
+    return counts
+
+
+def is_clustered(counts: Observation) -> bool:
+    """Whether bronze lies by day well enough to be written by day as it is.
+
+    A misfiled row may cost a file of its own, so they must be few.
+    """
+    found = counts.get
+    return found["misfiled"] * 1000 <= found["rows"]
 
 
 def bronze_to_silver(
-    spark: SparkSession, lake: Layout, *, clustered: bool = True
+    spark: SparkSession, lake: Layout, *, clustered: bool = False
 ) -> Observation:
     """Rewrite all of silver; returns ``rows_in`` and ``rows_accepted`` of the pass.
 
-    Raw files come in one folder per day and bronze keeps their order, so each
-    task already holds few days and the rows are written without a shuffle.
-    Unset ``clustered`` when the folders mix many days.
+    Raw files come in one folder per day and bronze keeps their order. Where
+    that was found to hold (``clustered``), each task has few days and the rows
+    are written without a shuffle.
     """
     marked = typed_sales(read_parquet(spark, lake.bronze("sales"), BRONZE))
     counted, counts = observed(

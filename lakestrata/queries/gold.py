@@ -91,7 +91,7 @@ def gold_profiles_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, gold_db, "user_profiles_enriched").withColumn("updated_at", stamp)
 
 
-FIRST, LAST = dt.date(1997, 9, 1), dt.date(1997, 9, 10)
+FIRST, LAST = dt.date(1997, 9, 1), dt.date(1997, 10, 31)
 
 
 def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,7 @@ def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WHERE purchase_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
 )
 def gold_sales_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten days of silver into the typed sales table; the second half is loaded twice."""
+    """Two months of silver into the typed sales table; the second half is loaded twice."""
     lake, gold_db = new_lake(spark), fresh_database("g")
     write_partitioned(
         sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date", clustered=True

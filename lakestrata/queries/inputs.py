@@ -69,6 +69,9 @@ def birth_date() -> Column:
 
 # --- sales -------------------------------------------------------------------
 
+# A sale counts on the Monday of the order's week: some 340 purchase days in all.
+SALE_DAY_SQL = "CAST(date_trunc('week', o_orderdate) AS DATE)"
+
 # Orders whose sale is made unreadable, and why; first match counts.
 SALES_REJECT_SQL = """CASE
     WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'bad client_id'
@@ -78,13 +81,13 @@ SALES_REJECT_SQL = """CASE
   END"""
 
 SALES_SQL = f"""SELECT o_orderpriority AS product_name, CAST(o_custkey AS INTEGER) AS client_id,
-    CAST(o_totalprice AS DECIMAL(12,2)) AS price, CAST(o_orderdate AS DATE) AS purchase_date
+    CAST(o_totalprice AS DECIMAL(12,2)) AS price, {SALE_DAY_SQL} AS purchase_date
   FROM orders WHERE {SALES_REJECT_SQL} IS NULL"""
 
 
 def sales_text(orders: DataFrame) -> DataFrame:
     """Orders as the text of a sales file, some of it unusable."""
-    day = F.col("o_orderdate").cast("date")
+    day = F.trunc("o_orderdate", "week")
     low = F.col("o_orderpriority") == "5-LOW"
     unspecified = F.col("o_orderpriority") == "4-NOT SPECIFIED"
     status = F.col("o_orderstatus")

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata import schemas
 from lakestrata.layout import working_folder
 from lakestrata.operators import REJECT_REASON, average_by, rows_by
-from lakestrata.plans import customers, profiles, sales
+from lakestrata.plans import customers, profiles, run_all, sales
 from lakestrata.queries.inputs import (
     CUSTOMERS_SQL,
     DUMPS,
     PROFILE_DAY,
     PROFILES_SQL,
+    SALE_DAY_SQL,
     SALES_REJECT_SQL,
     SALES_SQL,
     deliver_customers,
@@ -33,16 +34,18 @@ from lakestrata.sources import (
     read_json_lines,
     read_parquet,
     read_partition_range,
+    source_folder,
     with_source_file,
 )
 from lakestrata.streaming import ingest_new_sales, refine_new_sales
 
-BRONZE_SALES_SQL = """SELECT
+BRONZE_SALES_SQL = f"""SELECT
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'x' ELSE '' END || o_custkey
       AS "CustomerId",
-    CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y/%m/%d')
-      ELSE strftime(o_orderdate, '%Y-%m-') || day(o_orderdate) END AS "PurchaseDate",
-    o_orderpriority AS "Product", strftime(o_orderdate, '%Y-%m') AS folder FROM orders"""
+    CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN strftime(sale_day, '%Y/%m/%d')
+      ELSE strftime(sale_day, '%Y-%m-') || day(sale_day) END AS "PurchaseDate",
+    o_orderpriority AS "Product", strftime(sale_day, '%Y-%m') AS folder
+  FROM (SELECT *, {SALE_DAY_SQL} AS sale_day FROM orders) AS dated"""
 
 
 @query(BRONZE_SALES_SQL)
@@ -51,12 +54,11 @@ def sales_raw_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     deliver_sales(spark, sf_dir, lake)
     sales.raw_to_bronze(spark, lake)
-    folder = F.substring_index(F.substring_index(SOURCE_FILE, "/", -2), "/", 1)
     return read_parquet(spark, lake.bronze("sales"), sales.BRONZE).select(
         "CustomerId",
         "PurchaseDate",
         "Product",
-        F.substring_index(folder, "=", -1).alias("folder"),
+        source_folder(F.col(SOURCE_FILE)).alias("folder"),
     )
 
 
@@ -64,8 +66,7 @@ def sales_raw_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     deliver_sales(spark, sf_dir, lake)
-    sales.raw_to_bronze(spark, lake)
-    sales.bronze_to_silver(spark, lake)
+    run_all.process_sales(spark, lake)
     return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
 
 
@@ -89,8 +90,7 @@ def sales_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts observed while silver was written, without a pass of their own."""
     lake = new_lake(spark)
     deliver_sales(spark, sf_dir, lake)
-    sales.raw_to_bronze(spark, lake)
-    counts = sales.bronze_to_silver(spark, lake).get
+    counts = run_all.process_sales(spark, lake)
     return spark.createDataFrame(
         [(counts["rows_in"], counts["rows_accepted"])], "rows_in BIGINT, rows_accepted BIGINT"
     )

@@ -7,6 +7,7 @@ from lakestrata.sources.files import (
     read_json_documents,
     read_json_lines,
     read_parquet,
+    source_folder,
     with_source_file,
 )
 from lakestrata.sources.tables import read_partition_range, read_table
@@ -20,5 +21,6 @@ __all__ = [
     "read_parquet",
     "read_partition_range",
     "read_table",
+    "source_folder",
     "with_source_file",
 ]

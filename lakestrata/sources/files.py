@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SOURCE_FILE = "_source_file"
 
@@ -59,3 +59,9 @@ def discover_parquet(spark: SparkSession, path: str, pattern: str | None = None)
 def with_source_file(scan: DataFrame) -> DataFrame:
     """Add the file each row came from. Must be applied to the scan itself."""
     return scan.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def source_folder(source_file: Column) -> Column:
+    """Name of the folder a file lies in, without the key of ``key=value``."""
+    folder = F.substring_index(F.substring_index(source_file, "/", -2), "/", 1)
+    return F.substring_index(folder, "=", -1)

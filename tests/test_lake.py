@@ -46,6 +46,17 @@ def test_sales(spark, shop):
     assert rows(rejected) == [("bad client_id", 2), ("bad price", 3), ("bad purchase_date", 1)]
 
 
+def test_misfiled_sales_are_noticed(spark, shop):
+    counts = sales.raw_to_bronze(spark, shop)
+    assert counts.get == {"rows": 11, "misfiled": 0} and sales.is_clustered(counts)
+    put(
+        shop.raw("sales/2022-09/s.csv"),
+        "CustomerId,PurchaseDate,Product,Price\n3,2022-09-3,TV,$7\n3,2022-10-3,TV,$7\n",
+    )
+    counts = sales.raw_to_bronze(spark, shop)
+    assert counts.get == {"rows": 13, "misfiled": 1} and not sales.is_clustered(counts)
+
+
 @pytest.mark.parametrize("clustered", [True, False])
 def test_sales_rerun_gives_the_same(spark, shop, clustered):
     sales.raw_to_bronze(spark, shop)
