@@ -24,13 +24,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakestrata.layout import materialize, working_folder
-from lakestrata.llm.words import pieces
+from lakestrata.llm.words import MARKS, SPACES, pieces
 
 MAGIC = b"LSTOKEN1"
 SAMPLE = 512  # set bits between two sampled positions
-CACHED_WORDS = 300_000  # of the word to ids table in a Python worker
+CACHED_WORDS = 1_000_000  # of the word to ids table in a Python worker
 FILE_IDS = 32 << 20  # a file is closed beyond so many ids
 READ_IDS = 1 << 20  # ids read at once
+SPECIAL = b"<|"  # how special tokens begin
 MANIFEST = "part int, seq int, path string, documents long, ids long"
 
 
@@ -92,27 +93,93 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://").replace("s3n://", "s3://"))
 
 
+def _marks_apart(column: pa.Array) -> list[bytes]:
+    """Texts in lower case (A-Z), with a blank before the marks that end a word.
+
+    Neither changes the ids: the tokenizer lower-cases, and always cuts between a letter or digit and
+    a run of marks. Far fewer different words remain. Special tokens are matched as they stand, so
+    texts that may hold one keep their case.
+    """
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    if len(data):
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        space, letter = SPACES[data], ~MARKS[data]
+        word = np.cumsum((np.append(True, space[:-1]) | edge[:-1]) & ~space, dtype=np.int32)
+        # The last byte of a word that is no mark, if marks follow.
+        at = np.flatnonzero(letter)
+        at = at[np.append(word[at[1:]] != word[at[:-1]], True)] if len(at) else at
+        at = at[at + 1 < len(data)]
+        at = at[(word[at + 1] == word[at]) & ~space[at + 1]]
+        # An ASCII letter or digit, or one of the letters U+00C0 to U+00FF in UTF-8; else marks may belong to it.
+        last = data[at]
+        latin = (data[np.maximum(at - 1, 0)] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+        at = at[(last < 128) | latin] + 1
+        data, offsets = np.insert(data, at, 32), offsets + np.searchsorted(at, offsets)
+    whole = data.tobytes()
+    if SPECIAL not in whole:
+        whole = whole.lower()
+    return [whole[a:b] for a, b in zip(offsets, offsets[1:])]
+
+
 class _Encoder:
     """Whole texts to ids. The tokenizer drops white space and never looks across it, so a text
-    is the concatenation of its words; frequent words are looked up in a bounded table."""
+    is the concatenation of its words; known words are looked up in a bounded table.
+
+    New words of letters only are encoded as one text without the pattern that would cut it into
+    words; the ids of a word end with a word-end token.
+    """
 
     def __init__(self, tokenizer_path: str, dtype: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.dtype = dtype
+        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        suffix = self.whole.model.end_of_word_suffix
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, n in vocabulary.items() if suffix else ():
+            self.closes[n] = token.endswith(suffix)
+        self.has_closes = bool(self.closes.any())
+        self.dtype = np.dtype(dtype)
         self.known: dict[bytes, bytes] = {}
 
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [text.split() if text else [] for text in texts]
-        unknown = list(set().union(*split) - self.known.keys())
+    def learn(self, unknown: list[bytes]) -> None:
+        plain, rest = [], []
+        for word in unknown:
+            text = word.decode()
+            simple = self.has_closes and text.isalpha() and text.lower().isalpha()
+            (plain if simple else rest).append(word)
+        if plain:
+            joined = b" ".join(plain).decode()
+            ids = np.array(self.letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * self.dtype.itemsize
+            if len(ends) != len(plain):
+                raise ValueError("the tokenizer's words do not end with word-end tokens")
+            raw = ids.astype(self.dtype).tobytes()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(plain, np.append(0, ends[:-1]).tolist(), ends.tolist()))
+        encoded = self.whole.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(rest, encoded))
+
+    def __call__(self, column: pa.Array) -> list[bytes]:
+        split = [text.split() for text in _marks_apart(column)]
+        found = [list(map(self.known.get, words)) for words in split]
+        unknown = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
         if len(self.known) + len(unknown) > CACHED_WORDS:
             self.known.clear()
-            unknown = list(set().union(*split))
-        encoded = self.tokenizer.encode_batch([w.decode() for w in unknown], add_special_tokens=False)
-        self.known.update(zip(unknown, [np.array(e.ids, self.dtype).tobytes() for e in encoded]))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        self.learn(list(unknown))
+        return [
+            b"".join([self.known[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
+            for words, ids in zip(split, found)
+        ]
 
 
 _ENCODERS: dict[tuple[str, str], _Encoder] = {}
@@ -236,8 +303,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         for batch in batches:
             for piece in pieces(batch):
-                texts = piece.column("text").cast(pa.large_binary()).to_pylist()
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(texts)):
+                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(piece.column("text"))):
                     writer = writer or ShardWriter(folder, width)
                     writer.add(doc_id, ids + end)
                     if writer.ids >= FILE_IDS:
