@@ -81,9 +81,13 @@ class DomainModel:
                     sums, F.element_at(gains, F.array_position(names, word).cast("int")), lambda a, b: a + b
                 ),
             )
-        top = lambda xs: F.transform(xs, lambda x: F.exp(x - F.array_max(xs)))
-        total = lambda xs: F.transform(xs, lambda x: x / F.aggregate(xs, F.lit(0.0), lambda a, b: a + b))
-        return total(top(logs))
+        # Binding each array as a lambda's argument keeps it from being computed once per use.
+        bind = lambda xs, f: F.transform(F.array(xs), f)[0]
+        raised = lambda xs: bind(F.array_max(xs), lambda most: F.transform(xs, lambda x: F.exp(x - most)))
+        shares = lambda xs: bind(
+            F.aggregate(xs, F.lit(0.0), lambda a, b: a + b), lambda sum_: F.transform(xs, lambda x: x / sum_)
+        )
+        return bind(bind(logs, raised), shares)
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DomainModel:
