@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.layout import materialize
-from lakestrata.llm import mixing, ordinal, token_files
+from lakestrata.llm import mixing, ordinal, set_join, templates, token_files
 from lakestrata.llm.queries import END_ID, TOKENIZER, VOCABULARY, read
 
 
@@ -20,6 +20,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ordinal.score_severity(docs, model).where("NOT toxic").select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 5-word shingles at a similarity of 0.8, the first of each group stays."""
+    return set_join.one_per_group(docs, width=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whatever its numbers and names, go."""
+    marked = templates.contamination(docs, read(spark, sf_dir, "benchmark"))
+    return marked.where("NOT contaminated").select(*docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep a document with the chance that its domains' target weights call for.
 
@@ -37,6 +48,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("mixing", mix),
     ("tokens", tokens),
 ]
@@ -47,5 +60,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs

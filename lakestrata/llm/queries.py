@@ -62,7 +62,7 @@ def op4_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a 3-word shingle similarity of 0.9."""
-    return set_join.jaccard_components(read(spark, sf_dir, "documents")).drop("version")
+    return set_join.jaccard_components(read(spark, sf_dir, "documents")).drop("version", "group")
 
 
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,9 @@ class Join:
         if not 50 < percent < 100 or width < 1:
             raise ValueError("a similarity between 50 and 100 percent, exclusive, and a width of at least 1")
         self.width, self.percent = width, percent
+        # A member counts as far from its leader beyond 40 percent of its size, and as near up to
+        # near / percent. No set near only can be linked with one far only.
+        self.near = 140 - percent
         edges = [1]
         while edges[-1] < 1 << 40:
             edges.append(max(edges[-1] + 1, int(edges[-1] * BAND)))
@@ -227,7 +230,7 @@ def compare(pairs: DataFrame, sets: DataFrame, join: Join, differences: bool) ->
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 apart = np.setxor1d(x, y, assume_unique=True)
                 linked = len(apart) * (100 + join.percent) <= (100 - join.percent) * (len(x) + len(y))
-                far = not differences or len(apart) * 10 > 6 * len(x)
+                far = not differences or len(apart) * join.percent > join.near * len(x)
                 rows.append((len(x), len(y), linked, len(apart), b"" if far else apart.tobytes()))
             names = ["size_a", "size_b", "linked", "apart", "difference"]
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
@@ -256,14 +259,14 @@ def first_lists(sets: DataFrame, join: Join) -> DataFrame:
 def next_lists(lists: DataFrame, heads: DataFrame, found: DataFrame, join: Join) -> DataFrame:
     """Lists for the pairs that a round of leaders has left undecided.
 
-    A member near its leader (difference up to 6/10 of its size) goes on by its differences, one far from it (over
-    4/10) stays in the list; linked sets always share one of the two zones. Sets linked to
-    the leader are closed: pairs of closed sets need no look.
+    A member near its leader goes on by its differences, one far from it stays in the list; linked
+    sets always share one of the two zones, which overlap. Sets linked to the leader are
+    closed: pairs of closed sets need no look.
     """
     seen = lists.join(heads.select("key", F.col("head.sid").alias("b")), "key")
     seen = seen.join(found.select(F.col("a").alias("sid"), "b", "linked", "apart", "size_a"), ["sid", "b"])
     far = seen.where("NOT linked AND apart * 10 > size_a * 4").select("key", "sid", "rank", "open")
-    near = found.where("apart > 0 AND apart * 10 <= size_a * 6")
+    near = found.where((F.col("apart") > 0) & (F.col("apart") * join.percent <= F.col("size_a") * join.near))
     # Leaders all of whose members are linked have nothing left to decide.
     undecided = near.where("NOT linked").select("b").distinct()
     near = near.join(undecided, "b", "left_semi")
@@ -324,11 +327,12 @@ def set_links(sets: DataFrame, join: Join) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``docs`` (doc_id integer, text): doc_id, version, n_shingles, component_id.
+    """Per row of ``docs`` (doc_id integer, text): doc_id, version, n_shingles, component_id, group.
 
     Texts with equal sets are one set of the join. A text without words has an empty set and links with
     nothing. ``component_id`` is the smallest doc_id reachable; a null doc_id takes part and
-    never is the smallest. Repeated rows get equal answers. ``version`` is a hash of the text.
+    never is the smallest. Repeated rows get equal answers. ``version`` is a hash of the text,
+    ``group`` names the component, null for a text without words.
     """
     join = Join(width, percent)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
@@ -338,6 +342,23 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     with_words = profile.where("n_shingles > 0").join(nodes, F.col("sid") == F.col("node"), "left")
     with_words = with_words.select("doc_id", "version", "n_shingles", F.coalesce("component", "sid").alias("component"))
     smallest = with_words.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    joined = with_words.join(smallest, "component").select("doc_id", "version", "n_shingles", "component_id")
+    joined = with_words.join(smallest, "component").select(
+        "doc_id", "version", "n_shingles", "component_id", F.col("component").alias("group")
+    )
     alone = profile.where("n_shingles = 0").select("doc_id", "version", "n_shingles", F.col("doc_id").alias("component_id"))
-    return joined.unionByName(alone)
+    return joined.unionByName(alone.withColumn("group", F.lit(None).cast("long")))
+
+
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of every component the one of smallest doc_id
+    stays, null ids last; of repeated rows one. Texts without words all stay."""
+    marked = jaccard_components(docs, width, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version")
+    kept = marked.where("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("k"))
+    kept = materialize(kept.select(F.col("k.doc_id").alias("_doc"), F.col("k.version").alias("_version")), "kept-sets")
+    empty = marked.where("group IS NULL").select(F.col("version").alias("_version")).distinct()
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    stays = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_version")), "left_semi")
+    stays = stays.dropDuplicates(["doc_id", "_key"])
+    wordless = keyed.join(empty, F.col("_key") == F.col("_version"), "left_semi")
+    return stays.unionByName(wordless).select(*docs.columns)
