@@ -80,8 +80,28 @@ def replace_contents(df: DataFrame, database: str, table: str, location: str) ->
 
     The rows go to ``location``, a new directory, and the table is pointed there
     once they are complete, so readers see the old or the new rows, never a mix.
+    A partitioned table is refused: its partitions have locations of their own.
     """
-    df.write.parquet(location)
     spark = df.sparkSession
+    if any(column.isPartition for column in spark.catalog.listColumns(qualified(database, table))):
+        raise ValueError(f"{database}.{table} is partitioned; load it into a new table instead")
+    df.write.parquet(location)
     spark.sql(f"ALTER TABLE {qualified(database, table)} SET LOCATION '{location}'")
     spark.catalog.refreshTable(qualified(database, table))
+
+
+def table_location(spark: SparkSession, database: str, table: str) -> str | None:
+    """Where the rows of a table lie; None when there is no such table."""
+    if not spark.catalog.tableExists(qualified(database, table)):
+        return None
+    described = spark.sql(f"DESCRIBE FORMATTED {qualified(database, table)}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def drop_table(spark: SparkSession, database: str, table: str) -> None:
+    """Forget an external table; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {qualified(database, table)}")
+
+
+def drop_partition(spark: SparkSession, database: str, table: str, column: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {qualified(database, table)} DROP IF EXISTS PARTITION ({column} = '{value}')")

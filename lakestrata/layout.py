@@ -12,15 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Layout:
-    """Directory convention of a lake: ``<root>/<layer>/<table>``."""
+    """Directory convention of a lake: ``<root>/<layer>/<table>``.
+
+    ``deliveries`` may name another root under which the raw files lie.
+    """
 
     root: str
+    deliveries: str | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def raw(self, table: str) -> str:
-        return self.path("raw", table)
+        return f"{(self.deliveries or self.root).rstrip('/')}/raw/{table}"
 
     def bronze(self, table: str) -> str:
         return self.path("bronze", table)
@@ -69,3 +73,45 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = working_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, as_path = _file_system(spark, path)
+    return files.exists(as_path(path))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, as_path = _file_system(spark, path)
+    files.delete(as_path(path), True)
+
+
+def swap_folder(spark: SparkSession, complete: str, target: str) -> None:
+    """Put the complete folder in the place of ``target``; both on one file system.
+
+    The old folder is moved aside and removed last. A run that dies in between
+    leaves it, and the next call that finds no ``target`` takes it back first.
+    """
+    files, as_path = _file_system(spark, target)
+    restore_folder(spark, target)
+    files.mkdirs(as_path(target).getParent())
+    aside = as_path(f"{target}.replaced")
+    files.delete(aside, True)
+    if files.exists(as_path(target)):
+        files.rename(as_path(target), aside)
+    if not files.rename(as_path(complete), as_path(target)):
+        raise RuntimeError(f"could not move {complete} to {target}")
+    files.delete(aside, True)
+
+
+def restore_folder(spark: SparkSession, target: str) -> None:
+    """Take back what a swap that died had moved aside."""
+    files, as_path = _file_system(spark, target)
+    aside = as_path(f"{target}.replaced")
+    if files.exists(aside) and not files.exists(as_path(target)):
+        files.rename(aside, as_path(target))

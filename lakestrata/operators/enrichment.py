@@ -51,6 +51,7 @@ def upsert(
     newest: Sequence = (),
     *,
     keep_when_null: bool = True,
+    many_changes: bool = False,
 ) -> DataFrame:
     """Target rows updated from ``changes``, plus the changes with new keys.
 
@@ -61,6 +62,8 @@ def upsert(
     The target is the big side. It is joined to the reduced changes from the
     left, so a small set of changes is broadcast and the target is not
     shuffled; only matched keys, at most one per change, decide what is new.
+    This reads the target twice. ``many_changes`` says that the changes are too many to
+    broadcast: one full join then reads and shuffles both sides once.
     """
     keys = list(keys)
     latest = keep_latest(changes.dropna(subset=keys), keys, newest)
@@ -71,7 +74,7 @@ def upsert(
 
     def merged(name: str):
         if name in keys:
-            return F.col(f"old.{name}")
+            return F.coalesce(f"old.{name}", f"new.{name}").alias(name)
         old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
         if keep_when_null:
             return F.coalesce(new, old).alias(name)
@@ -79,8 +82,10 @@ def upsert(
 
     updated = (
         target.alias("old")
-        .join(flagged.alias("new"), same_key, "left")
+        .join(flagged.alias("new"), same_key, "full" if many_changes else "left")
         .select(*[merged(c) for c in target.columns])
     )
+    if many_changes:
+        return updated
     matched = target.select(*keys).join(changes.select(*keys), keys, "left_semi")
     return updated.unionByName(changes.join(matched, keys, "left_anti"))

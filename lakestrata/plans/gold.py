@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import catalog, schemas
 from lakestrata.functions import blank_to_null, normalize_email, split_full_name
-from lakestrata.layout import Layout
-from lakestrata.operators import left_fill
+from lakestrata.layout import Layout, delete_folder, folder_exists
+from lakestrata.operators import duplicate_keys, left_fill, too_wide
 from lakestrata.sinks import observed, write_parquet
 from lakestrata.sources import read_parquet, read_partition_range, read_table
 
@@ -89,18 +90,33 @@ def silver_to_gold(
         read_table(spark, database, "user_profiles"),
         as_of,
         name_policy=name_policy,
+        profiles_are_unique=True,  # silver is written one row per address
     )
     write_parquet(enriched, lake.gold("user_profiles_enriched"))
 
 
+def check_gold_profiles(rows: DataFrame) -> None:
+    """Refuse rows that share a client_id or hold a text too long for its column."""
+    copies = duplicate_keys(rows, ["client_id"]).limit(5).collect()
+    if copies:
+        raise ValueError(f"client_id is not unique: {[r['client_id'] for r in copies]}")
+    wide = too_wide(rows, schemas.GOLD_PROFILE_WIDTHS).limit(5).collect()
+    if wide:
+        raise ValueError(f"texts are too long for gold: client_id {[r['client_id'] for r in wide]}")
+
+
 def load_gold_profiles(spark: SparkSession, lake: Layout, database: str = "gold") -> int:
-    """Load the whole enriched directory into the typed table; returns the row count."""
+    """Load the whole enriched directory into the typed table; returns the row count.
+
+    Fails before the table is touched when client_id is no key or a text is too long.
+    """
+    rows = read_parquet(spark, lake.gold("user_profiles_enriched"))
+    check_gold_profiles(rows)
     catalog.create_database(spark, database, lake.warehouse(database))
     location = f"{lake.warehouse(database)}/user_profiles_enriched"
     catalog.recreate_table(
         spark, database, "user_profiles_enriched", schemas.GOLD_PROFILES, location
     )
-    rows = read_parquet(spark, lake.gold("user_profiles_enriched"))
     counted, counts = observed(rows, "gold_profiles")
     catalog.insert_by_name(counted, database, "user_profiles_enriched", overwrite=True)
     return reconcile(
@@ -119,30 +135,58 @@ def load_gold_sales(
 ) -> int:
     """Load silver days ``first`` to ``last`` into the typed sales table.
 
-    The whole range is one insert, one folder per day; a day loaded again
-    replaces itself. ``append`` keeps the table and the days already in it.
+    The whole range is one insert, one folder per day. A fresh load goes to a new
+    directory and the table is pointed there once it is complete; the old directory is
+    then removed, so no day of an older load remains, in the table or on disk. ``append`` keeps the table
+    and its other days: days loaded again replace themselves, and days of the range that
+    have no rows any more are dropped.
     """
     catalog.create_database(spark, database, lake.warehouse(database))
-    if not append:
-        catalog.recreate_table(
-            spark,
-            database,
-            "sales",
-            schemas.GOLD_SALES,
-            f"{lake.warehouse(database)}/sales",
-            "purchase_date",
-            {"partitionOverwriteMode": "dynamic"},
-        )
     chosen = read_partition_range(
         spark, lake.silver("sales"), "purchase_date", first, last, schemas.SILVER_SALES
     )
     counted, counts = observed(chosen, "gold_sales")
-    # Silver files hold one day each, so writing by day needs no shuffle.
-    catalog.insert_by_name(counted, database, "sales", overwrite=True)
-    loaded = read_table(spark, database, "sales").where(
-        F.col("purchase_date").between(first, last)
+    if append and catalog.table_location(spark, database, "sales"):
+        # Silver files hold one day each, so writing by day needs no shuffle.
+        catalog.insert_by_name(counted, database, "sales", overwrite=True)
+        drop_empty_days(spark, chosen, database, first, last)
+        loaded = read_table(spark, database, "sales").where(
+            F.col("purchase_date").between(first, last)
+        )
+        return reconcile(counts.get["rows"], loaded)
+    old = catalog.table_location(spark, database, "sales")
+    location = f"{lake.warehouse(database)}/sales-{uuid.uuid4().hex}"
+    declare_gold_sales(spark, database, "sales_loading", location)
+    catalog.insert_by_name(counted, database, "sales_loading", overwrite=True)
+    found = reconcile(counts.get["rows"], read_table(spark, database, "sales_loading"))
+    declare_gold_sales(spark, database, "sales", location)
+    if folder_exists(spark, location):  # no folder when there were no rows
+        catalog.refresh_partitions(spark, database, "sales")
+    catalog.drop_table(spark, database, "sales_loading")
+    if old and old != location:
+        delete_folder(spark, old)
+    return found
+
+
+def declare_gold_sales(spark: SparkSession, database: str, table: str, location: str) -> None:
+    options = {"partitionOverwriteMode": "dynamic"}
+    catalog.recreate_table(
+        spark, database, table, schemas.GOLD_SALES, location, "purchase_date", options
     )
-    return reconcile(counts.get["rows"], loaded)
+
+
+def drop_empty_days(
+    spark: SparkSession, chosen: DataFrame, database: str, first: dt.date, last: dt.date
+) -> None:
+    """Drop days of the range from the table that ``chosen`` has no rows of."""
+    location = catalog.table_location(spark, database, "sales")
+    table = read_table(spark, database, "sales")
+    days = table.where(F.col("purchase_date").between(first, last)).select("purchase_date")
+    # At most one row per day of the range.
+    for row in days.distinct().join(chosen, "purchase_date", "left_anti").collect():
+        day = str(row["purchase_date"])
+        catalog.drop_partition(spark, database, "sales", "purchase_date", day)
+        delete_folder(spark, f"{location}/purchase_date={day}")
 
 
 def reconcile(written: int, loaded: DataFrame) -> int:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.operators import top_k
 
@@ -30,20 +31,41 @@ def sales_in_window(
 
 
 def purchases_by_state(
-    sales: DataFrame, users: DataFrame, ages: tuple[int, int] | None = None
+    sales: DataFrame,
+    users: DataFrame,
+    ages: tuple[int, int] | None = None,
+    years: range | None = None,
 ) -> DataFrame:
     """Purchases per state; ``ages`` limits the calendar-year difference to the birth date.
 
-    Only the year of a purchase matters for the age, so sales are counted per
-    client and year before they meet the users: a client with very many
-    purchases reaches the join as one row per year.
+    Only the year of a purchase matters for the age. With ``years``, which must cover all
+    sales, a client's purchases are counted per year in one row, so that one exchange of the sales
+    by client serves the count and the join, and users outside the birth years that can
+    match are left out before it. Without, a client has one row per year. Either way a
+    client with very many purchases reaches the join as few rows.
     """
-    per_client = sales.groupBy("client_id", F.year("purchase_date").alias("_year")).agg(
-        F.count(F.lit(1)).alias("_purchases")
-    )
-    joined = per_client.join(users, "client_id")
-    if ages is not None:
-        joined = joined.where((F.col("_year") - F.year("birth_date")).between(*ages))
+    if ages is None:
+        per_client = sales.groupBy("client_id").agg(F.count(F.lit(1)).alias("_purchases"))
+        joined = per_client.join(users, "client_id")
+        return joined.groupBy("state").agg(F.sum("_purchases").alias("purchases"))
+    if years is None:
+        per_client = sales.groupBy("client_id", F.year("purchase_date").alias("_year")).agg(
+            F.count(F.lit(1)).alias("_purchases")
+        )
+        age = F.col("_year") - F.year("birth_date")
+        joined = per_client.join(users, "client_id").where(age.between(*ages))
+        return joined.groupBy("state").agg(F.sum("_purchases").alias("purchases"))
+    youngest, oldest = ages
+    counts = [F.count_if(F.year("purchase_date") == y).alias(f"_in_{y}") for y in years]
+    per_client = sales.groupBy("client_id").agg(*counts)
+    born = F.year("birth_date")
+    able = users.where(born.between(years[0] - oldest, years[-1] - youngest))
+    joined = per_client.join(able, "client_id").withColumn("_born", born)
+    matching = [
+        F.when((F.lit(y) - F.col("_born")).between(*ages), F.col(f"_in_{y}")).otherwise(0) for y in years
+    ]
+    joined = joined.withColumn("_purchases", functools.reduce(Column.__add__, matching))
+    joined = joined.where(F.col("_purchases") > 0)
     return joined.groupBy("state").agg(F.sum("_purchases").alias("purchases"))
 
 
@@ -56,5 +78,7 @@ def top_states(
     **window,
 ) -> DataFrame:
     """The ``k`` states with most purchases; equal counts are ordered by state name."""
-    counts = purchases_by_state(sales_in_window(sales, product, **window), users, ages)
+    first, last = window.get("first"), window.get("last")
+    years = range(first.year, last.year + 1) if first and last and first <= last else None
+    counts = purchases_by_state(sales_in_window(sales, product, **window), users, ages, years)
     return top_k(counts, "purchases", k, ["state"])

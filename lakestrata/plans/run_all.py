@@ -14,18 +14,18 @@ from lakestrata.sources import read_table
 
 
 def process_sales(spark: SparkSession, lake: Layout) -> dict:
-    by_day = sales.is_clustered(sales.raw_to_bronze(spark, lake))
-    return sales.bronze_to_silver(spark, lake, clustered=by_day).get
+    sales.raw_to_bronze(spark, lake)
+    return sales.bronze_to_silver(spark, lake).get
 
 
-def process_customers(spark: SparkSession, lake: Layout) -> None:
+def process_customers(spark: SparkSession, lake: Layout) -> dict:
     customers.raw_to_bronze(spark, lake)
-    customers.bronze_to_silver(spark, lake)
+    return customers.bronze_to_silver(spark, lake).get
 
 
-def process_profiles(spark: SparkSession, lake: Layout, as_of: Column | None = None) -> None:
+def process_profiles(spark: SparkSession, lake: Layout, as_of: Column | None = None) -> dict:
     profiles.raw_to_bronze(spark, lake)
-    profiles.bronze_to_silver(spark, lake, as_of)
+    return profiles.bronze_to_silver(spark, lake, as_of).get
 
 
 def enrich(
@@ -85,7 +85,14 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--documents", help="food documents, for the step 'food'")
     args.add_argument("--output", help="CSV output directory, for the step 'food'")
     args.add_argument("--derived", help="for 'food': write the derived rows here as Parquet, too")
+    args.add_argument("--lines", action="store_true", help="for 'food': documents are JSON Lines")
     given = args.parse_args(argv)
+    needed = {
+        "load-sales": ("first", "last"), "all": ("first", "last"), "food": ("documents", "output")
+    }
+    missing = [f"--{n}" for n in needed.get(given.step, ()) if getattr(given, n) is None]
+    if missing:
+        args.error(f"the step '{given.step}' needs {' and '.join(missing)}")
 
     spark = build_session(f"lakestrata-{given.step}")
     lake = Layout(given.root)
@@ -93,9 +100,9 @@ def main(argv: list[str] | None = None) -> None:
     if given.step == "customers" and given.dump:
         customers.apply_dump(spark, lake, given.dump)
     elif given.step == "customers":
-        process_customers(spark, lake)
+        print(process_customers(spark, lake))
     elif given.step == "profiles":
-        process_profiles(spark, lake, as_of)
+        print(process_profiles(spark, lake, as_of))
         if given.then_enrich:
             print(enrich(spark, lake, as_of))
     elif given.step == "sales":
@@ -105,9 +112,11 @@ def main(argv: list[str] | None = None) -> None:
     elif given.step == "load-sales":
         print(gold.load_gold_sales(spark, lake, given.first, given.last))
     elif given.step == "food":
-        print(food.export_food_statistics(spark, given.documents, given.output))
-        if given.derived:
-            food.write_derived_foods(spark, given.documents, given.derived)
+        print(
+            food.export_foods(
+                spark, given.documents, given.output, given.derived, lines=given.lines
+            )
+        )
     else:
         run_all(spark, lake, given.product, given.first, given.last, as_of=as_of).show()
 

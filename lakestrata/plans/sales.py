@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.functions import FOLDER_DAY, STRICT_DAY, parse_day, parse_int, parse_money
-from lakestrata.layout import Layout
+from lakestrata.functions import parse_day, parse_int, parse_money
+from lakestrata.layout import Layout, delete_folder
 from lakestrata.operators import (
     REJECT_REASON,
     accepted_rows,
@@ -17,16 +18,17 @@ from lakestrata.operators import (
     rejected_rows,
     trim_strings,
 )
-from lakestrata.sinks import observed, write_parquet, write_partitioned
+from lakestrata.sinks import observed, write_partitioned
 from lakestrata.sources import (
     SOURCE_FILE,
     read_csv_text,
     read_parquet,
-    source_folder,
+    read_partition_range,
     with_source_file,
 )
 
-BRONZE = f"{schemas.RAW_SALES}, {SOURCE_FILE} STRING"
+BRONZE_DAY = "purchase_day"
+BRONZE = f"{schemas.RAW_SALES}, {SOURCE_FILE} STRING, {BRONZE_DAY} DATE"
 
 
 def bronze_sales(raw: DataFrame) -> DataFrame:
@@ -34,6 +36,11 @@ def bronze_sales(raw: DataFrame) -> DataFrame:
     return trim_strings(with_source_file(raw), skip=[SOURCE_FILE])
 
 
+def bronze_by_day(bronze: DataFrame) -> DataFrame:
+    """Adds the day that bronze is laid out by; NULL where the text is no day."""
+    return bronze.withColumn(BRONZE_DAY, parse_day(F.trim("PurchaseDate")))
+
+
 def typed_sales(bronze: DataFrame) -> DataFrame:
     """Typed columns plus the reason a row cannot be accepted, if any."""
     typed = bronze.select(
@@ -60,46 +67,20 @@ def rejected_sales(bronze: DataFrame) -> DataFrame:
     return rejected_rows(typed_sales(bronze))
 
 
-def misfiled() -> Column:
-    """Whether a bronze row lies in a folder that names another day (or month)."""
-    day, folder = parse_day(F.col("PurchaseDate")), source_folder(F.col(SOURCE_FILE))
-    at_home = (parse_day(folder, FOLDER_DAY) == day) | F.date_format(day, STRICT_DAY).startswith(
-        folder
-    )
-    return day.isNotNull() & ~F.coalesce(at_home, F.lit(False))
-
-
 def raw_to_bronze(spark: SparkSession, lake: Layout) -> Observation:
-    """Rewrite all of bronze; returns ``rows`` and ``misfiled`` rows of the pass."""
-    raw = read_csv_text(spark, lake.raw("sales/*/*.csv"), schemas.RAW_SALES)
-    counted, counts = observed(
-        bronze_sales(raw),
-        "bronze_sales",
-        rows=F.count(F.lit(1)),
-        misfiled=F.count_if(misfiled()),
-    )
-    write_parquet(counted, lake.bronze("sales"))
-    return counts
+    """Rewrite all of bronze, one folder per purchase day; returns ``rows`` of the pass.
 
-
-def is_clustered(counts: Observation) -> bool:
-    """Whether bronze lies by day well enough to be written by day as it is.
-
-    A misfiled row may cost a file of its own, so they must be few.
+    Rows without a readable day share a folder. The day is that of the purchase and
+    not that of the delivery, so a replay finds late rows without reading other days.
     """
-    found = counts.get
-    return found["misfiled"] * 1000 <= found["rows"]
-
+    raw = read_csv_text(spark, lake.raw("sales/*/*.csv"), schemas.RAW_SALES)
+    counted, counts = observed(bronze_by_day(bronze_sales(raw)), "bronze_sales")
+    write_partitioned(counted, lake.bronze("sales"), BRONZE_DAY)
+    return counts
 
-def bronze_to_silver(
-    spark: SparkSession, lake: Layout, *, clustered: bool = False
-) -> Observation:
-    """Rewrite all of silver; returns ``rows_in`` and ``rows_accepted`` of the pass.
 
-    Raw files come in one folder per day and bronze keeps their order. Where
-    that was found to hold (``clustered``), each task has few days and the rows
-    are written without a shuffle.
-    """
+def bronze_to_silver(spark: SparkSession, lake: Layout) -> Observation:
+    """Rewrite all of silver; returns ``rows_in`` and ``rows_accepted`` of the pass."""
     marked = typed_sales(read_parquet(spark, lake.bronze("sales"), BRONZE))
     counted, counts = observed(
         marked,
@@ -107,14 +88,26 @@ def bronze_to_silver(
         rows_in=F.count(F.lit(1)),
         rows_accepted=F.count_if(F.col(REJECT_REASON).isNull()),
     )
-    write_partitioned(
-        accepted_rows(counted), lake.silver("sales"), "purchase_date", clustered=clustered
-    )
+    write_partitioned(accepted_rows(counted), lake.silver("sales"), "purchase_date")
     return counts
 
 
 def replay_days(spark: SparkSession, lake: Layout, days: Sequence[dt.date]) -> None:
-    """Rebuild only the given purchase days of silver; other days stay untouched."""
-    silver = silver_sales(read_parquet(spark, lake.bronze("sales"), BRONZE))
-    chosen = silver.where(F.col("purchase_date").isin(list(days)))
-    write_partitioned(chosen, lake.silver("sales"), "purchase_date", replay=True)
+    """Rebuild only the given purchase days of silver; other days stay untouched.
+
+    Only the bronze folders of these days are read. Days with rows replace their
+    folders; the folders of days that no longer have any are removed after that.
+    """
+    path = lake.silver("sales")
+    rows = [
+        read_partition_range(spark, lake.bronze("sales"), BRONZE_DAY, day, day, BRONZE)
+        for day in sorted(set(days))
+    ]
+    if not rows:
+        return
+    silver = silver_sales(functools.reduce(DataFrame.unionByName, rows))
+    write_partitioned(silver, path, "purchase_date", replay=True)
+    # One row per given day at most.
+    present = {r[0] for r in silver.select("purchase_date").distinct().collect()}
+    for day in set(days) - present:
+        delete_folder(spark, f"{path}/purchase_date={day}")

@@ -8,23 +8,20 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import catalog, schemas
-from lakestrata.layout import Layout, working_folder
-from lakestrata.operators import upsert
+from lakestrata.layout import Layout, materialize, working_folder
+from lakestrata.operators import duplicate_keys, too_wide, upsert
 from lakestrata.plans import customers, gold, profiles, run_all, sales
 from lakestrata.queries.inputs import (
     CUSTOMERS_SQL,
     PROFILE_DAY,
     PROFILES_SQL,
     SALES_SQL,
-    deliver_customers,
-    deliver_profiles,
-    deliver_sales,
     new_lake,
     table,
 )
 from lakestrata.queries.registry import query
 from lakestrata.sinks import write_parquet, write_partitioned
-from lakestrata.sources import read_csv_text, read_json_lines, read_table
+from lakestrata.sources import read_csv_text, read_json_lines, read_parquet, read_table
 
 def as_of() -> Column:
     return F.lit(PROFILE_DAY).cast("date")
@@ -37,9 +34,7 @@ def fresh_database(kind: str) -> str:
 
 def silver_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Silver customers and profiles straight from delivered files."""
-    lake = new_lake(spark)
-    deliver_customers(spark, sf_dir, lake)
-    deliver_profiles(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     dumps = read_csv_text(spark, lake.raw("customers/*/*.csv"), schemas.RAW_CUSTOMERS)
     records = read_json_lines(spark, lake.raw("user_profiles/*.json"), schemas.RAW_PROFILES)
     return (
@@ -74,9 +69,7 @@ def enrich_verbatim_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_lake(spark: SparkSession, sf_dir: str) -> Layout:
-    lake = new_lake(spark)
-    deliver_customers(spark, sf_dir, lake)
-    deliver_profiles(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     run_all.process_customers(spark, lake)
     run_all.process_profiles(spark, lake, as_of())
     return lake
@@ -95,8 +88,7 @@ FIRST, LAST = dt.date(1997, 9, 1), dt.date(1997, 10, 31)
 
 
 def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     raw = read_csv_text(spark, lake.raw("sales/*/*.csv"), schemas.RAW_SALES)
     return sales.silver_sales(sales.bronze_sales(raw))
 
@@ -108,30 +100,65 @@ def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_sales_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months of silver into the typed sales table; the second half is loaded twice."""
     lake, gold_db = new_lake(spark), fresh_database("g")
-    write_partitioned(
-        sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date", clustered=True
-    )
+    write_partitioned(sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date")
     gold.load_gold_sales(spark, lake, FIRST, LAST, gold_db)
     middle = FIRST + (LAST - FIRST) / 2
     gold.load_gold_sales(spark, lake, middle, LAST, gold_db, append=True)
     return read_table(spark, gold_db, "sales")
 
 
+NARROW_FIRST, NARROW_LAST = dt.date(1997, 9, 5), dt.date(1997, 9, 20)
+
+
+@query(
+    f"SELECT * FROM ({SALES_SQL}) AS s "
+    f"WHERE purchase_date BETWEEN DATE '{NARROW_FIRST}' AND DATE '{NARROW_LAST}'"
+)
+def gold_sales_reloaded_narrower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fresh load of fewer days leaves no older day in the table's directory."""
+    lake, gold_db = new_lake(spark), fresh_database("g")
+    write_partitioned(sales_frame(spark, sf_dir), lake.silver("sales"), "purchase_date")
+    gold.load_gold_sales(spark, lake, FIRST, LAST, gold_db)
+    gold.load_gold_sales(spark, lake, NARROW_FIRST, NARROW_LAST, gold_db)
+    location = catalog.table_location(spark, gold_db, "sales")
+    on_disk = read_parquet(spark, location, schemas.SILVER_SALES)
+    # The directory is read, and the table must agree with it.
+    assert on_disk.count() == read_table(spark, gold_db, "sales").count()
+    return on_disk
+
+
+@query(
+    f"SELECT count(*) AS rows_in, count(DISTINCT client_id) AS clients, 0::BIGINT AS repeated, "
+    f"0::BIGINT AS wide FROM ({ENRICHED_SQL}) AS e"
+)
+def gold_profiles_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checks before a gold load find: nothing repeated, nothing too wide."""
+    found, known = silver_frames(spark, sf_dir)
+    enriched = materialize(gold.enrich_customers(found, known, as_of()), "enriched")
+    gold.check_gold_profiles(enriched)
+    return enriched.agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_distinct("client_id").alias("clients")
+    ).select(
+        "*",
+        F.lit(duplicate_keys(enriched, ["client_id"]).count()).cast("long").alias("repeated"),
+        F.lit(too_wide(enriched, schemas.GOLD_PROFILE_WIDTHS).count()).cast("long").alias("wide"),
+    )
+
+
 @query(
-    "SELECT o_orderkey, o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month "
-    "FROM orders"
+    "SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders"
 )
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files by month registered as a table, dropped, registered again, and read by name."""
+    """Files by day registered as a table, dropped, registered again, and read by name."""
     location, database = working_folder(spark, "orders"), fresh_database("c")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderpriority", F.trunc("o_orderdate", "month").alias("month")
+        "o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day")
     )
-    write_partitioned(rows, location, "month")
+    write_partitioned(rows, location, "day")
     catalog.create_database(spark, database, working_folder(spark, "database"))
-    columns = "o_orderkey BIGINT, o_orderpriority STRING, month DATE"
+    columns = "o_orderkey BIGINT, o_orderpriority STRING, day DATE"
     for _ in range(2):
-        catalog.recreate_table(spark, database, "orders", columns, location, "month")
+        catalog.recreate_table(spark, database, "orders", columns, location, "day")
         catalog.refresh_partitions(spark, database, "orders")
     return read_table(spark, database, "orders")
 
@@ -209,10 +236,7 @@ FULL_FIRST, FULL_LAST = dt.date(1997, 9, 1), dt.date(1998, 2, 28)
 )
 def raw_files_to_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step in order: raw CSV and JSON to bronze, silver, gold and the top states."""
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
-    deliver_customers(spark, sf_dir, lake)
-    deliver_profiles(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     return run_all.run_all(
         spark,
         lake,

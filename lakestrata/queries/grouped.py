@@ -105,12 +105,11 @@ def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_id, ts, user_id, event_type, value FROM events "
+    "SELECT event_id, ts, user_id, event_type, value, props FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 )
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").drop("props")
-    return keep_latest(events, ["user_id"], [F.col("ts")])
+    return keep_latest(table(spark, sf_dir, "events"), ["user_id"], ["ts"])
 
 
 @query(

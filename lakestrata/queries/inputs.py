@@ -44,8 +44,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
-def new_lake(spark: SparkSession) -> Layout:
-    return Layout(working_folder(spark, "lake"))
+_DELIVERED: dict[tuple[str, str], object] = {}
+
+
+def delivered(spark: SparkSession, sf_dir: str) -> Layout:
+    """All raw files made from one set of tables, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DELIVERED:
+        lake = Layout(working_folder(spark, "deliveries"))
+        for write in (write_sales, write_customers, write_profiles):
+            write(spark, sf_dir, lake)
+        _DELIVERED[key] = lake
+    return _DELIVERED[key]
+
+
+def deliver_food_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the documents as JSON Lines, written once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} food")
+    if key not in _DELIVERED:
+        _DELIVERED[key] = write_food_lines(spark, sf_dir)
+    return _DELIVERED[key]
+
+
+def new_lake(spark: SparkSession, sf_dir: str | None = None) -> Layout:
+    """An empty lake; with the raw files of a set of tables if these are named."""
+    root = working_folder(spark, "lake")
+    return Layout(root, delivered(spark, sf_dir).root if sf_dir else None)
 
 
 def single_precision(name: str) -> Column:
@@ -69,8 +93,8 @@ def birth_date() -> Column:
 
 # --- sales -------------------------------------------------------------------
 
-# A sale counts on the Monday of the order's week: some 340 purchase days in all.
-SALE_DAY_SQL = "CAST(date_trunc('week', o_orderdate) AS DATE)"
+# A sale counts on the day of its order.
+SALE_DAY_SQL = "CAST(o_orderdate AS DATE)"
 
 # Orders whose sale is made unreadable, and why; first match counts.
 SALES_REJECT_SQL = """CASE
@@ -87,7 +111,7 @@ SALES_SQL = f"""SELECT o_orderpriority AS product_name, CAST(o_custkey AS INTEGE
 
 def sales_text(orders: DataFrame) -> DataFrame:
     """Orders as the text of a sales file, some of it unusable."""
-    day = F.trunc("o_orderdate", "week")
+    day = F.col("o_orderdate").cast("date")
     low = F.col("o_orderpriority") == "5-LOW"
     unspecified = F.col("o_orderpriority") == "4-NOT SPECIFIED"
     status = F.col("o_orderstatus")
@@ -105,7 +129,7 @@ def sales_text(orders: DataFrame) -> DataFrame:
         .when(unspecified & (status == "O"), F.lit(None))
         .otherwise(F.concat(F.lit(" $"), F.replace(amount, F.lit(","), F.lit(", "))))
         .alias("Price"),
-        F.date_format(day, "yyyy-MM").alias("arrival"),
+        lenient_day(day).alias("arrival"),
     )
 
 
@@ -118,8 +142,8 @@ def write_text_csv(df: DataFrame, path: str, by: str | None = None) -> None:
     writer.csv(path)
 
 
-def deliver_sales(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
-    """Sales files, one folder per month of arrival."""
+def write_sales(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
+    """Sales files, one folder per day."""
     rows = sales_text(table(spark, sf_dir, "orders"))
     write_text_csv(rows.hint("rebalance", F.col("arrival")), lake.raw("sales"), "arrival")
 
@@ -166,7 +190,7 @@ def customers_text(customer: DataFrame, dump: str) -> DataFrame:
     )
 
 
-def deliver_customers(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
+def write_customers(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
     customer = table(spark, sf_dir, "customer")
     for dump in DUMPS:
         write_text_csv(customers_text(customer, dump), lake.raw(f"customers/{dump}"))
@@ -212,7 +236,7 @@ def profiles_text(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def deliver_profiles(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
+def write_profiles(spark: SparkSession, sf_dir: str, lake: Layout) -> None:
     rows = profiles_text(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
     rows.write.json(lake.raw("user_profiles"))
 
@@ -289,7 +313,7 @@ def food_documents(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(foods.alias("foods"))
 
 
-def deliver_food_lines(spark: SparkSession, sf_dir: str) -> str:
+def write_food_lines(spark: SparkSession, sf_dir: str) -> str:
     """The documents as JSON Lines."""
     path = working_folder(spark, "food-lines")
     food_documents(table(spark, sf_dir, "lineitem")).write.json(path)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.layout import working_folder
+from lakestrata.layout import materialize, working_folder
 from lakestrata.operators import REJECT_REASON, average_by, rows_by
 from lakestrata.plans import customers, profiles, run_all, sales
 from lakestrata.queries.inputs import (
@@ -18,9 +18,7 @@ from lakestrata.queries.inputs import (
     SALE_DAY_SQL,
     SALES_REJECT_SQL,
     SALES_SQL,
-    deliver_customers,
-    deliver_profiles,
-    deliver_sales,
+    TABLES,
     new_lake,
     single_precision,
     table,
@@ -34,7 +32,6 @@ from lakestrata.sources import (
     read_json_lines,
     read_parquet,
     read_partition_range,
-    source_folder,
     with_source_file,
 )
 from lakestrata.streaming import ingest_new_sales, refine_new_sales
@@ -44,28 +41,32 @@ BRONZE_SALES_SQL = f"""SELECT
       AS "CustomerId",
     CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN strftime(sale_day, '%Y/%m/%d')
       ELSE strftime(sale_day, '%Y-%m-') || day(sale_day) END AS "PurchaseDate",
-    o_orderpriority AS "Product", strftime(sale_day, '%Y-%m') AS folder
-  FROM (SELECT *, {SALE_DAY_SQL} AS sale_day FROM orders) AS dated"""
+    o_orderpriority AS "Product",
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN amount || 'USD'
+      WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O' THEN NULL
+      ELSE '$' || replace(amount, ',', ', ') END AS "Price",
+    'arrival=' || strftime(sale_day, '%Y-%m-') || day(sale_day) AS folder
+  FROM (SELECT *, {SALE_DAY_SQL} AS sale_day, format('{{:,.2f}}', o_totalprice) AS amount
+        FROM orders) AS dated"""
 
 
 @query(BRONZE_SALES_SQL)
 def sales_raw_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated CSV folders read as one; the folder is recovered from the source file."""
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     sales.raw_to_bronze(spark, lake)
     return read_parquet(spark, lake.bronze("sales"), sales.BRONZE).select(
         "CustomerId",
         "PurchaseDate",
         "Product",
-        source_folder(F.col(SOURCE_FILE)).alias("folder"),
+        "Price",
+        F.element_at(F.split(SOURCE_FILE, "/"), -2).alias("folder"),
     )
 
 
 @query(SALES_SQL)
 def sales_raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     run_all.process_sales(spark, lake)
     return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
 
@@ -75,8 +76,7 @@ def sales_raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WHERE {SALES_REJECT_SQL} IS NOT NULL GROUP BY 1"
 )
 def sales_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     raw = read_csv_text(spark, lake.raw("sales/*/*.csv"), schemas.RAW_SALES)
     rejected = sales.rejected_sales(sales.bronze_sales(raw))
     return rows_by(rejected, [REJECT_REASON], "sales")
@@ -88,8 +88,7 @@ def sales_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sales_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts observed while silver was written, without a pass of their own."""
-    lake = new_lake(spark)
-    deliver_sales(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     counts = run_all.process_sales(spark, lake)
     return spark.createDataFrame(
         [(counts["rows_in"], counts["rows_accepted"])], "rows_in BIGINT, rows_accepted BIGINT"
@@ -99,8 +98,7 @@ def sales_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SALES_SQL)
 def sales_in_daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same silver table from two runs that each take only new files."""
-    lake, arriving = new_lake(spark), new_lake(spark)
-    deliver_sales(spark, sf_dir, arriving)
+    lake, arriving = new_lake(spark), new_lake(spark, sf_dir)
     delivered = read_csv_text(spark, arriving.raw("sales/*/*.csv"), schemas.RAW_SALES)
     early = F.col("_metadata.file_path").contains("arrival=199")
     for year_range, chosen in (("early", early), ("late", ~early)):
@@ -116,8 +114,7 @@ def sales_in_daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CUSTOMERS_SQL)
 def customers_dumps_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping dumps; every client as the newest dump that holds it says."""
-    lake = new_lake(spark)
-    deliver_customers(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     customers.raw_to_bronze(spark, lake)
     customers.bronze_to_silver(spark, lake)
     return read_parquet(spark, lake.silver("customers"), schemas.SILVER_CUSTOMERS)
@@ -125,78 +122,146 @@ def customers_dumps_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CUSTOMERS_SQL)
 def customers_dumps_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from the first dump alone, with each later dump merged as it comes."""
-    lake = new_lake(spark)
-    deliver_customers(spark, sf_dir, lake)
-    earliest, *later = DUMPS
-    first = read_csv_text(spark, lake.raw(f"customers/{earliest}"), schemas.RAW_CUSTOMERS)
-    initial = customers.silver_customers(customers.bronze_customers(first))
-    write_parquet(initial, lake.silver("customers"))
-    for dump in later:
+    """The same from dumps merged one by one, out of order and one of them twice."""
+    lake = new_lake(spark, sf_dir)
+    first, second, third = DUMPS
+    for dump in (second, third, first, second):
         customers.apply_dump(spark, lake, dump)
     return read_parquet(spark, lake.silver("customers"), schemas.SILVER_CUSTOMERS)
 
 
+@query(
+    "SELECT 'no email' AS reject_reason, count(*) AS customers FROM customer "
+    "WHERE c_acctbal < 0 AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')"
+)
+def customers_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first dump that are left out, by reason."""
+    lake = new_lake(spark, sf_dir)
+    path = lake.raw(f"customers/{next(iter(DUMPS))}")
+    raw = read_csv_text(spark, path, schemas.RAW_CUSTOMERS)
+    rejected = customers.rejected_customers(customers.bronze_customers(raw))
+    return rows_by(rejected, [REJECT_REASON], "customers")
+
+
+@query(
+    "SELECT 'no email' AS reject_reason, count(*) AS profiles FROM customer "
+    "WHERE c_mktsegment = 'FURNITURE' UNION ALL "
+    "SELECT 'malformed line', count(*) FROM customer WHERE c_mktsegment = 'MACHINERY'"
+)
+def profiles_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles without an address, and lines cut off in the middle, by reason."""
+    lake = new_lake(spark)
+    profile_lines(spark, sf_dir).write.text(lake.raw("user_profiles/part.json"))
+    profiles.raw_to_bronze(spark, lake)
+    bronze = read_parquet(spark, lake.bronze("user_profiles"), profiles.BRONZE)
+    return rows_by(profiles.rejected_profiles(bronze), [REJECT_REASON], "profiles")
+
+
+def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as JSON lines with a field that no schema names; some are cut off."""
+    whole = F.to_json(
+        F.struct(
+            F.when(F.col("c_mktsegment") != "FURNITURE", F.concat(F.col("c_custkey").cast("string"), F.lit("@x.com")))
+            .alias("email"),
+            F.col("c_name").alias("full_name"),
+            F.col("c_acctbal").alias("balance"),
+        )
+    )
+    cut = F.when(F.col("c_mktsegment") == "MACHINERY", F.substring(whole, 1, 20)).otherwise(whole)
+    return table(spark, sf_dir, "customer").select(cut.alias("value"))
+
+
+@query(
+    "SELECT c_custkey || '@x.com' AS email, c_acctbal AS balance FROM customer "
+    "WHERE c_mktsegment NOT IN ('FURNITURE', 'MACHINERY')"
+)
+def profiles_bronze_keeps_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field unknown when bronze was written can still be read from its lines."""
+    lake = new_lake(spark)
+    profile_lines(spark, sf_dir).write.text(lake.raw("user_profiles/part.json"))
+    profiles.raw_to_bronze(spark, lake)
+    bronze = read_parquet(spark, lake.bronze("user_profiles"), profiles.BRONZE)
+    good = bronze.where(F.col("email").isNotNull() & ~F.col(profiles.MALFORMED))
+    return good.select("email", F.get_json_object(profiles.LINE, "$.balance").cast("double").alias("balance"))
+
+
+EMPTIED = dt.date(1997, 9, 3)
+
+
+@query(f"SELECT * FROM ({SALES_SQL}) AS s WHERE purchase_date <> DATE '{EMPTIED}'")
+def sales_day_emptied_by_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose bronze rows are all unusable by now is gone after its replay."""
+    lake = new_lake(spark, sf_dir)
+    run_all.process_sales(spark, lake)
+    day = f"{lake.bronze('sales')}/{sales.BRONZE_DAY}={EMPTIED}"
+    schema = f"{schemas.RAW_SALES}, {SOURCE_FILE} STRING"
+    broken = read_parquet(spark, day, schema).withColumn("Price", F.lit("no price"))
+    write_parquet(materialize(broken, "broken-day"), day)
+    sales.replay_days(spark, lake, [EMPTIED])
+    return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
+
+
 @query(PROFILES_SQL)
 def profiles_raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = new_lake(spark)
-    deliver_profiles(spark, sf_dir, lake)
+    lake = new_lake(spark, sf_dir)
     profiles.raw_to_bronze(spark, lake)
     profiles.bronze_to_silver(spark, lake, F.lit(PROFILE_DAY).cast("date"))
     return read_parquet(spark, lake.silver("user_profiles"), schemas.SILVER_PROFILES)
 
 
-@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "json-lines")
     table(spark, sf_dir, "customer").write.json(path)
-    return read_json_lines(spark, path, "c_custkey BIGINT, c_name STRING, c_mktsegment STRING")
+    return read_json_lines(spark, path, TABLES["customer"])
 
 
 @query("SELECT e.event_id, e.event_type, true AS has_file FROM events AS e")
 def parquet_scan_with_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "events")
     write_parquet(table(spark, sf_dir, "events"), path)
-    found = F.col(SOURCE_FILE).endswith(".parquet") & F.col(SOURCE_FILE).startswith("file:")
+    # The shared folder may be named with or without a scheme.
+    folder = path.rstrip("/").rpartition("/")[2]
+    found = F.col(SOURCE_FILE).endswith(".parquet") & F.col(SOURCE_FILE).contains(f"/{folder}/")
     return with_source_file(read_parquet(spark, path)).select(
         "event_id", "event_type", found.alias("has_file")
     )
 
 
-FIRST, LAST = dt.date(1997, 9, 1), dt.date(1998, 2, 1)
-MONTH_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
+FIRST, LAST = dt.date(1997, 9, 1), dt.date(1998, 2, 28)
+DAY_SQL = "CAST(o_orderdate AS DATE)"
 
 
-def orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("month")
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day")
     )
 
 
 @query(
-    f"SELECT o_orderkey, o_totalprice, {MONTH_SQL} AS month FROM orders "
-    f"WHERE {MONTH_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
+    f"SELECT o_orderkey, o_totalprice, {DAY_SQL} AS day FROM orders "
+    f"WHERE {DAY_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
 )
 def partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = working_folder(spark, "orders-by-month")
-    write_partitioned(orders_by_month(spark, sf_dir), path, "month")
-    return read_partition_range(spark, path, "month", FIRST, LAST)
+    path = working_folder(spark, "orders-by-day")
+    write_partitioned(orders_by_day(spark, sf_dir), path, "day")
+    return read_partition_range(spark, path, "day", FIRST, LAST)
 
 
 @query(
-    f"""SELECT o_orderkey, CASE WHEN {MONTH_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
-      THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, {MONTH_SQL} AS month FROM orders"""
+    f"""SELECT o_orderkey, CASE WHEN {DAY_SQL} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+      THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, {DAY_SQL} AS day FROM orders"""
 )
 def partition_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six months are written again with other prices; all others stay as they were."""
+    """The days of six months are written again with other prices; all others stay."""
     path = working_folder(spark, "orders-replayed")
-    months = orders_by_month(spark, sf_dir)
-    write_partitioned(months, path, "month")
-    again = months.where(F.col("month").between(FIRST, LAST)).withColumn(
+    days = orders_by_day(spark, sf_dir)
+    write_partitioned(days, path, "day")
+    again = days.where(F.col("day").between(FIRST, LAST)).withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
-    write_partitioned(again, path, "month", replay=True)
-    return read_parquet(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, month DATE")
+    write_partitioned(again, path, "day", replay=True)
+    return read_parquet(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, day DATE")
 
 
 @query(

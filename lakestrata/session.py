@@ -19,6 +19,11 @@ SETTINGS = {
 }
 
 
+# Shuffles start with this many partitions and AQE merges them to the advisory size; one row per
+# key cannot be cut again later. For a cluster only: small local runs gain nothing from it.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
+
 def build_session(app_name: str, **extra: str) -> SparkSession:
     """A session with :data:`SETTINGS`, plus ``extra`` given as ``key__with__dots``."""
     builder = SparkSession.builder.appName(app_name)
@@ -26,4 +31,9 @@ def build_session(app_name: str, **extra: str) -> SparkSession:
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    if not session.conf.get("spark.master", "").startswith("local"):
+        for key, value in CLUSTER_SETTINGS.items():
+            if session.conf.get(key, None) is None:
+                session.conf.set(key, value)
+    return session

@@ -18,20 +18,20 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, column: str, *, replay: bool = False, clustered: bool = False
+    df: DataFrame, path: str, column: str, *, replay: bool = False
 ) -> None:
     """Write one folder per value of ``column``.
 
     Rows are first rebalanced by ``column``: AQE merges small values and cuts a
     value that holds much of the data into pieces of the advisory size, so no
-    task and no file has to take a hot day alone. Set ``clustered`` when the
-    input already comes day by day; the shuffle is then left out.
+    task and no file has to take a hot day alone, and a day has few files however
+    the input lay.
 
     ``replay`` replaces only the days present in ``df``; otherwise everything.
     """
-    rows = df if clustered else df.hint("rebalance", F.col(column))
     (
-        rows.write.mode("overwrite")
+        df.hint("rebalance", F.col(column))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replay else "static")
         .partitionBy(column)
         .parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata import schemas
 from lakestrata.layout import Layout
-from lakestrata.plans.sales import BRONZE, bronze_sales, silver_sales
+from lakestrata.plans.sales import BRONZE, BRONZE_DAY, bronze_by_day, bronze_sales, silver_sales
 
 
 def _drain(rows: DataFrame, lake: Layout, name: str, path: str, by: str | None = None) -> None:
@@ -39,7 +39,8 @@ def ingest_new_sales(spark: SparkSession, lake: Layout, files_per_batch: int = 1
         .options(header=True, mode="PERMISSIVE", maxFilesPerTrigger=files_per_batch)
         .csv(lake.raw("sales/*/*.csv"))
     )
-    _drain(bronze_sales(arrivals), lake, "bronze-sales", lake.bronze("sales"))
+    rows = bronze_by_day(bronze_sales(arrivals))
+    _drain(rows, lake, "bronze-sales", lake.bronze("sales"), by=BRONZE_DAY)
 
 
 def refine_new_sales(spark: SparkSession, lake: Layout, files_per_batch: int = 10_000) -> None:

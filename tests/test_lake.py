@@ -1,11 +1,12 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import put
-from lakestrata import catalog, schemas, sinks, sources
+from lakestrata import catalog, layout, schemas, sinks, sources
 from lakestrata.plans import customers, gold, profiles, question, run_all, sales
 from lakestrata.streaming import ingest_new_sales, refine_new_sales
 
@@ -46,23 +47,73 @@ def test_sales(spark, shop):
     assert rows(rejected) == [("bad client_id", 2), ("bad price", 3), ("bad purchase_date", 1)]
 
 
-def test_misfiled_sales_are_noticed(spark, shop):
-    counts = sales.raw_to_bronze(spark, shop)
-    assert counts.get == {"rows": 11, "misfiled": 0} and sales.is_clustered(counts)
+def test_sales_rerun_gives_the_same(spark, shop):
+    sales.raw_to_bronze(spark, shop)
+    for _ in range(2):
+        sales.bronze_to_silver(spark, shop)
+        assert silver_rows(spark, shop) == SILVER_SALES
+
+
+def test_days_have_few_files_however_they_arrive(spark, lake):
+    rows = "".join(f"{n},2022-09-{n % 28 + 1},TV,$7\n" for n in range(280))
+    for part in range(4):
+        put(lake.raw(f"sales/2022/{part}.csv"), "CustomerId,PurchaseDate,Product,Price\n" + rows)
+    run_all.process_sales(spark, lake)
+    files = sources.read_parquet(spark, lake.silver("sales")).inputFiles()
+    assert len(files) == 28
+
+
+def test_replay_clears_a_day_without_rows(spark, shop):
+    run_all.process_sales(spark, shop)
     put(
-        shop.raw("sales/2022-09/s.csv"),
-        "CustomerId,PurchaseDate,Product,Price\n3,2022-09-3,TV,$7\n3,2022-10-3,TV,$7\n",
+        shop.raw("sales/2022-09-2/s.csv"),
+        "CustomerId,PurchaseDate,Product,Price\n2,2022-09-2,TV,no price\n",
     )
-    counts = sales.raw_to_bronze(spark, shop)
-    assert counts.get == {"rows": 13, "misfiled": 1} and not sales.is_clustered(counts)
+    sales.raw_to_bronze(spark, shop)
+    sales.replay_days(spark, shop, [D(2022, 9, 2)])
+    assert silver_rows(spark, shop) == SILVER_SALES[:3]
+    sales.replay_days(spark, shop, [D(2022, 9, 2), D(2030, 1, 1)])
+    sales.replay_days(spark, shop, [])
+    assert silver_rows(spark, shop) == SILVER_SALES[:3]
 
 
-@pytest.mark.parametrize("clustered", [True, False])
-def test_sales_rerun_gives_the_same(spark, shop, clustered):
+def test_replay_reads_only_its_days(spark, shop):
     sales.raw_to_bronze(spark, shop)
-    for _ in range(2):
-        sales.bronze_to_silver(spark, shop, clustered=clustered)
-        assert silver_rows(spark, shop) == SILVER_SALES
+    day = D(2022, 9, 2)
+    chosen = sources.read_partition_range(
+        spark, shop.bronze("sales"), sales.BRONZE_DAY, day, day, sales.BRONZE
+    )
+    assert chosen.inputFiles() and all("purchase_day=2022-09-02" in f for f in chosen.inputFiles())
+
+
+def test_late_and_repeated_dumps(spark, shop):
+    for dump in ("2022-8-10", "2022-8-1", "2022-8-5", "2022-8-10", "2022-8-5"):
+        customers.apply_dump(spark, shop, dump)
+    merged = rows(sources.read_parquet(spark, shop.silver("customers")))
+    assert run_all.process_customers(spark, shop) == {"rows_in": 8, "rows_accepted": 7}
+    assert merged == rows(sources.read_parquet(spark, shop.silver("customers")))
+    assert ("Texas" in {r[5] for r in merged}) and len(merged) == 3
+
+
+def test_a_swap_that_died_is_taken_back(spark, shop):
+    run_all.process_customers(spark, shop)
+    whole, target = rows(sources.read_parquet(spark, shop.silver("customers"))), shop.silver("customers")
+    os.rename(target, f"{target}.replaced")
+    customers.apply_dump(spark, shop, "2022-8-5")
+    assert rows(sources.read_parquet(spark, target)) == whole
+
+
+def test_rejected_customers_and_profiles(spark, shop):
+    raw = sources.read_csv_text(spark, shop.raw("customers/*/*.csv"), schemas.RAW_CUSTOMERS)
+    left_out = customers.rejected_customers(customers.bronze_customers(raw))
+    assert rows(left_out.select("client_id", "reject_reason")) == [(3, "no email")]
+    put(shop.raw("user_profiles/q.json"), '{"email":"x@y.z","hobby":"chess","phone_number":7}\n{"email":"cut\n\n')
+    assert run_all.process_profiles(spark, shop, as_of()) == {"rows_in": 7, "rows_accepted": 5}
+    bronze = sources.read_parquet(spark, shop.bronze("user_profiles"), profiles.BRONZE)
+    reasons = profiles.rejected_profiles(bronze).groupBy("reject_reason").count()
+    assert rows(reasons) == [("malformed line", 1), ("no email", 1)]
+    hobby = F.get_json_object(profiles.LINE, "$.hobby")
+    assert rows(bronze.select(hobby).where(hobby.isNotNull())) == [("chess",)]
 
 
 def test_replay_touches_only_the_given_days(spark, shop):
@@ -195,6 +246,64 @@ def test_load_sales_by_days(spark, shop):
     assert sources.read_table(spark, "gold_days", "sales").count() == 2
 
 
+def folders(location):
+    return sorted(f for f in os.listdir(location.removeprefix("file:")) if "=" in f)
+
+
+def test_fresh_load_leaves_no_older_day(spark, shop):
+    run_all.process_sales(spark, shop)
+    day1, day2 = D(2022, 9, 1), D(2022, 9, 2)
+    assert gold.load_gold_sales(spark, shop, day1, day2, "gold_fresh") == 5
+    before = catalog.table_location(spark, "gold_fresh", "sales")
+    assert gold.load_gold_sales(spark, shop, day2, day2, "gold_fresh") == 2
+    location = catalog.table_location(spark, "gold_fresh", "sales")
+    assert folders(location) == ["purchase_date=2022-09-02"]
+    assert not os.path.exists(before.removeprefix("file:"))
+    catalog.refresh_partitions(spark, "gold_fresh", "sales")
+    assert sources.read_table(spark, "gold_fresh", "sales").count() == 2
+    assert gold.load_gold_sales(spark, shop, D(2030, 1, 1), D(2030, 1, 2), "gold_fresh") == 0
+
+
+def test_append_drops_days_that_became_empty(spark, shop):
+    run_all.process_sales(spark, shop)
+    day1, day2 = D(2022, 9, 1), D(2022, 9, 2)
+    gold.load_gold_sales(spark, shop, day1, day2, "gold_emptied")
+    layout.delete_folder(spark, f"{shop.silver('sales')}/purchase_date={day2}")
+    assert gold.load_gold_sales(spark, shop, day1, day2, "gold_emptied", append=True) == 3
+    location = catalog.table_location(spark, "gold_emptied", "sales")
+    assert folders(location) == ["purchase_date=2022-09-01"]
+    assert sources.read_table(spark, "gold_emptied", "sales").count() == 3
+
+
+def test_gold_profiles_need_a_key_and_widths(spark, shop):
+    run_all.process_customers(spark, shop)
+    run_all.process_profiles(spark, shop, as_of())
+    gold.register_silver(spark, shop, "silver_checked")
+    gold.silver_to_gold(spark, shop, as_of(), "silver_checked")
+    assert gold.load_gold_profiles(spark, shop, "gold_checked") == 3
+    good = layout.materialize(sources.read_parquet(spark, shop.gold("user_profiles_enriched")), "good")
+    sinks.write_parquet(good.unionByName(good.limit(1)), shop.gold("user_profiles_enriched"))
+    with pytest.raises(ValueError, match="not unique"):
+        gold.load_gold_profiles(spark, shop, "gold_checked")
+    wide = good.withColumn("state", F.repeat(F.lit("x"), 51))
+    sinks.write_parquet(wide, shop.gold("user_profiles_enriched"))
+    with pytest.raises(ValueError, match="too long"):
+        gold.load_gold_profiles(spark, shop, "gold_checked")
+    assert sources.read_table(spark, "gold_checked", "user_profiles_enriched").count() == 3
+
+
+def test_profiles_are_not_aggregated_again(spark, shop):
+    run_all.process_customers(spark, shop)
+    run_all.process_profiles(spark, shop, as_of())
+    enriched = gold.enrich_customers(
+        sources.read_parquet(spark, shop.silver("customers"), schemas.SILVER_CUSTOMERS),
+        sources.read_parquet(spark, shop.silver("user_profiles"), schemas.SILVER_PROFILES),
+        as_of(),
+        profiles_are_unique=True,
+    )
+    assert "Aggregate" not in enriched._jdf.queryExecution().toString()
+
+
 def test_reconcile_raises_on_loss(spark):
     with pytest.raises(RuntimeError):
         gold.reconcile(3, spark.range(2))
@@ -245,6 +354,13 @@ def test_table_replaced_from_itself(spark, lake):
     assert rows(sources.read_table(spark, "self", "t")) == [(i,) for i in (0, 1, 10, 11, 12, 2)]
 
 
+def test_partitioned_table_is_not_replaced(spark, lake):
+    catalog.create_database(spark, "kept", lake.warehouse("kept"))
+    catalog.recreate_table(spark, "kept", "t", "id BIGINT, p INT", lake.path("x", "v1"), "p")
+    with pytest.raises(ValueError, match="partitioned"):
+        catalog.replace_contents(spark.range(1), "kept", "t", lake.path("x", "v2"))
+
+
 def test_partition_range_prunes(spark, shop):
     sales.raw_to_bronze(spark, shop)
     sales.bronze_to_silver(spark, shop)
@@ -297,3 +413,22 @@ def test_command_line_steps(spark, shop):
     assert sources.read_table(spark, "gold", "sales").count() == 5
     profiled = sources.read_parquet(spark, shop.bronze("user_profiles"), profiles.BRONZE)
     assert profiled.count() == 5
+
+
+def test_command_line_asks_for_what_a_step_needs(spark, shop):
+    for step in ("load-sales", "all", "food"):
+        with pytest.raises(SystemExit):
+            run_all.main([step, "--root", shop.root])
+
+
+def test_food_command_reads_every_line(spark, lake, tmp_path):
+    food = '{"foods":[{"fdcId":%d,"description":"d","dataType":"t","foodCategory":"c","publishedDate":"2020-01-01","foodNutrients":[{"nutrientName":"n","value":%d.0,"unitName":"g"}]}]}'
+    put(lake.path("in", "f.json"), food % (1, 5) + "\n" + food % (2, 60) + "\n")
+    arguments = ["food", "--root", lake.root, "--documents", lake.path("in", "f.json")]
+    out, derived = lake.path("out", "csv"), lake.path("out", "derived")
+    run_all.main([*arguments, "--output", out, "--derived", derived, "--lines"])
+    counted = spark.read.csv(f"{out}/unique_food_items_by_nutrient", header=True)
+    assert rows(counted) == [("n", "2")]
+    assert sources.read_parquet(spark, derived).count() == 2
+    with pytest.raises(ValueError, match="--lines"):
+        run_all.main([*arguments, "--output", out])

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -151,6 +152,20 @@ def test_upsert_modes(spark):
     replaced = op.upsert(target, changes, ["id"], newest, keep_when_null=False)
     assert rows(replaced) == [(1, "x", 1), (2, "Y", None), (3, "z", 3), (4, "new", 4)]
     assert rows(op.upsert(filled, changes, ["id"], newest)) == rows(filled)
+    for keep in (True, False):
+        two, one = (
+            op.upsert(target.unionByName(target.select(F.lit(None).cast("int").alias("id"), "a", "b")),
+                      changes, ["id"], ["at"], keep_when_null=keep, many_changes=many)
+            for many in (False, True)
+        )
+        assert rows(two) == rows(one) and len(rows(one)) == 7
+
+
+def test_named_marks_are_carried_once(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, None, "c")], "k INT, at INT, t STRING")
+    found = op.keep_latest(df, ["k"], ["at"])
+    assert rows(found) == [(1, 7, "b"), (2, None, "c")] and found.columns == df.columns
+    assert "_newest" not in found._jdf.queryExecution().toString()
 
 
 def test_rejects_and_accepted_add_up(spark):
@@ -185,3 +200,26 @@ def test_materialize_keeps_rows_and_schema(spark, skewed):
     copy = materialize(df, "copy")
     assert copy.schema == df.schema and rows(copy) == rows(df)
     assert materialize(df.limit(0), "empty").count() == 0
+
+
+def test_one_exchange_of_sales_answers_a_date_range(spark, tmp_path):
+    from lakestrata.plans import question
+
+    first, last = dt.date(2021, 12, 1), dt.date(2022, 2, 28)
+    days = F.date_add(F.lit("2021-12-01").cast("date"), (F.col("id") % 90).cast("int"))
+    sales = spark.range(3000).select(
+        F.lit("TV").alias("product_name"), (F.col("id") % 97).cast("int").alias("client_id"), days.alias("purchase_date")
+    )
+    users = spark.range(100).select(
+        F.col("id").cast("int").alias("client_id"), (F.col("id") % 5).cast("string").alias("state"),
+        F.make_date(F.lit(1985) + (F.col("id") % 25).cast("int"), F.lit(6), F.lit(1)).alias("birth_date"),
+    )
+    paths = [str(tmp_path / n) for n in ("sales", "users")]
+    for df, path in zip((sales, users), paths):
+        df.write.parquet(path)
+    sales, users = (spark.read.parquet(p) for p in paths)
+    chosen = question.sales_in_window(sales, "TV", first=first, last=last)
+    ranged = question.purchases_by_state(chosen, users, (20, 30), range(2021, 2023))
+    assert rows(ranged) == rows(question.purchases_by_state(chosen, users, (20, 30)))
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(client_id") <= 2 and "_year" not in plan
