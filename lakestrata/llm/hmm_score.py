@@ -161,11 +161,14 @@ def starting_point(encoded: DataFrame, model: Model) -> Model:
     overall = model.overall()
     emits = np.repeat(overall[:, None], STATES, axis=1)
     if len(sample) >= STATES:
-        counts = np.zeros((len(sample), SYMBOLS), np.float32)
-        for n, row in enumerate(sample):
-            counts[n] = np.bincount(np.frombuffer(row["s"], "<u2"), minlength=SYMBOLS)
+        texts = [np.frombuffer(row["s"], "<u2") for row in sample]
         often = np.argsort(-model.symbol_counts, kind="stable")[:START_SYMBOLS]
-        x = np.log1p(counts[:, often])
+        place = np.full(SYMBOLS, -1)
+        place[often] = np.arange(len(often))
+        x = np.zeros((len(texts), len(often)), np.float32)
+        for n, text in enumerate(texts):
+            known = place[text]
+            x[n] = np.log1p(np.bincount(known[known >= 0], minlength=len(often)))
         x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
         centres = x[[0]]
         for _ in range(1, STATES):  # the text farthest from all centres so far, in a random hundred
@@ -176,8 +179,9 @@ def starting_point(encoded: DataFrame, model: Model) -> Model:
             sums = np.stack([x[near == k].sum(axis=0) for k in range(STATES)])
             sizes = np.linalg.norm(sums, axis=1, keepdims=True)
             centres = np.where(sizes > 0, sums / np.maximum(sizes, 1e-9), centres)
-        for k in range(STATES):
-            emits[:, k] = counts[near == k].sum(axis=0)
+        emits = np.zeros((SYMBOLS, STATES))
+        for text, k in zip(texts, near):
+            emits[:, k] += np.bincount(text, minlength=SYMBOLS)
         emits = (emits + SMOOTHING * overall[:, None]) / (emits.sum(axis=0) + SMOOTHING)
     else:
         emits *= rng.uniform(0.9, 1.1, emits.shape)
