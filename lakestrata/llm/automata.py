@@ -89,17 +89,17 @@ def profiles(docs: DataFrame) -> DataFrame:
     return materialize(docs.mapInArrow(run, PROFILE), "substring-profiles")
 
 
-SEGMENTS = "doc_id long, version long, segment int, begin int, words binary, n_words int, anchors array<long>, windows array<long>"
+SEGMENTS = "doc_id long, version long, segment long, begin int, words binary, n_words int, anchors array<long>"
 
 
 def segments(texts: DataFrame) -> DataFrame:
-    """Stretches of a text covered by windows with a repeated anchor, with the window hashes."""
+    """Stretches of a text covered by windows with a repeated anchor; ``segment`` numbers them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 words = words_of(piece.column("text"), lower=False)
-                at, anchor, whole = window_anchors(words, words.hashes())
+                at, anchor, _ = window_anchors(words, words.hashes())
                 cut = np.searchsorted(at, words.first)
                 rows = []
                 shared = piece.column("shared").to_pylist()
@@ -108,56 +108,81 @@ def segments(texts: DataFrame) -> DataFrame:
                     if not len(hit):
                         continue
                     splits = np.flatnonzero(np.diff(at[hit]) > WINDOW) + 1
-                    for n, some in enumerate(np.split(hit, splits)):
+                    for some in np.split(hit, splits):
                         begin, end = at[some[0]], at[some[-1]] + WINDOW
-                        inside = np.full(end - begin - WINDOW + 1, False)
-                        inside[at[some] - begin] = True
                         text = words.data[words.starts[begin] : words.ends[end - 1]].tobytes()
-                        hashes = whole[some[0] : some[0] + len(inside)]
                         rows.append((
-                            piece.column("doc_id")[d].as_py(), piece.column("version")[d].as_py(), n, begin - words.first[d],
-                            text, end - begin, np.unique(anchor[some]), np.where(inside, hashes, 0),
+                            piece.column("doc_id")[d].as_py(), piece.column("version")[d].as_py(), 0, begin - words.first[d],
+                            text, end - begin, np.unique(anchor[some]),
                         ))
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        names=["doc_id", "version", "segment", "begin", "words", "n_words", "anchors", "windows"],
+                        names=["doc_id", "version", "segment", "begin", "words", "n_words", "anchors"],
                     )
 
-    return materialize(texts.mapInArrow(run, SEGMENTS), "substring-segments")
+    found = texts.mapInArrow(run, SEGMENTS).withColumn("segment", F.monotonically_increasing_id())
+    return materialize(found, "substring-segments")
+
+
+def windows(parts: DataFrame) -> DataFrame:
+    """(window, doc_id, segment, at): every window of the segments that has a repeated anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "words"):
+                words = words_of(piece.column("words"), lower=False)
+                at, anchor, whole = window_anchors(words, words.hashes())
+                cut = np.searchsorted(at, words.first)
+                known = piece.column("anchors").to_pylist()
+                use = np.concatenate([np.isin(anchor[a:b], known[d]) for d, (a, b) in enumerate(zip(cut, cut[1:]))])
+                owner = np.repeat(np.arange(piece.num_rows), np.diff(cut))[use]
+                yield pa.RecordBatch.from_pydict({
+                    "window": pa.array(whole[use]), "doc_id": piece.column("doc_id").take(pa.array(owner)),
+                    "segment": piece.column("segment").take(pa.array(owner)),
+                    "at": pa.array(at[use] - words.first[owner], pa.int32()),
+                })
+
+    chosen = parts.select("doc_id", "segment", "words", "anchors")
+    return chosen.mapInArrow(run, "window long, doc_id long, segment long, at int")
 
 
-REFERENCE = "doc_id long, passage long, words binary, n_words int, anchors array<long>"
+REFERENCE = "doc_id long, passage long, cluster long, words binary, n_words int, anchors array<long>"
 
 
 def reference(parts: DataFrame) -> DataFrame:
-    """Passages that hold every repeated window once, in the smallest document that has it."""
-    windows = parts.select("doc_id", "version", "segment", F.posexplode("windows").alias("at", "window")).where("window <> 0")
-    first = windows.groupBy("window").agg(
-        F.min(F.struct("doc_id", "version", "segment", "at")).alias("first"), F.max("doc_id").alias("last")
-    )
-    places = first.where("first.doc_id < last").groupBy("first.doc_id", "first.version", "first.segment").agg(
-        F.sort_array(F.collect_list("first.at")).alias("ats")
+    """Passages that hold every repeated window once, in the smallest document that has it.
+
+    ``cluster`` is the smallest anchor of the segment a passage is from; those of near copies mostly agree.
+    """
+    # Both places are taken from the same row: they are ordered by the same values.
+    first = windows(parts).groupBy("window").agg(
+        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"),
+        F.min_by("segment", "doc_id").alias("segment"), F.min_by("at", "doc_id").alias("at"),
     )
+    places = first.where("doc_id < last").groupBy("segment").agg(F.sort_array(F.collect_list("at")).alias("ats"))
     # A list holds at most the windows of one segment.
-    chosen = parts.select("doc_id", "version", "segment", "words").join(places, ["doc_id", "version", "segment"])
+    chosen = parts.select("doc_id", "segment", "words", F.array_min("anchors").alias("cluster")).join(places, "segment")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, raw, ats in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "words", "ats"))):
+            for doc_id, cluster, raw, ats in zip(
+                *(batch.column(c).to_pylist() for c in ("doc_id", "cluster", "words", "ats"))
+            ):
                 listed, ats = raw.split(), np.array(ats)
                 for some in np.split(ats, np.flatnonzero(np.diff(ats) > 1) + 1):
                     text = b" ".join(listed[some[0] : some[-1] + WINDOW])
                     words = words_of(pa.array([text], pa.large_binary()), lower=False)
                     _, anchor, _ = window_anchors(words, words.hashes())
                     name = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-                    rows.append((doc_id, name, text, len(words.starts), np.unique(anchor)))
+                    rows.append((doc_id, name, cluster, text, len(words.starts), np.unique(anchor)))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "passage", "words", "n_words", "anchors"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                    names=["doc_id", "passage", "cluster", "words", "n_words", "anchors"],
                 )
 
     return materialize(chosen.mapInArrow(run, REFERENCE), "substring-reference")
@@ -260,19 +285,24 @@ def covered(parts: DataFrame, passages: DataFrame) -> DataFrame:
     the automata of all shards that share an anchor with them."""
     words = passages.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-words // SHARD_WORDS))
-    # A shard is bounded by the number of shards, not by the number of passages of one document.
-    sharded = passages.withColumn("shard", F.pmod(F.xxhash64("passage", "doc_id"), F.lit(shards)))
+    # Passages of a cluster share a shard, so that a text meets few; a large cluster has several.
+    slices = passages.groupBy("cluster").agg(F.ceil(F.sum("n_words") / SHARD_WORDS).alias("slices"))
+    slice_ = F.pmod(F.xxhash64("passage", "doc_id"), F.col("slices"))
+    shard = F.when(F.col("slices") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shards))).otherwise(
+        F.lit(shards) + F.pmod(F.xxhash64("cluster", slice_), F.lit(1 << 40))
+    )
+    sharded = passages.join(slices, "cluster").withColumn("shard", shard).drop("slices")
     routes = sharded.select("shard", F.explode("anchors").alias("anchor")).distinct()
-    wanted = parts.select("doc_id", "version", "segment", F.explode("anchors").alias("anchor")).join(routes, "anchor")
-    wanted = wanted.select("doc_id", "version", "segment", "shard").distinct()
-    routed = parts.select("doc_id", "version", "segment", "begin", "words", "n_words").join(wanted, ["doc_id", "version", "segment"])
+    wanted = parts.select("segment", F.explode("anchors").alias("anchor")).join(routes, "anchor")
+    wanted = wanted.select("segment", "shard").distinct()
+    routed = parts.select("doc_id", "version", "segment", "begin", "words", "n_words").join(wanted, "segment")
     routed = materialize(routed, "substring-routes")
     load = routed.groupBy("shard").agg(F.ceil(F.sum("n_words") / STREAM_WORDS).alias("copies"))
     load = materialize(load, "substring-load")
     copied = sharded.join(load, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), "doc_id", "words"
     )
-    dealt = routed.join(load, "shard").withColumn("copy", F.pmod(F.xxhash64("doc_id", "version", "segment"), "copies"))
+    dealt = routed.join(load, "shard").withColumn("copy", F.pmod(F.xxhash64("segment"), "copies"))
     dealt = dealt.select("shard", "copy", "doc_id", "version", "begin", "words")
     return copied.groupBy("shard", "copy").cogroup(dealt.groupBy("shard", "copy")).applyInArrow(_stream, SPANS)
 
@@ -289,10 +319,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     profile = profiles(docs)
     long = profile.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
     first = long.groupBy("sha256").agg(F.min("doc_id").alias("first"))
-    marked = long.join(first, "sha256").select("doc_id", "version", "anchors", (F.col("doc_id") > F.col("first")).alias("copy"))
-    marked = materialize(marked, "substring-copies")
-    copies = marked.where("copy").select("doc_id", "version").distinct()
-    anchors = marked.where("NOT copy").select("doc_id", "version", F.explode("anchors").alias("anchor"))
+    copies = long.select("doc_id", "version", "sha256").join(first, "sha256").where("doc_id > first")
+    copies = materialize(copies.select("doc_id", "version").distinct(), "substring-copies")
+    anchors = long.join(copies, ["doc_id", "version"], "left_anti").select("doc_id", "version", F.explode("anchors").alias("anchor"))
     repeated = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
     shared = anchors.join(repeated, "anchor").groupBy("doc_id", "version").agg(F.collect_set("anchor").alias("shared"))
     shared = materialize(shared, "substring-shared")
