@@ -3,16 +3,15 @@
 Linked sets differ in at most (|x| + |y|) / 19 shingles at a Jaccard similarity of 0.9. Three steps
 use this, none of which writes all pairs of a group:
 
-1. Blocks: the shingle space is cut into one part more than the differences allowed, so linked
-   sets agree on a whole part. Sets that agree with no other set are skipped at once.
-2. Index lists: the rest is indexed by its rarest shingles, in lists cut into blocks by set size.
-   A set whose rarest shingles are its own has no list and is skipped. Of each list only the pairs
-   with its most central set, the leader, are computed.
+1. Index lists by position: the shingle space is cut into one part more than the differences
+   allowed, so linked sets agree on a whole part. A list holds the sets of one block of sizes that
+   have the same shingles in the part at one position; lists of one set are skipped at once.
+2. Of each list only the pairs with its most central set, the leader, are computed.
 3. Derived answers: sets linked to one leader are connected. Any other link among the members of
    a list shows in their differences from the leader: two sets that differ from it by x and y shingles
-   must share (x + y - allowed) / 2 of these. So differences take the place of the sets in the next
-   round, indexed the same way, and lists of them are short. Members far from the leader stay
-   in their list and get a leader of their own.
+   must share (x + y - allowed) / 2 of these. So the next round indexes differences in place of sets,
+   by their rarest shingles: a difference that is a set's own has no list, and most have none. Members
+   far from the leader stay in their list and get a leader of their own.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from lakestrata.llm.components import components
 from lakestrata.llm.words import Words, mix, pieces, runs, words_of
 
 BAND = 1.5  # ratio of set sizes in a block of a list
+SEEN_SETS = 200_000  # that a task remembers to have sent
 SHORT_LIST = 24  # lists up to this length are settled pair by pair after the first round
 PRESELECT = 1 << 20  # bounds the broadcasts that preselect rows by a hash
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -65,10 +65,6 @@ class Join:
     def parts(self, band: np.ndarray) -> np.ndarray:
         return self.most_apart(2 * (self.edges[band + 1] - 1)) + 1
 
-    def prefix(self, size: Column) -> Column:
-        """How many of its rarest shingles a set must show, so that linked sets share one."""
-        return size - F.ceil(size * self.percent / 100) + 1
-
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(first, values): distinct shingles of each document, ascending. A text of fewer words
@@ -126,14 +122,18 @@ def part_keys(docs: DataFrame, join: Join) -> DataFrame:
     """(key, sid): what a set holds of each part of the shingle space, for its blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for piece in pieces(batch):
                 first, value = shingles(words_of(piece.column("text"), lower=True), join.width)
-                size = np.diff(first)
-                sid, owner = set_ids(first, value), np.repeat(np.arange(len(size)), size)
-                spread = mix(value)
+                size, sid = np.diff(first), set_ids(first, value)
+                # A task sends a set once, however many copies it reads.
+                fresh = np.array([s not in seen and not seen.add(s) for s in sid.tolist()], bool) & (size > 0)
+                if len(seen) > SEEN_SETS:
+                    seen.clear()
+                owner, spread = np.repeat(np.arange(len(size)), size), mix(value)
                 own, above = join.bands(size)
-                for band, use in ((own, size > 0), (above, (size > 0) & (above != own))):
+                for band, use in ((own, fresh), (above, fresh & (above != own))):
                     # A block of sizes that allow no difference needs no parts: linked sets are equal.
                     parts = np.where(use, join.parts(np.maximum(band, 0)), 0)
                     parts[parts == 1] = 0
@@ -151,41 +151,69 @@ def part_keys(docs: DataFrame, join: Join) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, sid long")
 
 
-def _bucket(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(PRESELECT))
-
+def agreeing(keys: DataFrame) -> DataFrame:
+    """Rows whose key another set has too, each once. One exchange; rows stream by in the order of
+    keys, so a long list takes no more memory than a short one."""
 
-def _preselect(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
-    """Rows that may have a partner in ``wanted``, without a shuffle; at most 2^20 hashes are broadcast."""
-    some = wanted.select(_bucket(*columns).alias("_bucket")).distinct()
-    return rows.withColumn("_bucket", _bucket(*columns)).join(F.broadcast(some), "_bucket", "left_semi").drop("_bucket")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried, sent = None, False  # the last row waits for what follows, unless it is sent already
+        for batch in batches:
+            key, sid = batch.column("key").to_numpy(), batch.column("sid").to_numpy()
+            if not len(key):
+                continue
+            if carried is not None:
+                key, sid = np.append(carried[0], key), np.append(carried[1], sid)
+            new = np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]))
+            key, sid = key[new], sid[new]
+            same = key[1:] == key[:-1]
+            before = np.append(False, same)
+            send = before | np.append(same, False)
+            send[0] &= not sent
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key[send]), "sid": pa.array(sid[send])})
+            sent = bool(before[-1]) or (sent and len(key) == 1)
+            carried = key[-1:], sid[-1:]
+
+    ordered = keys.repartition("key").sortWithinPartitions("key", "sid")
+    return materialize(ordered.mapInArrow(run, "key long, sid long"), "set-parts")
 
 
-def similar_sets(docs: DataFrame, profile: DataFrame, join: Join) -> DataFrame:
-    """(sid, size, tokens): the sets that agree with another set on a part, each once."""
-    keys = part_keys(docs, join)
-    common = keys.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("key")
-    common = materialize(common, "set-parts")
-    sids = _preselect(keys, common, "key").join(common, "key", "left_semi").select("sid").distinct()
-    texts = profile.join(sids, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "version")).alias("t"))
-    texts = materialize(texts.select("sid", "t.doc_id", "t.version"), "set-texts")
-    chosen = _preselect(docs, texts, "doc_id", "version").dropDuplicates(["doc_id", "version"])
-    chosen = chosen.withColumnRenamed("doc_id", "_doc").withColumnRenamed("version", "_version")
-    chosen = chosen.join(
-        texts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
-    ).select("text")
+def _bucket(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(PRESELECT))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                first, value = shingles(words_of(piece.column("text"), lower=True), join.width)
-                rows = [value[a:b].astype("<u8").tobytes() for a, b in zip(first, first[1:])]
-                yield pa.RecordBatch.from_pydict({
-                    "sid": pa.array(set_ids(first, value)), "size": pa.array(np.diff(first), pa.int64()),
-                    "tokens": pa.array(rows, pa.binary()),
-                })
 
-    return materialize(chosen.mapInArrow(run, "sid long, size long, tokens binary"), "similar-sets")
+class Sets:
+    """Where sets can be read: one text of each."""
+
+    def __init__(self, docs: DataFrame, places: DataFrame, join: Join) -> None:
+        self.docs, self.places, self.join = docs, places, join
+
+    def tokens(self, wanted: DataFrame, name: str) -> DataFrame:
+        """(sid, <name>, tokens) for the rows (sid, <name>) of ``wanted``, <name> being an array of
+        partners; a row per partner. The texts are preselected by a hash, of which at most 2^20
+        values are broadcast, so that few other texts are shuffled."""
+        places = self.places.join(wanted, "sid")
+        places = materialize(places, "set-places")
+        some = places.select(_bucket("doc_id", "version").alias("_bucket")).distinct()
+        texts = self.docs.withColumn("_bucket", _bucket("doc_id", "version")).join(F.broadcast(some), "_bucket", "left_semi")
+        texts = texts.dropDuplicates(["doc_id", "version"]).select(
+            F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), "text"
+        )
+        here = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
+        chosen = places.join(texts, here).select("sid", name, "text")
+        width = self.join.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in pieces(batch):
+                    first, value = shingles(words_of(piece.column("text"), lower=True), width)
+                    partners = piece.column(name)
+                    at = pa.array(np.repeat(np.arange(piece.num_rows), partners.value_lengths().to_numpy()))
+                    raw = pa.array([value[a:b].astype("<u8").tobytes() for a, b in zip(first, first[1:])], pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("sid").take(at), partners.flatten(), raw.take(at)], names=["sid", name, "tokens"]
+                    )
+
+        return chosen.mapInArrow(run, f"sid long, {name} long, tokens binary")
 
 
 def _unpack(rows: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -217,11 +245,14 @@ def rarest(tokens: DataFrame, within: list[str], owner: list[str], sizes: DataFr
     return rest.withColumn("listed", listed).drop("common", "left")
 
 
-def compare(pairs: DataFrame, sets: DataFrame, join: Join, differences: bool) -> DataFrame:
-    """(a, b, size_a, size_b, linked, apart, difference) of pairs of sets, each looked at once."""
-    mine = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
-    leader = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.select("a", "b").distinct().join(mine, "a").join(leader, "b")
+def compare(pairs: DataFrame, sets: Sets, join: Join, differences: bool) -> DataFrame:
+    """(a, b, size_a, size_b, linked, apart, difference) of pairs of sets."""
+    # A set has no more partners than it has lists.
+    mine = sets.tokens(pairs.groupBy(F.col("a").alias("sid")).agg(F.collect_set("b").alias("b")), "b")
+    mine = mine.select(F.col("sid").alias("a"), "b", F.col("tokens").alias("x"))
+    leaders = pairs.select(F.col("b").alias("sid")).distinct().withColumn("self", F.array("sid"))
+    theirs = sets.tokens(leaders, "self").select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
+    both = mine.join(theirs, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,39 +274,23 @@ def compare(pairs: DataFrame, sets: DataFrame, join: Join, differences: bool) ->
     return materialize(both.mapInArrow(run, schema), "set-comparisons")
 
 
-def first_lists(sets: DataFrame, join: Join) -> DataFrame:
-    """(key, sid, rank, open): index lists by rare shingle and block of sizes."""
-    tokens = _unpack(sets, "tokens", "sid")
-    shown = rarest(tokens, [], ["sid"], sets.select("sid", "size"), join.prefix(F.col("size")))
-    edges = F.lit([int(e) for e in join.edges if e < 1 << 31])
-    band = lambda size: F.size(F.filter(edges, lambda e: e <= size))
-    top = band(F.floor(F.col("size") * 100 / join.percent))
-    blocks = F.array_distinct(F.array(band(F.col("size")), top))
-    rows = shown.select("sid", "rank", F.explode("listed").alias("token"), blocks.alias("blocks"))
-    rows = rows.select("sid", "rank", "token", F.explode("blocks").alias("block"))
-    return rows.select(F.xxhash64("token", "block").alias("key"), "sid", "rank", F.lit(True).alias("open"))
-
-
-def next_lists(lists: DataFrame, heads: DataFrame, found: DataFrame, join: Join) -> DataFrame:
+def next_lists(led: DataFrame, found: DataFrame, join: Join) -> DataFrame:
     """Lists for the pairs that a round of leaders has left undecided.
 
     A member near its leader goes on by its differences, one far from it stays in the list; linked
     sets always share one of the two zones, which overlap. Sets linked to the leader are
     closed: pairs of closed sets need no look.
     """
-    seen = lists.join(heads.select("key", F.col("head.sid").alias("b")), "key")
-    seen = seen.join(found.select(F.col("a").alias("sid"), "b", "linked", "apart", "size_a"), ["sid", "b"])
-    far = seen.where("NOT linked AND apart * 10 > size_a * 4").select("key", "sid", "rank", "open")
+    distant = found.where("NOT linked AND apart * 10 > size_a * 4").select(F.col("a").alias("sid"), "b")
+    far = led.join(distant, ["sid", "b"]).select("key", "sid", "rank", "open")
     near = found.where((F.col("apart") > 0) & (F.col("apart") * join.percent <= F.col("size_a") * join.near))
     # Leaders all of whose members are linked have nothing left to decide.
     undecided = near.where("NOT linked").select("b").distinct()
     near = near.join(undecided, "b", "left_semi")
     tokens = _unpack(near, "difference", "a", "b")
-    kept = 100 - join.percent
     # What a linked set shares at least with any open one, and an open one with any set.
     closed_share = F.ceil(F.col("size") * join.percent / (100 + join.percent))
-    most = F.floor(F.col("whole") * kept / join.percent)
-    open_share = F.col("size") - most
+    open_share = F.col("size") - F.floor(F.col("whole") * (100 - join.percent) / join.percent)
     share = F.greatest(F.lit(1), F.when(F.col("linked"), closed_share).otherwise(open_share))
     sizes = near.select("a", "b", F.col("apart").alias("size"), F.col("size_a").alias("whole"), "linked")
     shown = rarest(tokens, ["b"], ["a", "b"], sizes, F.col("size") - share + 1)
@@ -297,33 +312,33 @@ def larger_helpers(found: DataFrame, join: Join) -> DataFrame:
     return found.where("NOT linked").join(best, "b").where(room + F.col("h.room") >= 0).select("a", F.col("h.helper").alias("b"))
 
 
-def set_links(sets: DataFrame, join: Join) -> DataFrame:
-    """(a, b) links that connect all linked sets of ``sets``."""
-    lists = materialize(first_lists(sets, join), "set-lists")
+def set_links(lists: DataFrame, sets: Sets, join: Join) -> DataFrame | None:
+    """(a, b) links that connect all linked sets; ``lists`` has (key, sid, rank, open)."""
     links, turn = None, 1
     while True:
+        # The leader is the open set of least rank: the one most like the others.
         heads = lists.groupBy("key").agg(
-            F.min(F.when(F.col("open"), F.struct("rank", "sid"))).alias("head"), F.countDistinct("sid").alias("n")
-        ).where("n > 1 AND head IS NOT NULL")
-        heads = materialize(heads, "set-heads")
-        if heads.isEmpty():
-            break
-        long_heads = heads if turn == 1 else heads.where(F.col("n") > SHORT_LIST)
-        lead = F.col("head.sid")
-        edges = lists.join(long_heads, "key").where(F.col("sid") != lead).select(F.col("sid").alias("a"), lead.alias("b"))
+            F.min_by(F.when(F.col("open"), F.col("sid")), F.when(F.col("open"), F.col("rank"))).alias("b"), F.count("*").alias("n")
+        ).where("n > 1 AND b IS NOT NULL")
+        led = materialize(lists.join(heads, "key"), "set-lists")
+        if led.isEmpty():
+            return links
+        short = led.where((F.col("n") <= SHORT_LIST) & F.lit(turn > 1))
+        led = led.where((F.col("n") > SHORT_LIST) | F.lit(turn == 1))
+        edges = led.where("sid <> b").select(F.col("sid").alias("a"), "b")
         found = compare(edges, sets, join, differences=True)
         linked = found.where("linked").select("a", "b").unionByName(larger_helpers(found, join))
         if turn > 1:
-            short = lists.join(heads.where(F.col("n") <= SHORT_LIST).select("key"), "key", "left_semi")
-            other = short.select("key", F.col("sid").alias("other"), F.col("open").alias("other_open"))
-            # Lists here have at most SHORT_LIST sets.
-            pairs = short.join(other, "key").where("sid <> other AND open AND (sid < other OR NOT other_open)")
-            pairs = pairs.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b"))
-            linked = linked.unionByName(compare(pairs, sets, join, differences=False).where("linked").select("a", "b"))
+            # Lists here have at most SHORT_LIST sets, and every pair is looked at once.
+            members = short.groupBy("key").agg(F.collect_list(F.struct("sid", "open")).alias("m"))
+            pairs = members.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
+            pairs = pairs.where("x.open AND x.sid <> y.sid AND (x.sid < y.sid OR NOT y.open)")
+            pairs = pairs.select(F.greatest("x.sid", "y.sid").alias("a"), F.least("x.sid", "y.sid").alias("b")).distinct()
+            pairs = materialize(pairs, "set-pairs")
+            if not pairs.isEmpty():
+                linked = linked.unionByName(compare(pairs, sets, join, differences=False).where("linked").select("a", "b"))
         links = linked if links is None else links.unionByName(linked)
-        lists = materialize(next_lists(lists, long_heads, found, join), "set-lists")
-        turn += 1
-    return links if links is not None else sets.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
+        lists, turn = next_lists(led, found, join), turn + 1
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -337,8 +352,17 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     join = Join(width, percent)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     profile = profiles(docs, join)
-    sets = similar_sets(docs, profile, join)
-    nodes = components(set_links(sets, join), "a", "b")
+    lists = agreeing(part_keys(docs, join))
+    # A set that agrees with others on many parts is like them in most places.
+    ranks = materialize(lists.groupBy("sid").agg((-F.count("*")).alias("rank")), "set-ranks")
+    places = profile.join(ranks.select("sid"), "sid", "left_semi")
+    places = places.groupBy("sid").agg(F.min("version").alias("version"), F.min_by("doc_id", "version").alias("doc_id"))
+    places = materialize(places.select("sid", "doc_id", "version"), "set-texts")
+    lists = lists.join(ranks, "sid").select("key", "sid", "rank", F.lit(True).alias("open"))
+    links = set_links(lists, Sets(docs, places, join), join)
+    if links is None:
+        links = lists.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
+    nodes = components(links, "a", "b")
     with_words = profile.where("n_shingles > 0").join(nodes, F.col("sid") == F.col("node"), "left")
     with_words = with_words.select("doc_id", "version", "n_shingles", F.coalesce("component", "sid").alias("component"))
     smallest = with_words.groupBy("component").agg(F.min("doc_id").alias("component_id"))
