@@ -44,24 +44,25 @@ def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> C
     return F.xxhash64(length, F.lit(i), F.substring(line, start.cast("int"), size.cast("int")))
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    length = F.length(line)
+def index_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*[_key(length, i, line, *_segment(length, i, edits)) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, edits: int) -> Column:
-    """Keys of all shorter or equal lines that ``line`` may be close to."""
-    length, keys = F.length(line), []
+def probe_keys(line: Column, length: Column, edits: int) -> Column:
+    """Keys of all shorter or equal lines that ``line`` may be close to.
+
+    A segment moves by no more than the edits before it and reaches no further into the end than
+    those after it allow, so every substring lies inside a line of a few times ``edits`` characters.
+    """
+    keys = []
     for gap in range(edits + 1):
         shorter = length - gap
         for i in range(edits + 1):
             start, size = _segment(shorter, i, edits)
             right = edits - i
             for shift in range(max(-i, gap - right), min(i, gap + right) + 1):
-                at = start + shift
-                key = _key(shorter, i, line, at, size)
-                keys.append(F.when((at >= 1) & (at + size - 1 <= length), key))
-    return F.array_compact(F.array(*keys))
+                keys.append(_key(shorter, i, line, start + shift, size))
+    return F.array(*keys)
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -74,12 +75,19 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
-    x, y = F.split(a, ""), F.split(b, "")
-    n = F.size(x)
 
-    # Each stage binds its results by a transform over one struct, so that none is computed twice.
-    def bind(struct: Column, stage: Callable[[Column], Column]) -> Column:
-        return F.transform(F.array(struct), stage)[0]
+    # Each stage binds its results by a transform over one value, so that none is computed twice.
+    def bind(value: Column, stage: Callable[[Column], Column]) -> Column:
+        return F.transform(F.array(value), stage)[0]
+
+    letters = F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"))
+    return bind(letters, lambda s: bind(F.size(s["x"]), lambda n: _follow(s["x"], n, s["y"], bind, edits, width, full, top)))
+
+
+def _follow(
+    x: Column, n: Column, y: Column, bind: Callable, edits: int, width: int, full: int, top: int
+) -> Column:
+    """The distance of ``x`` (of ``n`` characters) and ``y``, or null above ``edits``."""
 
     def equal(s: Column, letter: Column) -> Column:
         # Cells of this column are rows j - edits to j + edits, lowest bit first.
@@ -121,14 +129,17 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     above = full & ~((1 << edits) - 1)
     start = F.struct(F.lit(1).alias("j"), F.lit(above).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("score"))
     end = F.aggregate(y, start, step)["score"]
-    return F.when(end <= edits, end)
+    return bind(end, lambda e: F.when(e <= edits, e))
 
 
 def candidates(distinct_lines: DataFrame, edits: int) -> DataFrame:
     """(a, b): line ids of which one segment of the shorter line a stands in b."""
+    if edits < 1 or 4 * edits > LEAST_CHARS:
+        raise ValueError(f"at least one edit, and at most one in four of {LEAST_CHARS} characters")
     known = distinct_lines.select(line_id(F.col("line")).alias("id"), F.length("line").alias("long"), "line")
-    index = known.select(F.col("id").alias("a"), F.col("long").alias("long_a"), F.explode(index_keys(F.col("line"), edits)).alias("key"))
-    probes = known.select(F.col("id").alias("b"), F.col("long").alias("long_b"), F.explode(probe_keys(F.col("line"), edits)).alias("key"))
+    line, long = F.col("line"), F.col("long")
+    index = known.select(F.col("id").alias("a"), long.alias("long_a"), F.explode(index_keys(line, long, edits)).alias("key"))
+    probes = known.select(F.col("id").alias("b"), long.alias("long_b"), F.explode(probe_keys(line, long, edits)).alias("key"))
     once = (F.col("long_a") < F.col("long_b")) | (F.col("a") < F.col("b"))
     return index.join(probes, "key").where(once).select("a", "b").distinct()
 
