@@ -10,6 +10,8 @@ literal token, and a window of a text is looked at where the anchor stands in it
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.layout import materialize
@@ -17,7 +19,7 @@ from lakestrata.layout import materialize
 WINDOW = 8  # tokens; a shorter item is one window
 LEAST_LITERALS = 3  # windows with fewer literal tokens are too common to count
 SHARE = 0.5  # of an item's windows that must match
-BROADCAST_WINDOWS = 500_000  # more benchmark windows are joined by a shuffle
+BROADCAST_WINDOWS = 100_000  # more benchmark windows are joined by shuffles
 
 # Marks trimmed from tokens, and unit words.
 MARKS = ".,;:!?\"'()[]{}«»“”‘’…"
@@ -26,14 +28,19 @@ UNITS = (
     "ms s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
     "percent dollar dollars euro euros cent cents usd eur gbp mph kmh hz khz mhz w kw v a n j pa"
 ).split()
+MARK_PATTERN = "[" + re.escape(MARKS) + "]"
 NUMBER = "^[$€£+-]?[0-9][0-9.,:/-]*%?$"
 NAME = "^\\p{Lu}[\\p{L}'-]+$"
 
 
 def tokens(text: Column) -> Column:
-    """Runs of characters between white space; none for a null text."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "\t\r\x0b\x0c", "    ")
-    return F.array_remove(F.split(F.replace(plain, F.lit("\n"), F.lit(" ")), " "), "")
+    """Runs of characters between white space; one empty token for a null or blank text."""
+    return F.split(F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), "\\s+", " ")), " ")
+
+
+def literal(word: Column) -> Column:
+    """A token, or a text, without marks and in lower case."""
+    return F.lower(F.regexp_replace(word, MARK_PATTERN, ""))
 
 
 def core(token: Column) -> Column:
@@ -48,8 +55,7 @@ def canonical(window: Column) -> Column:
     """
 
     def one(token: Column, at: Column) -> Column:
-        word = core(token)
-        low = F.lower(word)
+        word, low = core(token), literal(token)
         before = F.when(at > 0, F.try_element_at(window, at.cast("int")))
         number = word.rlike(NUMBER)
         unit = low.isin(UNITS) & core(before).rlike(NUMBER)
@@ -80,7 +86,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct()
     items = items.select("item_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("t"))
     width = F.least(F.size("t"), F.lit(WINDOW))
-    windows = items.where(F.size("t") > 0).select(
+    windows = items.select(
         "item_id", "version", "t", width.alias("width"),
         F.explode(F.sequence(F.lit(0), F.size("t") - width)).alias("at"),
     )
@@ -98,18 +104,50 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return windows.join(total, ["item_id", "version"])
 
 
+def anchored(docs: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
+    """(doc_id, _text, place, anchor, from, context): the places of a text at which the anchor of a
+    benchmark window stands, with as many tokens around as a window there may hold."""
+    plain = F.btrim(F.regexp_replace("text", "\\s+", " "))
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_text"), plain.alias("plain"))
+    # Removing marks leaves the blanks, so both arrays have the same places.
+    texts = texts.select("doc_id", "_text", F.split("plain", " ").alias("t"), F.split(literal(F.col("plain")), " ").alias("low"))
+    anchors = windows.select("anchor").distinct()
+    if small:
+        # At most BROADCAST_WINDOWS words.
+        known = F.lit(sorted(r["anchor"] for r in anchors.collect()) or [None]).cast("array<string>")
+        texts = texts.withColumn("present", F.array_intersect("low", known))
+        places = F.filter(F.transform("low", lambda w, i: F.when(F.array_contains("present", w), i)), lambda i: i.isNotNull())
+        texts = texts.withColumn("places", F.when(F.size("present") > 0, places))
+    else:
+        found = texts.select("doc_id", "_text", F.posexplode("low").alias("place", "anchor")).join(anchors, "anchor")
+        found = found.groupBy("doc_id", "_text").agg(F.collect_set("place").alias("places"))
+        found = found.withColumnsRenamed({"doc_id": "_doc", "_text": "_key"})
+        same = texts["doc_id"].eqNullSafe(found["_doc"]) & (texts["_text"] == found["_key"])
+        texts = texts.join(found, same)
+
+    def around(place: Column) -> Column:
+        begin = F.greatest(place - (WINDOW - 1), F.lit(0))
+        return F.struct(
+            place.alias("place"), F.get("low", place).alias("anchor"), begin.alias("begin"),
+            F.slice("t", begin + 1, F.lit(2 * WINDOW - 1)).alias("context"),
+        )
+
+    # Only short contexts are exploded, never a text. The outer form keeps the places from being computed twice.
+    here = texts.select("doc_id", "_text", F.explode_outer(F.transform("places", around)).alias("c"))
+    return here.where("c IS NOT NULL").select("doc_id", "_text", "c.*")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, _text, item_id, matched, windows): per document and item, the benchmark windows
     found in consistent alignments. ``_text`` is the hash that tells texts of one doc_id apart."""
     windows = materialize(benchmark_windows(benchmark), "benchmark-windows")
     small = windows.count() <= BROADCAST_WINDOWS
-    split = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_text"), tokens(F.col("text")).alias("t"))
-    places = split.select("*", F.posexplode("t").alias("place", "token")).withColumn("anchor", F.lower(core(F.col("token"))))
     start = F.col("place") - F.col("anchor_at")
-    second = F.try_element_at("t", F.greatest(start + F.col("second_at") + 1, F.lit(1)))
-    fits = (start >= 0) & (start + F.col("width") <= F.size("t")) & (F.lower(core(second)) == F.col("second"))
-    near = places.join(F.broadcast(windows) if small else windows, "anchor").where(fits)
-    near = near.withColumn("parts", canonical(F.slice("t", start + 1, F.col("width"))))
+    inside = start - F.col("begin")
+    second = literal(F.try_element_at("context", F.greatest(inside + F.col("second_at") + 1, F.lit(1))))
+    fits = (start >= 0) & (inside + F.col("width") <= F.size("context")) & (second == F.col("second"))
+    near = anchored(docs, windows, small).join(F.broadcast(windows) if small else windows, "anchor").where(fits)
+    near = near.withColumn("parts", canonical(F.slice("context", inside + 1, F.col("width"))))
     found = near.where(template(F.col("parts")) == F.col("template")).select(
         "doc_id", "_text", "item_id", "version", "windows", "at", (start - F.col("at")).alias("shift"),
         F.zip_with("slots", slots(F.col("parts")), lambda mine, theirs: F.struct(
