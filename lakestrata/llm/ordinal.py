@@ -21,6 +21,7 @@ TRAINING_ROWS = 20_000
 MOST_FEATURES = 4096
 LEAST_DOCUMENTS = 5  # labelled documents with a feature
 LEAST_PHI2 = 0.005  # squared correlation with the label
+LEAST_CHI2 = 15.0  # the same times the sample's size, which keeps chance out of small samples
 GRADES = ("none", "mild", "severe")
 PENALTY = 1e-5
 STEPS = 600
@@ -107,7 +108,7 @@ def _associated(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         .agg(F.sum("n").cast("double").alias("n"), F.sum("n_toxic").cast("double").alias("n_toxic"))
         .where(F.col("n") >= LEAST_DOCUMENTS)
         .select("feature", phi2.alias("phi2"), (gap > 0).alias("speaks_for"))
-        .where(F.col("phi2") >= LEAST_PHI2)
+        .where((F.col("phi2") >= LEAST_PHI2) & (F.col("phi2") * rows >= LEAST_CHI2))
         .orderBy(F.desc("phi2"), "feature")
         .limit(MOST_FEATURES)
         .collect()

@@ -5,7 +5,7 @@ import pytest
 from lakestrata.llm import ordinal
 from lakestrata.llm.queries import QUERIES, read
 
-SMALL = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.1"
 
 
 def made(spark, n=600, seed=1):
