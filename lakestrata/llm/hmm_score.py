@@ -27,7 +27,7 @@ ENDINGS = 4096  # symbols for rarer words, by a hash of their last bytes
 END = HEAD_WORDS + ENDINGS
 SYMBOLS = END + 1
 PASSES = 3  # Baum-Welch passes over all training texts
-SMOOTHING = 2000.0  # tokens of the overall distribution added to every state
+SMOOTHING = 5000.0  # tokens of the overall distribution added to every state
 STICKY = 0.98
 # Training cuts a text into stretches of so many tokens; scoring never does.
 STRETCH = 1024
@@ -91,8 +91,20 @@ class Model:
     moves: np.ndarray
     emits: np.ndarray  # symbols x states
 
+    def smoothed_counts(self) -> np.ndarray:
+        """Add-one counts: one more for each word of a symbol, and for unknown words of an ending."""
+        counts = self.symbol_counts + (self.symbol_counts > 0).astype(float)
+        counts[HEAD_WORDS:END] = self.symbol_counts[HEAD_WORDS:END] + self.ending_words + 1.0
+        counts[END] = self.symbol_counts[END] + 1.0
+        return counts
+
     def overall(self) -> np.ndarray:
-        return (self.symbol_counts + 1.0) / (self.symbol_counts.sum() + SYMBOLS)
+        counts = self.smoothed_counts()
+        return counts / counts.sum()
+
+    def inflated(self, emits: np.ndarray) -> np.ndarray:
+        """Expected counts with what smoothing adds to a symbol shared out among its states."""
+        return emits * (self.smoothed_counts() / np.maximum(self.symbol_counts, 1))[:, None]
 
 
 def vocabulary(counts: DataFrame) -> Model:
@@ -151,6 +163,11 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     return materialize(rows.mapInArrow(run, ENCODED), "encoded-texts")
 
 
+def _shares(emits: np.ndarray, model: Model) -> np.ndarray:
+    """Emission probabilities per state, smoothed by the overall ones."""
+    return (emits + SMOOTHING * model.overall()[:, None]) / (emits.sum(axis=0) + SMOOTHING)
+
+
 def starting_point(encoded: DataFrame, model: Model) -> Model:
     """Break the symmetry of states: spherical k-means of some texts by their frequent words."""
     sample = (
@@ -182,7 +199,7 @@ def starting_point(encoded: DataFrame, model: Model) -> Model:
         emits = np.zeros((SYMBOLS, STATES))
         for text, k in zip(texts, near):
             emits[:, k] += np.bincount(text, minlength=SYMBOLS)
-        emits = (emits + SMOOTHING * overall[:, None]) / (emits.sum(axis=0) + SMOOTHING)
+        emits = _shares(emits, model)
     else:
         emits *= rng.uniform(0.9, 1.1, emits.shape)
         emits /= emits.sum(axis=0)
@@ -299,7 +316,7 @@ def baum_welch(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
             model,
             start=(starts + 1) / (starts.sum() + STATES),
             moves=(pairs + 1) / (pairs.sum(axis=1, keepdims=True) + STATES),
-            emits=(emits + SMOOTHING * model.overall()[:, None]) / (emits.sum(axis=0) + SMOOTHING),
+            emits=_shares(model.inflated(emits), model),
         )
     return model
 
