@@ -122,10 +122,22 @@ def _hooks(linked: np.ndarray) -> np.ndarray:
 
 
 def _first_common(a: np.ndarray, b: np.ndarray, table: int, code: int) -> np.ndarray:
-    """Whether (table, code) is the first bucket that the rows of ``a`` and ``b`` share."""
-    earlier = (a[:, :table, :, None] == b[:, :table, None, :]).any(axis=(1, 2, 3))
-    same = (a[:, table, :, None] == b[:, table, None, :]) & (a[:, table, :, None] < code)
-    return ~earlier & ~same.any(axis=(1, 2))
+    """Whether (table, code) is the first bucket that the rows of ``a`` and ``b`` share.
+
+    Close vectors mostly share a bucket of the first table, so few pairs are left for later ones.
+    """
+    left = np.arange(len(a))
+    for t in range(table + 1):
+        x, y = a[left, t], b[left, t]
+        common = x[:, :, None] == y[:, None, :]
+        if t == table:
+            common &= x[:, :, None] < code
+        left = left[~common.any(axis=(1, 2))]
+        if not len(left):
+            break
+    first = np.zeros(len(a), bool)
+    first[left] = True
+    return first
 
 
 def bucket_links(members: DataFrame, dtype: str, cosine: float = COSINE) -> DataFrame:
