@@ -28,6 +28,7 @@ TRAINING_ROWS = 20_000
 MOST_FEATURES = 256
 LEAST_DOCUMENTS = 10
 LEAST_PHI2 = 0.003  # squared correlation with a domain
+LEAST_CHI2 = 15.0  # the same times the sample's size, which keeps chance out of small samples
 LEAST_LIFT = 3.0
 STEPS = 24
 STEP = 0.9
@@ -136,7 +137,8 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -
     best = (
         table.where(F.col("df") >= LEAST_DOCUMENTS)
         .withColumn("phi2", F.array_max(F.array(*map(phi2, split))))
-        .where((F.col("phi2") >= LEAST_PHI2) & (F.array_max(F.array(*map(lift, split))) >= LEAST_LIFT))
+        .where((F.col("phi2") >= LEAST_PHI2) & (F.col("phi2") * total >= LEAST_CHI2))
+        .where(F.array_max(F.array(*map(lift, split))) >= LEAST_LIFT)
         .orderBy(F.desc("phi2"), "word")
         .limit(MOST_FEATURES)
         .collect()
@@ -206,7 +208,7 @@ def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     """All rows of ``docs`` with ``n_tokens``, ``p_<domain>`` for every domain, and ``rate``: the
     chance with which to keep the row so that expected domain totals come near the targets.
 
-    A null or empty text has no tokens and the posterior of its empty feature list. Repeated
+    Where the labels give no feature, every rate is 1. A null or empty text has no tokens and the posterior of its empty feature list. Repeated
     rows get equal rates. An empty table gives an empty result. Columns of the added names
     in ``docs`` are refused.
     """
@@ -227,7 +229,8 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> tu
     model = fit_domains(docs, labels)
     members = with_posteriors(docs.select("doc_id", "text"), model).drop("text")
     members = materialize(members, "mixing-members")
-    return model, fit_rates(members, targets), members
+    # Without a feature all documents look alike, and thinning them out would only lose rows.
+    return model, fit_rates(members, targets) if model.known else F.lit(1.0), members
 
 
 def _spread(rated: DataFrame, columns: list[str], rate: Column) -> DataFrame:
