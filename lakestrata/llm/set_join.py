@@ -3,9 +3,11 @@
 Linked sets differ in at most (|x| + |y|) / 19 shingles at a Jaccard similarity of 0.9. Three steps
 use this, none of which writes all pairs of a group:
 
-1. Index lists by position: the shingle space is cut into one part more than the differences
-   allowed, so linked sets agree on a whole part. A list holds the sets of one block of sizes that
-   have the same shingles in the part at one position; lists of one set are skipped at once.
+1. Index lists by position: the shingle space is cut into half as many parts again as differences
+   are allowed, so linked sets agree on a third of the parts. A list holds the sets of one block
+   of sizes that have the same shingles in the part at one position. Lists of one set are
+   skipped at once, then sets that are in too few lists of a block, and of the others' lists the
+   longest.
 2. Of each list only the pairs with its most central set, the leader, are computed.
 3. Derived answers: sets linked to one leader are connected. Any other link among the members of
    a list shows in their differences from the leader: two sets that differ from it by x and y shingles
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakestrata.layout import materialize
 from lakestrata.llm.components import components
@@ -28,7 +30,8 @@ from lakestrata.llm.words import Words, mix, pieces, runs, words_of
 
 BAND = 1.5  # ratio of set sizes in a block of a list
 SEEN_SETS = 200_000  # that a task remembers to have sent
-SHORT_LIST = 24  # lists up to this length are settled pair by pair after the first round
+# Lists up to this length are settled pair by pair after the first round, longer ones after more rounds.
+SHORT_LIST = 32
 PRESELECT = 1 << 20  # bounds the broadcasts that preselect rows by a hash
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,8 +65,11 @@ class Join:
         """A set's own block and that of its largest partner, which may be the same."""
         return [self.band(size), self.band(self.largest_partner(size))]
 
-    def parts(self, band: np.ndarray) -> np.ndarray:
-        return self.most_apart(2 * (self.edges[band + 1] - 1)) + 1
+    def parts(self, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts of a block, and the number on which linked sets agree at least."""
+        apart = self.most_apart(2 * (self.edges[band + 1] - 1))
+        agree = np.maximum(1, (apart + 1) // 2)
+        return apart + agree, agree
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +125,8 @@ def profiles(docs: DataFrame, join: Join) -> DataFrame:
 
 
 def part_keys(docs: DataFrame, join: Join) -> DataFrame:
-    """(key, sid): what a set holds of each part of the shingle space, for its blocks."""
+    """(key, sid, agree): what a set holds of each part of the shingle space, for its blocks, and
+    in how many lists of the block it must be; this number tells blocks apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -135,8 +142,8 @@ def part_keys(docs: DataFrame, join: Join) -> DataFrame:
                 own, above = join.bands(size)
                 for band, use in ((own, fresh), (above, fresh & (above != own))):
                     # A block of sizes that allow no difference needs no parts: linked sets are equal.
-                    parts = np.where(use, join.parts(np.maximum(band, 0)), 0)
-                    parts[parts == 1] = 0
+                    parts, agree = join.parts(np.maximum(band, 0))
+                    parts = np.where(use & (parts > 1), parts, 0)
                     base = np.append(0, np.cumsum(parts))
                     mine = parts[owner] > 0
                     who = owner[mine]
@@ -146,9 +153,11 @@ def part_keys(docs: DataFrame, join: Join) -> DataFrame:
                     of = np.repeat(np.arange(len(size)), parts)
                     place = (np.arange(base[-1]) - base[of]).astype(np.uint64)
                     key = mix(held + mix(place * np.uint64(1 << 20) + band[of].astype(np.uint64)))
-                    yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64)), "sid": pa.array(sid[of])})
+                    yield pa.RecordBatch.from_pydict({
+                        "key": pa.array(key.view(np.int64)), "sid": pa.array(sid[of]), "agree": pa.array(agree[of], pa.int32()),
+                    })
 
-    return docs.select("text").mapInArrow(run, "key long, sid long")
+    return docs.select("text").mapInArrow(run, "key long, sid long, agree int")
 
 
 def agreeing(keys: DataFrame) -> DataFrame:
@@ -158,23 +167,40 @@ def agreeing(keys: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried, sent = None, False  # the last row waits for what follows, unless it is sent already
         for batch in batches:
-            key, sid = batch.column("key").to_numpy(), batch.column("sid").to_numpy()
+            key, sid, agree = (batch.column(c).to_numpy() for c in ("key", "sid", "agree"))
             if not len(key):
                 continue
             if carried is not None:
-                key, sid = np.append(carried[0], key), np.append(carried[1], sid)
+                key, sid, agree = (np.append(a, b) for a, b in zip(carried, (key, sid, agree)))
             new = np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]))
-            key, sid = key[new], sid[new]
+            key, sid, agree = key[new], sid[new], agree[new]
             same = key[1:] == key[:-1]
             before = np.append(False, same)
             send = before | np.append(same, False)
             send[0] &= not sent
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key[send]), "sid": pa.array(sid[send])})
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key[send]), "sid": pa.array(sid[send]), "agree": pa.array(agree[send])})
             sent = bool(before[-1]) or (sent and len(key) == 1)
-            carried = key[-1:], sid[-1:]
+            carried = key[-1:], sid[-1:], agree[-1:]
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "sid")
-    return materialize(ordered.mapInArrow(run, "key long, sid long"), "set-parts")
+    return materialize(ordered.mapInArrow(run, "key long, sid long, agree int"), "set-parts")
+
+
+def shortest(lists: DataFrame) -> DataFrame:
+    """(key, sid): of a set's n lists of a block the n - agree + 1 shortest.
+
+    Linked sets share at least ``agree`` lists of a block, so in one order of all lists they share one of
+    these; sets with fewer lists have no link. A window holds at most the parts of one set.
+    """
+    long = lists.groupBy("key").agg(F.count("*").alias("n"))
+    mine = Window.partitionBy("sid", "agree")
+    ranked = lists.join(long, "key").select(
+        "key", "sid", "agree", F.row_number().over(mine.orderBy("n", "key")).alias("place"),
+        F.count("*").over(mine).alias("has"),
+    )
+    kept = ranked.where("place <= has - agree + 1").select("key", "sid")
+    held = kept.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return materialize(kept.join(held, "key"), "set-parts")
 
 
 def _bucket(*columns: str) -> Column:
@@ -323,13 +349,13 @@ def set_links(lists: DataFrame, sets: Sets, join: Join) -> DataFrame | None:
         led = materialize(lists.join(heads, "key"), "set-lists")
         if led.isEmpty():
             return links
-        short = led.where((F.col("n") <= SHORT_LIST) & F.lit(turn > 1))
-        led = led.where((F.col("n") > SHORT_LIST) | F.lit(turn == 1))
+        longest = SHORT_LIST * (turn - 1)
+        short, led = led.where(F.col("n") <= longest), led.where(F.col("n") > longest)
         edges = led.where("sid <> b").select(F.col("sid").alias("a"), "b")
         found = compare(edges, sets, join, differences=True)
         linked = found.where("linked").select("a", "b").unionByName(larger_helpers(found, join))
         if turn > 1:
-            # Lists here have at most SHORT_LIST sets, and every pair is looked at once.
+            # Lists here have at most SHORT_LIST sets per round so far; every pair is looked at once.
             members = short.groupBy("key").agg(F.collect_list(F.struct("sid", "open")).alias("m"))
             pairs = members.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
             pairs = pairs.where("x.open AND x.sid <> y.sid AND (x.sid < y.sid OR NOT y.open)")
@@ -352,7 +378,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     join = Join(width, percent)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     profile = profiles(docs, join)
-    lists = agreeing(part_keys(docs, join))
+    lists = shortest(agreeing(part_keys(docs, join)))
     # A set that agrees with others on many parts is like them in most places.
     ranks = materialize(lists.groupBy("sid").agg((-F.count("*")).alias("rank")), "set-ranks")
     places = profile.join(ranks.select("sid"), "sid", "left_semi")
