@@ -22,6 +22,7 @@ from lakestrata.llm.words import pieces
 
 STATES = 8
 HEAD_WORDS = 60_000
+COUNT_CLASSES = 64  # per doubling of the count
 ENDING_BYTES = 4
 ENDINGS = 4096  # symbols for rarer words, by a hash of their last bytes
 END = HEAD_WORDS + ENDINGS
@@ -31,8 +32,9 @@ SMOOTHING = 5000.0  # tokens of the overall distribution added to every state
 STICKY = 0.98
 # Training cuts a text into stretches of so many tokens; scoring never does.
 STRETCH = 1024
-STRETCH_TOKENS = 400_000  # handled at once
-COUNTED_WORDS = 300_000  # of a task's running counter
+STRETCH_TOKENS = 120_000  # handled at once, in training
+SCORED_TOKENS = 1_000_000  # handled at once, in scoring; a longer text is handled alone
+COUNTED_WORDS = 150_000  # of a task's running counter
 CHUNKS = 64  # of the vector of counts that tasks send
 # The starting point (not the model) comes from at most so many texts, and so many tokens of each.
 START_TEXTS, START_TOKENS, START_SYMBOLS = 3000, 2000, 4096
@@ -108,9 +110,21 @@ class Model:
 
 
 def vocabulary(counts: DataFrame) -> Model:
-    """Sizes, frequent words (HEAD_WORDS at most) and totals per ending; no latent states yet."""
+    """Sizes, frequent words (HEAD_WORDS at most) and totals per ending; no latent states yet.
+
+    Words are taken by classes of their count, from the most frequent class down to the last that fits,
+    so the driver receives a short histogram and the chosen words only.
+    """
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    frequent = counts.where("word <> X''").orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
+    classed = counts.where("word <> X''").withColumn("class", F.floor(F.log2("c") * COUNT_CLASSES))
+    fits, least = 0, None
+    for row in sorted(classed.groupBy("class").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["class"]):
+        fits += row["n"]
+        if fits > HEAD_WORDS:
+            break
+        least = row["class"]
+    frequent = [] if least is None else classed.where(F.col("class") >= least).select("word", "c").collect()
+    frequent.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     head = {bytes(r["word"]): n for n, r in enumerate(frequent)}
     symbols = np.zeros(SYMBOLS, np.int64)
     symbols[: len(frequent)] = [r["c"] for r in frequent]
@@ -170,10 +184,14 @@ def _shares(emits: np.ndarray, model: Model) -> np.ndarray:
 
 def starting_point(encoded: DataFrame, model: Model) -> Model:
     """Break the symmetry of states: spherical k-means of some texts by their frequent words."""
+    texts = encoded.where("NOT held_out AND n_tokens > 8")
+    part = F.lit(max(1, texts.count() // START_TEXTS))
+    spread = F.xxhash64("doc_id", "n_tokens")
     sample = (
-        encoded.where("NOT held_out AND n_tokens > 8").orderBy(F.xxhash64("doc_id", "n_tokens"), "row_id").limit(START_TEXTS)
-        .select(F.substring("symbols", 1, 2 * START_TOKENS).alias("s")).collect()
+        texts.where(F.pmod(spread, part) == 0).select(spread.alias("h"), "row_id", F.substring("symbols", 1, 2 * START_TOKENS).alias("s"))
+        .limit(2 * START_TEXTS).collect()
     )
+    sample.sort(key=lambda r: (r["h"], r["row_id"]))
     rng = np.random.default_rng(11)
     overall = model.overall()
     emits = np.repeat(overall[:, None], STATES, axis=1)
@@ -283,7 +301,7 @@ def baum_welch(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
     edges = np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)
 
     def add(chunk: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v, "<f8") for v in chunk["counts"].to_pylist())
+        total = sum(np.frombuffer(v.as_py(), "<f4").astype("<f8") for v in chunk["counts"])
         return pa.table({"chunk": chunk["chunk"][:1].cast(pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     for _ in range(passes):
@@ -300,7 +318,7 @@ def baum_welch(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
             vectors = [np.append(starts, pairs.ravel())] + [emits[a:b].ravel() for a, b in zip(edges, edges[1:])]
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array(range(len(vectors)), pa.int32()),
-                "counts": pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary()),
+                "counts": pa.array([v.astype("<f4").tobytes() for v in vectors], pa.binary()),
             })
 
         schema = "chunk int, counts binary"
@@ -344,10 +362,8 @@ def score_texts(docs: DataFrame, passes: int = PASSES) -> DataFrame:
     frequent[HEAD_WORDS:END] = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, "symbols", 2 * SCORED_TOKENS)):
             sequences = [np.frombuffer(s, "<u2") for s in batch.column("symbols").to_pylist()]
-            if not sequences:
-                continue
             likelihood = forward(sequences, slim)
             yield pa.RecordBatch.from_pydict({
                 "row_id": batch.column("row_id"), "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),

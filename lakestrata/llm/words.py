@@ -85,8 +85,8 @@ def words_of(column: pa.Array, lower: bool, between: np.ndarray = SPACES) -> Wor
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), data[~space])
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows with about :data:`PIECE_BYTES` of text each."""
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows with about ``most`` bytes in ``column`` each."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0)
@@ -94,7 +94,7 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
     at = 0
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, base + PIECE_BYTES, side="right")))
+        stop = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(at, stop - at)
         at = stop
 
