@@ -130,7 +130,7 @@ class _Encoder:
     is the concatenation of its words; known words are looked up in a bounded table.
 
     New words of letters only are encoded as one text without the pattern that would cut it into
-    words; the ids of a word end with a word-end token.
+    words; the ids of a word end with a word-end token. Words of a-z only need no normalising either.
     """
 
     def __init__(self, tokenizer_path: str, dtype: str) -> None:
@@ -143,6 +143,8 @@ class _Encoder:
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        self.ascii = Tokenizer(self.whole.model)
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         suffix = self.whole.model.end_of_word_suffix
         vocabulary = self.whole.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -153,19 +155,25 @@ class _Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, unknown: list[bytes]) -> None:
-        plain, rest = [], []
+        plain, letters, rest = [], [], []
         for word in unknown:
-            text = word.decode()
-            simple = self.has_closes and text.isalpha() and text.lower().isalpha()
-            (plain if simple else rest).append(word)
-        if plain:
-            joined = b" ".join(plain).decode()
-            ids = np.array(self.letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+            if not self.has_closes:
+                rest.append(word)
+            elif word.isalpha() and word.islower():
+                plain.append(word)
+            else:
+                text = word.decode()
+                (letters if text.isalpha() and text.lower().isalpha() else rest).append(word)
+        for tokenizer, words in ((self.ascii, plain), (self.letters, letters)):
+            if not words:
+                continue
+            joined = b" ".join(words).decode()
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
             ends = (np.flatnonzero(self.closes[ids]) + 1) * self.dtype.itemsize
-            if len(ends) != len(plain):
+            if len(ends) != len(words):
                 raise ValueError("the tokenizer's words do not end with word-end tokens")
             raw = ids.astype(self.dtype).tobytes()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(plain, np.append(0, ends[:-1]).tolist(), ends.tolist()))
+            self.known.update((w, raw[a:b]) for w, a, b in zip(words, np.append(0, ends[:-1]).tolist(), ends.tolist()))
         encoded = self.whole.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
         self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(rest, encoded))
 
