@@ -164,14 +164,18 @@ def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
 
 def _rate(residuals: list[list[float]]) -> Column:
     """A row's rate after one projected step per residual, from rate 1."""
-    rate = F.lit(1.0)
     if not residuals:
-        return rate
-    dot = lambda g: F.aggregate(
-        F.zip_with(F.col("posteriors"), g, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b
-    )
-    step = lambda r, g: F.least(F.lit(1.0), F.greatest(F.lit(0.0), r - F.lit(STEP) * dot(g)))
-    return F.aggregate(F.lit(residuals), rate, step)
+        return F.lit(1.0)
+
+    def follow(posteriors: Column) -> Column:
+        dot = lambda g: F.aggregate(
+            F.zip_with(posteriors, g, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b
+        )
+        step = lambda r, g: F.least(F.lit(1.0), F.greatest(F.lit(0.0), r - F.lit(STEP) * dot(g)))
+        return F.aggregate(F.lit(residuals), F.lit(1.0), step)
+
+    # A filter on the rate may take the place of the column; bound, the posteriors are still computed once.
+    return F.transform(F.array(F.col("posteriors")), follow)[0]
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float]) -> Column:
