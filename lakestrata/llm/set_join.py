@@ -31,7 +31,7 @@ from lakestrata.llm.words import Words, mix, pieces, runs, words_of
 BAND = 1.5  # ratio of set sizes in a block of a list
 SEEN_SETS = 200_000  # that a task remembers to have sent
 # Lists up to this length are settled pair by pair after the first round, longer ones after more rounds.
-SHORT_LIST = 32
+SHORT_LIST = 16
 PRESELECT = 1 << 20  # bounds the broadcasts that preselect rows by a hash
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -356,9 +356,11 @@ def set_links(lists: DataFrame, sets: Sets, join: Join) -> DataFrame | None:
         linked = found.where("linked").select("a", "b").unionByName(larger_helpers(found, join))
         if turn > 1:
             # Lists here have at most SHORT_LIST sets per round so far; every pair is looked at once.
-            members = short.groupBy("key").agg(F.collect_list(F.struct("sid", "open")).alias("m"))
-            pairs = members.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-            pairs = pairs.where("x.open AND x.sid <> y.sid AND (x.sid < y.sid OR NOT y.open)")
+            # Open sets come first and meet those behind them; closed sets do not meet each other.
+            member = F.struct((~F.col("open")).alias("closed"), "sid")
+            members = short.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m"))
+            pairs = members.select("m", F.posexplode("m").alias("at", "x")).where("NOT x.closed")
+            pairs = pairs.select("x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y"))
             pairs = pairs.select(F.greatest("x.sid", "y.sid").alias("a"), F.least("x.sid", "y.sid").alias("b")).distinct()
             pairs = materialize(pairs, "set-pairs")
             if not pairs.isEmpty():
