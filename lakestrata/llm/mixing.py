@@ -13,7 +13,9 @@ can be computed in its row from the list of past residuals.
 
 from __future__ import annotations
 
+import logging
 import math
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +25,8 @@ from lakestrata.layout import materialize
 DOMAINS = ("clean", "poor", "toxic")
 # Wanted shares of the expected tokens.
 TARGETS = {"clean": 0.95, "poor": 0.05, "toxic": 0.0}
+# Under these targets no clean text goes because another domain is scarce.
+KEPT_WHOLE = "clean"
 # The classifier is fitted on at most so many labelled rows, those of smallest hash of doc_id.
 TRAINING_ROWS = 20_000
 MOST_FEATURES = 256
@@ -32,8 +36,11 @@ LEAST_CHI2 = 15.0  # the same times the sample's size, which keeps chance out of
 LEAST_LIFT = 3.0
 STEPS = 24
 STEP = 0.9
+SHORT = 0.005  # a share this far below its target is logged
 CLOSE = 1e-5  # residuals relative to all tokens at which the fit ends
 
+logger = logging.getLogger(__name__)
+
 
 def domain_of(quality: Column, toxic: Column) -> Column:
     """Domain of a labelled document; null when either verdict is missing."""
@@ -66,6 +73,7 @@ def features(distinct: Column, count: Column) -> Column:
 class DomainModel:
     base: dict[str, float]  # log weight of a document without any known feature
     known: dict[str, tuple[float, ...]]  # what a feature adds, per domain
+    labelled: tuple[str, ...] = DOMAINS  # domains with documents in the sample; others have chance posteriors only
 
     def posteriors(self, feats: Column) -> Column:
         """Array of probabilities in the order of DOMAINS."""
@@ -150,7 +158,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -
         chance = [(row[f"n{k}"] + overall) / (n[k] + 1.0) for k in range(len(DOMAINS))]
         known[row["word"]] = tuple(math.log(p / (1 - p)) for p in chance)
         base = [b + math.log(1 - p) for b, p in zip(base, chance)]
-    return DomainModel(dict(zip(DOMAINS, base)), known)
+    return DomainModel(dict(zip(DOMAINS, base)), known, tuple(d for d, rows_ in zip(DOMAINS, n) if rows_))
 
 
 def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
@@ -178,15 +186,36 @@ def _rate(residuals: list[list[float]]) -> Column:
     return F.transform(F.array(F.col("posteriors")), follow)[0]
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float]) -> Column:
+def goals(
+    available: list[float], wanted: list[float], whole: str | None, labelled: Collection[str] = DOMAINS
+) -> list[float]:
+    """Token totals to reach, in the order of DOMAINS; none is above what is available.
+
+    With ``whole``, that domain is kept whole and the others are thinned down to their shares beside
+    it; one with less than its share stays whole and falls short. Without, or when ``whole`` has no labels or no
+    tokens, the scarcest wanted domain is used up. Domains without labels are left as they are.
+    """
+    told = [d in labelled for d in DOMAINS]
+    sizes = {d: a / w for d, a, w, t in zip(DOMAINS, available, wanted, told) if t and w}
+    if not sizes:
+        return list(available)
+    size = sizes.get(whole) or min(sizes.values())
+    return [min(a, size * w) if t else a for a, w, t in zip(available, wanted, told)]
+
+
+def fit_rates(
+    members: DataFrame, targets: dict[str, float], whole: str | None = None, labelled: Collection[str] = DOMAINS
+) -> Column:
     """Rate of a row with ``n_tokens`` and ``posteriors`` as a Column of [0, 1].
 
-    Targets are shares of tokens; they become totals such that the scarcest wanted domain is used
-    up. Each step aggregates one number per domain over all rows of ``members``.
+    Targets are shares of tokens, which become totals by :func:`goals`. Each step aggregates one
+    number per domain over all rows of ``members``. A domain that falls short is logged.
     """
     wanted = [float(targets.get(d, 0.0)) for d in DOMAINS]
     if min(wanted) < 0 or not math.isclose(sum(wanted), 1.0, abs_tol=1e-9):
         raise ValueError("targets are nonnegative shares that add up to 1")
+    if whole is not None and not targets.get(whole):
+        raise ValueError("the domain to keep whole must be wanted")
 
     def expected(rate: Column) -> list[float]:
         sums = [F.sum(F.col("n_tokens") * rate * F.col("posteriors")[k]) for k in range(len(DOMAINS))]
@@ -196,8 +225,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float]) -> Column:
     total = sum(available)
     if not total:
         return F.lit(1.0)
-    size = min(a / w for a, w in zip(available, wanted) if w)
-    goal = [size * w for w in wanted]
+    goal = goals(available, wanted, whole, labelled)
     residuals: list[list[float]] = []
     now = available
     for _ in range(STEPS):
@@ -205,36 +233,67 @@ def fit_rates(members: DataFrame, targets: dict[str, float]) -> Column:
         before, now = now, expected(_rate(residuals))
         if max(abs(a - b) for a, b in zip(before, now)) <= CLOSE * total:
             break
+    for domain, share, have in zip(DOMAINS, wanted, now):
+        if have < (share - SHORT) * sum(now):
+            logger.warning("%s falls short: %.4f of the tokens kept, %.4f wanted", domain, have / sum(now), share)
     return _rate(residuals)
 
 
-def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def domain_totals(rated: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """Per domain of a rated table: wanted share, available and expected tokens, their share, and
+    ``missing``: the tokens by which the domain falls short of its share."""
+    sums = [F.sum(F.col("n_tokens") * F.col(f"p_{d}") * x) for d in DOMAINS for x in (F.lit(1.0), F.col("rate"))]
+    wide = rated.agg(*[F.coalesce(s, F.lit(0.0)).alias(f"s{k}") for k, s in enumerate(sums)])
+    listed = F.array(*[
+        F.struct(
+            F.lit(d).alias("domain"), F.lit(float(targets.get(d, 0.0))).alias("wanted"),
+            F.col(f"s{2 * k}").alias("available"), F.col(f"s{2 * k + 1}").alias("expected"),
+        )
+        for k, d in enumerate(DOMAINS)
+    ])
+    whole = sum((F.col(f"s{2 * k + 1}") for k in range(len(DOMAINS))), F.lit(0.0))
+    rows = wide.select(F.explode(listed).alias("d"), whole.alias("_whole")).select("d.*", "_whole")
+    missing = F.greatest(F.col("wanted") * F.col("_whole") - F.col("expected"), F.lit(0.0))
+    return rows.select("*", F.try_divide("expected", "_whole").alias("share"), missing.alias("missing")).drop("_whole")
+
+
+def mix_to_targets(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, whole: str | None = None
+) -> DataFrame:
     """All rows of ``docs`` with ``n_tokens``, ``p_<domain>`` for every domain, and ``rate``: the
     chance with which to keep the row so that expected domain totals come near the targets.
 
-    Where the labels give no feature, every rate is 1. A null or empty text has no tokens and the posterior of its empty feature list. Repeated
+    Without targets, TARGETS hold and KEPT_WHOLE is kept whole. Targets that are given are met as shares, by
+    thinning every domain to the scarcest, unless ``whole`` names a domain to keep (see :func:`goals`;
+    :func:`domain_totals` tells what falls short). Where the labels give no feature, every rate is 1. A null or empty text has no tokens and the posterior of its empty feature list. Repeated
     rows get equal rates. An empty table gives an empty result. Columns of the added names
     in ``docs`` are refused.
     """
     added = {"n_tokens", "posteriors", "rate", "_words", "_distinct", *(f"p_{d}" for d in DOMAINS)}
     if clash := added & set(docs.columns):
         raise ValueError(f"columns in the way: {sorted(clash)}")
-    model, rate, _ = _fitted(docs, labels, targets)
+    model, rate, _ = _fitted(docs, labels, targets, whole)
     return _spread(with_posteriors(docs, model), docs.columns, rate)
 
 
-def rated_members(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def rated_members(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, whole: str | None = None
+) -> DataFrame:
     """As :func:`mix_to_targets`, without the texts: doc_id and the added columns."""
-    _, rate, members = _fitted(docs, labels, targets)
+    _, rate, members = _fitted(docs, labels, targets, whole)
     return _spread(members, ["doc_id"], rate)
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> tuple[DomainModel, Column, DataFrame]:
+def _fitted(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, whole: str | None
+) -> tuple[DomainModel, Column, DataFrame]:
+    if targets is None:
+        targets, whole = TARGETS, whole or KEPT_WHOLE
     model = fit_domains(docs, labels)
     members = with_posteriors(docs.select("doc_id", "text"), model).drop("text")
     members = materialize(members, "mixing-members")
     # Without a feature all documents look alike, and thinning them out would only lose rows.
-    return model, fit_rates(members, targets) if model.known else F.lit(1.0), members
+    return model, fit_rates(members, targets, whole, model.labelled) if model.known else F.lit(1.0), members
 
 
 def _spread(rated: DataFrame, columns: list[str], rate: Column) -> DataFrame:

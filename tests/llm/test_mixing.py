@@ -91,3 +91,27 @@ def test_only_built_in_functions_run(spark):
     plan = mixing.mix_to_targets(docs, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.select(mixing.words(F.lit("A\n b  c")).alias("w")).first()["w"] == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("poor", [0.01, 0.0])
+def test_clean_texts_stay_when_another_domain_is_scarce(spark, caplog, poor):
+    docs, labels = made(spark, 2000)
+    kinds = docs.where(f"kind <> 'poor' OR pmod(xxhash64(doc_id), 1000) < {1000 * poor * 3}")
+    found = mixing.mix_to_targets(kinds, labels.join(kinds, "doc_id", "left_semi"))
+    rows = found.collect()
+    rates = {k: [r["rate"] for r in rows if r["kind"] == k] for k in ("clean", "poor", "toxic")}
+    assert sum(rates["clean"]) >= 0.98 * len(rates["clean"])
+    assert sum(rates["toxic"]) <= 0.1 * len(rates["toxic"])
+    assert poor == 0 or sum(rates["poor"]) >= 0.9 * len(rates["poor"]) > 0
+    report = {r["domain"]: r for r in mixing.domain_totals(found).collect()}
+    assert report["poor"]["missing"] > 0 and report["clean"]["missing"] == 0
+    assert "poor falls short" in caplog.text
+
+
+def test_goals():
+    wanted = [0.95, 0.05, 0.0]
+    assert mixing.goals([95.0, 50.0, 5.0], wanted, "clean") == [95.0, 5.0, 0.0]
+    assert mixing.goals([95.0, 1.0, 5.0], wanted, "clean") == [95.0, 1.0, 0.0]
+    assert mixing.goals([95.0, 1.0, 5.0], wanted, None) == [19.0, 1.0, 0.0]
+    assert mixing.goals([95.0, 0.1, 5.0], wanted, None, ("clean", "toxic")) == [95.0, 0.1, 0.0]
+    assert mixing.goals([0.1, 50.0, 5.0], wanted, "clean", ("poor", "toxic")) == [0.1, 50.0, 0.0]
