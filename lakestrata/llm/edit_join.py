@@ -1,9 +1,10 @@
 """Line dedup under a small edit distance, by segments, in DataFrame functions only.
 
-With at most k edits between two lines, one of k + 1 even segments of the shorter line stands
-unchanged in the longer one, near its own place. So lines are joined by the hash of (length of
-the shorter line, segment number, segment), the longer line probing only with the substrings that
-the number of edits left and right of the segment allows. Candidates are verified by a bit-parallel
+With at most k edits between two lines, one of k + 1 disjoint segments of the shorter line stands
+unchanged in the longer one, near its own place. The first half of the segments is placed from the
+start of a line and the others from its end, with one size for all lengths of a band. So lines are joined
+by the hash of (band of the shorter line, segment number, segment), the longer line probing only with the
+substrings that the number of edits outside of the segment allows. Candidates are verified by a bit-parallel
 edit distance on a diagonal band.
 """
 
@@ -16,7 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakestrata.layout import materialize
 from lakestrata.llm.components import components
 
-EDITS = 1
+# Lines may differ by one edit per so many characters of the shorter one, up to MOST_EDITS.
+CHARS_PER_EDIT = 10
+MOST_EDITS = 5
 LEAST_CHARS = 20  # shorter lines are neither compared nor removed
 # Candidate lines are preselected by a hash of this many bits, which bounds the broadcast at 2^20 rows.
 PRESELECT_BITS = 20
@@ -34,37 +37,61 @@ def line_id(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``i`` (from 0) of a line of ``length``."""
-    start = F.floor(length * i / (edits + 1))
-    return start + 1, F.floor(length * (i + 1) / (edits + 1)) - start
+def edits_of(length: Column) -> Column:
+    """Edits allowed to a pair whose shorter line has ``length`` characters."""
+    return F.greatest(F.lit(1), F.least(F.lit(MOST_EDITS), F.floor(length / CHARS_PER_EDIT))).cast("int")
 
 
-def _key(length: Column, i: int, line: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start.cast("int"), size.cast("int")))
+def _band(length: Column) -> Column:
+    """Least length of the band of ``length``. Bands are wider than MOST_EDITS, and all their lengths allow the same edits."""
+    eighth = F.call_function("shiftleft", F.lit(1), F.length(F.bin(length)) - 4)
+    return length - F.pmod(length, F.when(length < 80, F.lit(10)).otherwise(eighth))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    return F.array(*[_key(length, i, line, *_segment(length, i, edits)) for i in range(edits + 1)])
+def _keys(line: Column, length: Column, band: Column, edits: int, moved: bool) -> Column:
+    """Keys of the segments of ``line`` under the sizes of ``band``; ``moved``: also of the substrings that the longer
+    line may hold them at.
 
-
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of all shorter or equal lines that ``line`` may be close to.
-
-    A segment moves by no more than the edits before it and reaches no further into the end than
-    those after it allow, so every substring lies inside a line of a few times ``edits`` characters.
+    Let h be the number of segments placed from the start. Either at most h - 1 edits reach into them, and the first
+    segment i that at most i edits reach up to is unchanged behind i edits; or the other segments are as well off
+    when read from the end. So a segment moves by no more than its number from its own side.
     """
-    keys = []
-    for gap in range(edits + 1):
-        shorter = length - gap
-        for i in range(edits + 1):
-            start, size = _segment(shorter, i, edits)
-            right = edits - i
-            for shift in range(max(-i, gap - right), min(i, gap + right) + 1):
-                keys.append(_key(shorter, i, line, start + shift, size))
+    size = F.floor(band / (edits + 1)).cast("int")
+    keys, left = [], edits // 2 + 1
+    for i in range(left):
+        for shift in range(-i, i + 1) if moved else (0,):
+            keys.append(F.xxhash64(band, F.lit(i), F.substring(line, size * i + 1 + shift, size)))
+    for i in range(edits + 1 - left):
+        for shift in range(-i, i + 1) if moved else (0,):
+            keys.append(F.xxhash64(band, F.lit(-1 - i), F.substring(line, length - size * (i + 1) + 1 + shift, size)))
     return F.array(*keys)
 
 
+def _keys_of(line: Column, length: Column, band: Column, edits: int | None, moved: bool) -> Column:
+    """As :func:`_keys`, by the edits of the band when ``edits`` is None."""
+    if edits:
+        return _keys(line, length, band, edits, moved)
+    found = _keys(line, length, band, MOST_EDITS, moved)
+    for n in range(MOST_EDITS - 1, LEAST_CHARS // CHARS_PER_EDIT - 1, -1):
+        found = F.when(edits_of(band) == n, _keys(line, length, band, n, moved)).otherwise(found)
+    return found
+
+
+def index_keys(line: Column, length: Column, edits: int | None) -> Column:
+    return _keys_of(line, length, _band(length), edits, False)
+
+
+def probe_keys(line: Column, length: Column, edits: int | None) -> Column:
+    """Keys of all shorter or equal lines that ``line`` may be close to: of its own band, and of the band below
+    when its lengths are within reach."""
+    own = _band(length)
+    below = _band(own - 1)
+    reach = F.lit(edits) if edits else edits_of(below)
+    near = (own > LEAST_CHARS) & (length - reach < own)
+    others = F.when(near, _keys_of(line, length, below, edits, True)).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(_keys_of(line, length, own, edits, True), others)
+
+
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
     """Edit distance of ``a`` and ``b`` if at most ``edits``, else null.
 
@@ -132,37 +159,54 @@ def _follow(
     return bind(end, lambda e: F.when(e <= edits, e))
 
 
-def candidates(distinct_lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b): line ids of which one segment of the shorter line a stands in b."""
-    if edits < 1 or 4 * edits > LEAST_CHARS:
+def candidates(distinct_lines: DataFrame, edits: int | None) -> DataFrame:
+    """(a, b): line keys of which one segment of the shorter line a stands in b.
+
+    A line key is a hash whose last four bits hold those of the line's length, which keeps the shuffled rows short; lengths
+    that fit in these bits only are sorted out later.
+    """
+    if edits is not None and (edits < 1 or 4 * edits > LEAST_CHARS):
         raise ValueError(f"at least one edit, and at most one in four of {LEAST_CHARS} characters")
-    known = distinct_lines.select(line_id(F.col("line")).alias("id"), F.length("line").alias("long"), "line")
+    known = distinct_lines.select(line_key(F.col("line")).alias("id"), F.length("line").alias("long"), "line")
     line, long = F.col("line"), F.col("long")
-    index = known.select(F.col("id").alias("a"), long.alias("long_a"), F.explode(index_keys(line, long, edits)).alias("key"))
-    probes = known.select(F.col("id").alias("b"), long.alias("long_b"), F.explode(probe_keys(line, long, edits)).alias("key"))
-    once = (F.col("long_a") < F.col("long_b")) | (F.col("a") < F.col("b"))
+    index = known.select(F.col("id").alias("a"), F.explode(index_keys(line, long, edits)).alias("key"))
+    probes = known.select(F.col("id").alias("b"), F.explode(probe_keys(line, long, edits)).alias("key"))
+    gap = F.pmod(F.col("b").bitwiseAND(15) - F.col("a").bitwiseAND(15), F.lit(16))
+    once = (gap <= (edits or MOST_EDITS)) & ((gap > 0) | (F.col("a") < F.col("b")))
     return index.join(probes, "key").where(once).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b, distance) of all different lines within ``edits``, by line id, each pair once."""
+def line_key(line: Column) -> Column:
+    return F.xxhash64(line).bitwiseAND(F.lit(-16)).bitwiseOR(F.length(line).cast("long").bitwiseAND(15))
+
+
+def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
+    """(a, b, distance) of all different lines within ``edits``, by line id, each pair once.
+
+    Without ``edits`` they follow from the length of the shorter line (:func:`edits_of`).
+    """
     pairs = materialize(candidates(lines(docs).select("line").distinct(), edits), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
     buckets = ids.select(bucket.alias("bucket")).distinct()
-    texts = lines(docs).select("line", line_id(F.col("line")).alias("id")).withColumn("bucket", bucket)
+    texts = lines(docs).select("line", line_key(F.col("line")).alias("id")).withColumn("bucket", bucket)
     texts = texts.join(F.broadcast(buckets), "bucket", "left_semi").select("id", "line").distinct()
     texts = materialize(texts.join(ids, "id", "left_semi"), "line-texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    # Lines of a pair of equal lengths come in any order; otherwise a is the shorter one.
+    allowed = F.lit(edits) if edits else edits_of(F.length("line_a"))
+    both = both.where((F.length("line_b") - F.length("line_a")).between(F.lit(0), allowed))
     count = lambda line, letter: F.length(line) - F.length(F.replace(F.col(line), F.lit(letter), F.lit("")))
     apart = sum((F.abs(count("line_a", x) - count("line_b", x)) for x in LETTERS), F.lit(0))
-    both = both.where(apart <= 2 * edits)
-    measured = both.select("a", "b", banded_distance(F.col("line_a"), F.col("line_b"), edits).alias("distance"))
-    return measured.where("distance IS NOT NULL")
+    both = both.where(apart <= 2 * allowed)
+    most = edits or MOST_EDITS
+    distance = F.transform(F.array(banded_distance(F.col("line_a"), F.col("line_b"), most)), lambda d: F.when(d <= allowed, d))[0]
+    ids = line_id(F.col("line_a")).alias("a"), line_id(F.col("line_b")).alias("b")
+    return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """Per doc_id: n_lines, n_near (lines with a close but different line) and n_removed.
 
     Lines that are equal or linked through close lines form a class; all but its first line, in the order

@@ -83,3 +83,38 @@ def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "twenty characters or more")] * 2, "doc_id long, text string")
     assert [tuple(r) for r in edit_join.dedup_lines(docs).collect()] == [(1, 2, 0, 1)]
     assert edit_join.dedup_lines(docs.limit(0)).collect() == []
+
+
+def allowed(length):
+    return max(1, min(edit_join.MOST_EDITS, length // edit_join.CHARS_PER_EDIT))
+
+
+def alike(a, b):
+    """Whether letter counts allow five edits."""
+    return sum(abs(a.count(x) - b.count(x)) for x in set(a + b)) <= 10
+
+
+@pytest.mark.parametrize("edits", [None, 3, 5])
+def test_edits_by_length_match_brute_force(spark, edits):
+    rng = random.Random(20 + (edits or 0))
+    lines = set()
+    for length in [20, 29, 30, 31, 39, 41, 50, 52, 60, 79, 80, 88, 128, 130, 257] * 2:
+        line = "".join(rng.choice("abcdé𝒳 ") for _ in range(length))
+        lines |= {line} | {changed(rng, line, n) for n in range(1, 7)}
+    lines = sorted(x for x in lines if len(x) >= edit_join.LEAST_CHARS)
+    docs = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "doc_id long, text string")
+    names = {r["id"]: r["line"] for r in edit_join.lines(docs).select("line", edit_join.line_id(F.col("line")).alias("id")).collect()}
+    found = {frozenset((names[r["a"]], names[r["b"]])): r["distance"] for r in edit_join.links(docs, edits).collect()}
+    wanted = {}
+    for n, a in enumerate(lines):
+        for b in lines[:n]:
+            most = edits or allowed(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= most and alike(a, b) and (d := distance(a, b)) <= most:
+                wanted[frozenset((a, b))] = d
+    assert found == wanted and max(wanted.values()) == (edits or 5)
+
+
+def test_a_changed_word_in_a_long_line_is_found(spark):
+    line = "All rights reserved by the owners of this site, 2019, and its partners"
+    docs = spark.createDataFrame([(1, line), (2, line.replace("2019", "1987"))], "doc_id long, text string")
+    assert sorted(map(tuple, edit_join.dedup_lines(docs).collect())) == [(1, 1, 1, 0), (2, 1, 1, 1)]
