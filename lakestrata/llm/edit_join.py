@@ -20,17 +20,17 @@ from lakestrata.llm.components import components
 # Lines may differ by one edit per so many characters of the shorter one, up to MOST_EDITS.
 CHARS_PER_EDIT = 10
 MOST_EDITS = 5
-LEAST_CHARS = 20  # shorter lines are neither compared nor removed
+LEAST_CHARS = 20  # shorter lines are not compared for edits
 # Candidate lines are preselected by a hash of this many bits, which bounds the broadcast at 2^20 rows.
 PRESELECT_BITS = 20
 # Letters whose counts are compared before the distance.
 LETTERS = "aeinorst"
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of the lines long enough to be compared; a null text has none."""
+def lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+    """(doc_id, line_no, line) of the lines of ``least`` characters or more; a null text has none."""
     split = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return split.where(F.length("line") >= LEAST_CHARS)
+    return split.where(F.length("line") >= least)
 
 
 def line_id(line: Column) -> Column:
@@ -206,16 +206,17 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
     return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")
 
 
-def dedup_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int | None = None, least: int = LEAST_CHARS) -> DataFrame:
     """Per doc_id: n_lines, n_near (lines with a close but different line) and n_removed.
 
     Lines that are equal or linked through close lines form a class; all but its first line, in the order
-    of doc_id and line number, are removed. Lines under LEAST_CHARS stay. Rows with equal doc_id
+    of doc_id and line number, are removed. Lines under ``least`` characters stay (with 1, only empty lines do);
+    those under LEAST_CHARS form classes of equal lines only. Rows with equal doc_id
     count as one document. A null text has no lines; an empty text has one empty line.
     """
     linked = materialize(links(docs, edits).select("a", "b"), "line-links")
     classes = components(linked, "a", "b")
-    placed = lines(docs).select("doc_id", "line_no", line_id(F.col("line")).alias("id"))
+    placed = lines(docs, least).select("doc_id", "line_no", line_id(F.col("line")).alias("id"))
     placed = placed.join(classes, F.col("id") == F.col("node"), "left").select(
         "doc_id", "line_no", F.coalesce("component", "id").alias("class"), F.col("node").isNotNull().alias("near")
     )

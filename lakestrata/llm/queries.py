@@ -92,8 +92,8 @@ def op8_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_segment_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every document, and those removed as near copies of earlier lines."""
-    return edit_join.dedup_lines(read(spark, sf_dir, "documents"))
+    """Lines of every document, and those removed as copies or near copies of earlier lines."""
+    return edit_join.dedup_lines(read(spark, sf_dir, "documents"), least=1)
 
 
 def op10_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.llm import edit_join
+from lakestrata.llm.queries import QUERIES
 
 
 def distance(a, b):
@@ -118,3 +119,10 @@ def test_a_changed_word_in_a_long_line_is_found(spark):
     line = "All rights reserved by the owners of this site, 2019, and its partners"
     docs = spark.createDataFrame([(1, line), (2, line.replace("2019", "1987"))], "doc_id long, text string")
     assert sorted(map(tuple, edit_join.dedup_lines(docs).collect())) == [(1, 1, 1, 0), (2, 1, 1, 1)]
+
+
+def test_short_lines_that_repeat_are_removed(spark, tmp_path):
+    rows = [(1, "Yes.\n\nNo.\nYes."), (2, "Yes.\nYes!\n"), (3, "a line that is long enough\nNo.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op9_segment_edit_join"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [(1, 4, 0, 1), (2, 3, 0, 1), (3, 2, 0, 1)]
