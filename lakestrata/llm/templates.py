@@ -18,7 +18,8 @@ from lakestrata.layout import materialize
 
 WINDOW = 8  # tokens; a shorter item is one window
 LEAST_LITERALS = 3  # windows with fewer literal tokens are too common to count
-SHARE = 0.5  # of an item's windows that must match
+SHARE = 0.5  # of an item's windows that must match, or of its tokens that matched windows must cover
+LEAST_RUN = 13  # so many consecutive tokens of an item in one alignment are enough, whatever their share
 BROADCAST_WINDOWS = 100_000  # more benchmark windows are joined by shuffles
 
 # Marks trimmed from tokens, and unit words.
@@ -78,7 +79,7 @@ def slots(parts: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, width, template, slots, anchor, anchor_at, second, second_at, windows).
+    """(item_id, at, width, size, template, slots, anchor, anchor_at, second, second_at, windows).
 
     Items without an id or text and windows with too few literals are left out; repeated items
     count once, and of equal ids with different texts each text is an item of its own.
@@ -87,7 +88,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = items.select("item_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("t"))
     width = F.least(F.size("t"), F.lit(WINDOW))
     windows = items.select(
-        "item_id", "version", "t", width.alias("width"),
+        "item_id", "version", "t", width.alias("width"), F.size("t").alias("size"),
         F.explode(F.sequence(F.lit(0), F.size("t") - width)).alias("at"),
     )
     windows = windows.withColumn("parts", canonical(F.slice("t", F.col("at") + 1, F.col("width"))))
@@ -96,7 +97,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     literal = F.sort_array(F.filter(numbered, lambda p: p["kind"].isNull() & (p["long"] > 0)), asc=False)
     windows = windows.withColumn("literals", literal).where(F.size("literals") >= LEAST_LITERALS)
     windows = windows.select(
-        "item_id", "version", "at", "width", template(F.col("parts")).alias("template"), slots(F.col("parts")).alias("slots"),
+        "item_id", "version", "at", "width", "size", template(F.col("parts")).alias("template"), slots(F.col("parts")).alias("slots"),
         F.col("literals")[0]["form"].alias("anchor"), F.col("literals")[0]["place"].alias("anchor_at"),
         F.col("literals")[1]["form"].alias("second"), F.col("literals")[1]["place"].alias("second_at"),
     )
@@ -137,9 +138,24 @@ def anchored(docs: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
     return here.where("c IS NOT NULL").select("doc_id", "_text", "c.*")
 
 
+def coverage(ats: Column, width: Column) -> Column:
+    """(covered, run): tokens that windows at ``ats`` cover, and the most of them without a gap."""
+    start = F.struct(*[F.lit(0).alias(c) for c in ("covered", "run", "best", "end")])
+
+    def step(s: Column, at: Column) -> Column:
+        gained = at + width - F.greatest(at, s["end"])
+        run = F.when(at <= s["end"], s["run"] + gained).otherwise(gained)
+        return F.struct(
+            (s["covered"] + gained).alias("covered"), run.alias("run"), F.greatest(s["best"], run).alias("best"), (at + width).alias("end")
+        )
+
+    return F.aggregate(F.sort_array(ats), start, step, lambda s: F.struct(s["covered"].alias("covered"), s["best"].alias("run")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, _text, item_id, matched, windows): per document and item, the benchmark windows
-    found in consistent alignments. ``_text`` is the hash that tells texts of one doc_id apart."""
+    """(doc_id, _text, item_id, matched, windows, covered, run, size): per document and item, the benchmark windows
+    found in consistent alignments, the item's tokens they cover, the most consecutive ones in one alignment, and all
+    tokens of the item. ``_text`` is the hash that tells texts of one doc_id apart."""
     windows = materialize(benchmark_windows(benchmark), "benchmark-windows")
     small = windows.count() <= BROADCAST_WINDOWS
     start = F.col("place") - F.col("anchor_at")
@@ -149,28 +165,31 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = anchored(docs, windows, small).join(F.broadcast(windows) if small else windows, "anchor").where(fits)
     near = near.withColumn("parts", canonical(F.slice("context", inside + 1, F.col("width"))))
     found = near.where(template(F.col("parts")) == F.col("template")).select(
-        "doc_id", "_text", "item_id", "version", "windows", "at", (start - F.col("at")).alias("shift"),
+        "doc_id", "_text", "item_id", "version", "windows", "width", "size", "at", (start - F.col("at")).alias("shift"),
         F.zip_with("slots", slots(F.col("parts")), lambda mine, theirs: F.struct(
             mine["kind"].alias("kind"), mine["value"].alias("mine"), theirs["value"].alias("theirs"))).alias("pairs"),
     )
     # An alignment holds at most the windows of one item.
-    aligned = found.groupBy("doc_id", "_text", "item_id", "version", "windows", "shift").agg(
+    aligned = found.groupBy("doc_id", "_text", "item_id", "version", "windows", "width", "size", "shift").agg(
         F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     given = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["mine"])))
     consistent = aligned.where(F.size(given) == F.size("pairs"))
-    per_window = consistent.select("doc_id", "_text", "item_id", "version", "windows", F.explode("ats").alias("at"))
-    return (
-        per_window.groupBy("doc_id", "_text", "item_id", "version", "windows")
-        .agg(F.countDistinct("at").alias("matched"))
-        .select("doc_id", "_text", "item_id", "matched", "windows")
+    key = ("doc_id", "_text", "item_id", "version", "windows", "width", "size")
+    whole = consistent.withColumn("run", coverage(F.col("ats"), F.col("width"))["run"]).groupBy(*key).agg(
+        F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"), F.max("run").alias("run")
     )
+    covered = coverage(F.col("ats"), F.col("width"))["covered"].alias("covered")
+    return whole.select("doc_id", "_text", "item_id", F.size("ats").alias("matched"), "windows", covered, "run", "size")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """All rows of ``docs`` with ``contaminated``, ``item_id`` (the item found to the largest share, the
     smallest id in a tie), ``share`` of its windows and ``n_items`` found.
 
+    An item is found when ``share`` of its windows match or ``share`` of its tokens are covered by matched windows, or when
+    LEAST_RUN consecutive tokens are.
+
     Null and empty texts are clean, as is everything when the benchmark is empty. Rows with equal
     doc_id and text get the same answer. Columns of the added names in ``docs`` are refused.
     """
@@ -179,7 +198,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -
     part = F.col("matched") / F.col("windows")
     best = F.max_by(F.struct("item_id", part.alias("share")), F.struct(part.alias("p"), (-F.col("item_id")).alias("i")))
     found = (
-        matches(docs, benchmark).where(part >= share)
+        matches(docs, benchmark)
+        .where((part >= share) | (F.col("covered") / F.col("size") >= share) | (F.col("run") >= LEAST_RUN))
         .groupBy("doc_id", "_text")
         .agg(best.alias("_best"), F.countDistinct("item_id").alias("n_items"))
     )

@@ -86,3 +86,17 @@ def test_verbatim_items_of_the_supplied_texts(spark):
     assert wanted and {r["doc_id"] for r in query.where("contaminated").collect()} == wanted
     plan = query._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_edited_and_partial_passages(spark):
+    words = [a + b for a in ("lum", "tor", "vex", "qui", "bal") for b in ("an", "ed", "ol", "ip", "ur", "est", "ami", "ock")][:38]
+    item, edited = " ".join(words), [*words]
+    edited[12] = edited[25] = "changed"
+    short = [w[::-1] for w in words[:16]]
+    one = [*short[:8], "changed", *short[9:]]
+    docs = [
+        (1, " ".join(edited), 0), (2, "before it " + " ".join(words[:20]), 0), (3, " ".join(words[:12]), 0),
+        (4, " ".join(one), 0), (5, " ".join(words[20:33]), 0),
+    ]
+    found = marked(spark, docs, [(1, item, 0), (2, " ".join(short), 0)])
+    assert {k[0]: r["item_id"] for k, r in found.items()} == {1: 1, 2: 1, 3: None, 4: 2, 5: 1}
