@@ -1,4 +1,4 @@
-"""The ten operators of this subpackage as queries on the supplied tables."""
+"""The operators of this subpackage as queries on the supplied tables."""
 
 from __future__ import annotations
 
@@ -16,9 +16,12 @@ from lakestrata.llm import (
     hmm_score,
     mixing,
     ordinal,
+    permuterm,
+    rank_order,
     set_join,
     templates,
     token_files,
+    whitening,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -103,6 +106,22 @@ def op10_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.score_severity(docs, model, ["doc_id"])
 
 
+def op11_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    return rank_order.identify(read(spark, sf_dir, "documents"))
+
+
+def op12_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return permuterm.group_spellings(read(spark, sf_dir, "documents"))
+
+
+def op13_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +135,9 @@ QUERIES = {
         op8_suffix_automata,
         op9_segment_edit_join,
         op10_ordinal_severity,
+        op11_rank_order_language,
+        op12_permuterm_spelling,
+        op13_jacobi_whitening,
     )
 }
 SQL: dict[str, str] = {}
