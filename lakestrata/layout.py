@@ -91,6 +91,31 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(as_path(path), True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none when there is no folder."""
+    files, as_path = _file_system(spark, path)
+    if not files.exists(as_path(path)):
+        return []
+    return [found.getPath().getName() for found in files.listStatus(as_path(path))]
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; fails when there is one of this name already."""
+    files, as_path = _file_system(spark, path)
+    out = files.create(as_path(path), False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    files, as_path = _file_system(spark, path)
+    stream = files.open(as_path(path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def swap_folder(spark: SparkSession, complete: str, target: str) -> None:
     """Put the complete folder in the place of ``target``; both on one file system.
 

@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata import schemas
-from lakestrata.layout import materialize, working_folder
+from lakestrata import commits, schemas
+from lakestrata.layout import working_folder
 from lakestrata.operators import REJECT_REASON, average_by, rows_by
 from lakestrata.plans import customers, profiles, run_all, sales
 from lakestrata.queries.inputs import (
@@ -55,7 +55,7 @@ def sales_raw_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated CSV folders read as one; the folder is recovered from the source file."""
     lake = new_lake(spark, sf_dir)
     sales.raw_to_bronze(spark, lake)
-    return read_parquet(spark, lake.bronze("sales"), sales.BRONZE).select(
+    return sales.read_bronze(spark, lake).select(
         "CustomerId",
         "PurchaseDate",
         "Product",
@@ -193,10 +193,9 @@ def sales_day_emptied_by_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day whose bronze rows are all unusable by now is gone after its replay."""
     lake = new_lake(spark, sf_dir)
     run_all.process_sales(spark, lake)
-    day = f"{lake.bronze('sales')}/{sales.BRONZE_DAY}={EMPTIED}"
-    schema = f"{schemas.RAW_SALES}, {SOURCE_FILE} STRING"
-    broken = read_parquet(spark, day, schema).withColumn("Price", F.lit("no price"))
-    write_parquet(materialize(broken, "broken-day"), day)
+    price = F.when(F.col(sales.BRONZE_DAY) == F.lit(EMPTIED), "no price").otherwise(F.col("Price"))
+    broken = sales.read_bronze(spark, lake).withColumn("Price", price)
+    commits.commit(broken, lake.bronze("sales"), sales.BRONZE_DAY)
     sales.replay_days(spark, lake, [EMPTIED])
     return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
 

@@ -77,13 +77,37 @@ def test_replay_clears_a_day_without_rows(spark, shop):
     assert silver_rows(spark, shop) == SILVER_SALES[:3]
 
 
-def test_replay_reads_only_its_days(spark, shop):
+def test_replay_reads_only_its_days(spark, lake):
+    days = "".join(f"{n},2022-{n % 12 + 1:02}-{n % 28 + 1:02},TV,$7\n" for n in range(400))
+    put(lake.raw("sales/2022/s.csv"), "CustomerId,PurchaseDate,Product,Price\n" + days)
+    sales.raw_to_bronze(spark, lake)
+    whole, day = sales.read_bronze(spark, lake), D(2022, 9, 9)
+    chosen = sales.read_bronze(spark, lake, [day])
+    assert len(whole.inputFiles()) > 4 and len(chosen.inputFiles()) == 1
+    wanted = rows(whole.where(F.col("purchase_day") == day))
+    assert wanted and rows(chosen) == wanted
+    # Inside the file, row groups are chosen by their ranges.
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(purchase_day, [2022-09-09])]" in plan or "EqualTo(purchase_day,2022-09-09)" in plan
+
+
+def test_bronze_is_one_write_and_silver_needs_no_shuffle(spark, shop, monkeypatch):
     sales.raw_to_bronze(spark, shop)
-    day = D(2022, 9, 2)
-    chosen = sources.read_partition_range(
-        spark, shop.bronze("sales"), sales.BRONZE_DAY, day, day, sales.BRONZE
-    )
-    assert chosen.inputFiles() and all("purchase_day=2022-09-02" in f for f in chosen.inputFiles())
+    assert [f for f in os.listdir(shop.bronze("sales")) if "purchase_day" in f] == []
+    seen = {}
+    monkeypatch.setattr(sales, "write_partitioned", lambda df, *a, **k: seen.update(df=df, **k))
+    sales.bronze_to_silver(spark, shop)
+    assert seen["as_is"] and "Exchange" not in seen["df"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rebuilt_bronze_takes_the_place_of_any_older_one(spark, shop):
+    old = spark.range(3).selectExpr("'1' AS CustomerId", "DATE '2020-01-01' AS purchase_day")
+    old.write.partitionBy("purchase_day").parquet(shop.bronze("sales"))
+    for _ in range(2):
+        sales.raw_to_bronze(spark, shop)
+        assert sales.read_bronze(spark, shop).count() == 11
+        assert sources.read_parquet(spark, shop.bronze("sales")).count() == 11
+        assert len(os.listdir(shop.bronze("sales"))) == 2
 
 
 def test_late_and_repeated_dumps(spark, shop):
