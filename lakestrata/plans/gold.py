@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakestrata import catalog, schemas
+from lakestrata import catalog, publishing, schemas
 from lakestrata.functions import blank_to_null, normalize_email, split_full_name
-from lakestrata.layout import Layout, delete_folder, folder_exists
+from lakestrata.layout import Layout
 from lakestrata.operators import duplicate_keys, left_fill, too_wide
 from lakestrata.sinks import observed, write_parquet
 from lakestrata.sources import read_parquet, read_partition_range, read_table
@@ -105,23 +104,25 @@ def check_gold_profiles(rows: DataFrame) -> None:
         raise ValueError(f"texts are too long for gold: client_id {[r['client_id'] for r in wide]}")
 
 
-def load_gold_profiles(spark: SparkSession, lake: Layout, database: str = "gold") -> int:
+def load_gold_profiles(spark: SparkSession, lake: Layout, database: str = "gold", keep: int = 1) -> int:
     """Load the whole enriched directory into the typed table; returns the row count.
 
-    Fails before the table is touched when client_id is no key or a text is too long.
+    Fails before the table is touched when client_id is no key or a text is too long. Readers see the old
+    rows until the new ones are complete and counted. ``keep`` versions stay for reads that began before.
     """
     rows = read_parquet(spark, lake.gold("user_profiles_enriched"))
     check_gold_profiles(rows)
-    catalog.create_database(spark, database, lake.warehouse(database))
-    location = f"{lake.warehouse(database)}/user_profiles_enriched"
-    catalog.recreate_table(
-        spark, database, "user_profiles_enriched", schemas.GOLD_PROFILES, location
-    )
+    warehouse = lake.warehouse(database)
+    catalog.create_database(spark, database, warehouse)
+    table = "user_profiles_enriched"
+    publishing.adopt(spark, database, table)
+    version = publishing.new_version(spark, database, table, schemas.GOLD_PROFILES, warehouse)
     counted, counts = observed(rows, "gold_profiles")
-    catalog.insert_by_name(counted, database, "user_profiles_enriched", overwrite=True)
-    return reconcile(
-        counts.get["rows"], read_table(spark, database, "user_profiles_enriched")
-    )
+    catalog.insert_by_name(counted, database, version, overwrite=True)
+    found = reconcile(counts.get["rows"], read_table(spark, database, version))
+    publishing.publish(spark, database, table, version)
+    publishing.release(spark, database, table, warehouse, keep)
+    return found
 
 
 def load_gold_sales(
@@ -132,63 +133,37 @@ def load_gold_sales(
     database: str = "gold",
     *,
     append: bool = False,
+    keep: int = 1,
 ) -> int:
     """Load silver days ``first`` to ``last`` into the typed sales table.
 
-    The whole range is one insert, one folder per day. A fresh load goes to a new
-    directory and the table is pointed there once it is complete; the old directory is
-    then removed, so no day of an older load remains, in the table or on disk. ``append`` keeps the table
-    and its other days: days loaded again replace themselves, and days of the range that
-    have no rows any more are dropped.
+    The whole range is one insert, one folder per day, into a new version that readers see once it is
+    complete and counted. A fresh load holds these days only. ``append`` takes the other days over
+    from the version before, where they lie; days loaded again replace themselves, and days of the range that
+    have no rows any more are gone. Folders that no kept version uses are deleted.
     """
-    catalog.create_database(spark, database, lake.warehouse(database))
+    warehouse = lake.warehouse(database)
+    catalog.create_database(spark, database, warehouse)
     chosen = read_partition_range(
         spark, lake.silver("sales"), "purchase_date", first, last, schemas.SILVER_SALES
     )
     counted, counts = observed(chosen, "gold_sales")
-    if append and catalog.table_location(spark, database, "sales"):
-        # Silver files hold one day each, so writing by day needs no shuffle.
-        catalog.insert_by_name(counted, database, "sales", overwrite=True)
-        drop_empty_days(spark, chosen, database, first, last)
-        loaded = read_table(spark, database, "sales").where(
-            F.col("purchase_date").between(first, last)
+    before = publishing.adopt(spark, database, "sales")
+    version = publishing.new_version(
+        spark, database, "sales", schemas.GOLD_SALES, warehouse, "purchase_date"
+    )
+    # Silver files hold one day each, so writing by day needs no shuffle.
+    catalog.insert_by_name(counted, database, version, overwrite=True)
+    found = reconcile(counts.get["rows"], read_table(spark, database, version))
+    if append and before:
+        publishing.take_over(
+            spark, database, version, before, "purchase_date", lambda day: not str(first) <= day <= str(last)
         )
-        return reconcile(counts.get["rows"], loaded)
-    old = catalog.table_location(spark, database, "sales")
-    location = f"{lake.warehouse(database)}/sales-{uuid.uuid4().hex}"
-    declare_gold_sales(spark, database, "sales_loading", location)
-    catalog.insert_by_name(counted, database, "sales_loading", overwrite=True)
-    found = reconcile(counts.get["rows"], read_table(spark, database, "sales_loading"))
-    declare_gold_sales(spark, database, "sales", location)
-    if folder_exists(spark, location):  # no folder when there were no rows
-        catalog.refresh_partitions(spark, database, "sales")
-    catalog.drop_table(spark, database, "sales_loading")
-    if old and old != location:
-        delete_folder(spark, old)
+    publishing.publish(spark, database, "sales", version)
+    publishing.release(spark, database, "sales", warehouse, keep)
     return found
 
 
-def declare_gold_sales(spark: SparkSession, database: str, table: str, location: str) -> None:
-    options = {"partitionOverwriteMode": "dynamic"}
-    catalog.recreate_table(
-        spark, database, table, schemas.GOLD_SALES, location, "purchase_date", options
-    )
-
-
-def drop_empty_days(
-    spark: SparkSession, chosen: DataFrame, database: str, first: dt.date, last: dt.date
-) -> None:
-    """Drop days of the range from the table that ``chosen`` has no rows of."""
-    location = catalog.table_location(spark, database, "sales")
-    table = read_table(spark, database, "sales")
-    days = table.where(F.col("purchase_date").between(first, last)).select("purchase_date")
-    # At most one row per day of the range.
-    for row in days.distinct().join(chosen, "purchase_date", "left_anti").collect():
-        day = str(row["purchase_date"])
-        catalog.drop_partition(spark, database, "sales", "purchase_date", day)
-        delete_folder(spark, f"{location}/purchase_date={day}")
-
-
 def reconcile(written: int, loaded: DataFrame) -> int:
     """Fail when a load lost or repeated rows."""
     found = loaded.count()

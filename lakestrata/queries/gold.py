@@ -223,6 +223,36 @@ def merged_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, database, "supplier")
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1995 THEN o_totalprice + 1 ELSE o_totalprice END
+        AS o_totalprice,
+      CASE WHEN year(o_orderdate) = 1997 AND o_orderstatus = 'P' THEN 1996 ELSE year(o_orderdate) END::INTEGER AS year
+    FROM orders UNION ALL SELECT c_custkey + 1000000000, c_acctbal, 2030 FROM customer WHERE c_nationkey = 3"""
+)
+def merged_into_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes merged into a table by year: prices of one, orders that move to another, and a new one."""
+    database = fresh_database("c")
+    catalog.create_database(spark, database, working_folder(spark, "database"))
+    columns = "o_orderkey BIGINT, o_totalprice DOUBLE, year INT"
+    catalog.recreate_table(spark, database, "orders", columns, working_folder(spark, "orders"), "year")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    by_year = orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), "o_orderstatus")
+    catalog.insert_by_name(by_year.drop("o_orderstatus"), database, "orders", overwrite=True)
+    dearer = by_year.where("year = 1995").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    # Without a price, the old one stays.
+    moved = by_year.where("year = 1997 AND o_orderstatus = 'P'").withColumns(
+        {"year": F.lit(1996), "o_totalprice": F.lit(None).cast("double")}
+    )
+    added = customer.where("c_nationkey = 3").select(
+        (F.col("c_custkey") + 1_000_000_000).alias("o_orderkey"),
+        F.col("c_acctbal").alias("o_totalprice"),
+        F.lit(2030).alias("year"),
+    )
+    changes = dearer.unionByName(moved).drop("o_orderstatus").unionByName(added)
+    catalog.merge_partitions(changes, database, "orders", ["o_orderkey"])
+    return read_table(spark, database, "orders")
+
+
 FULL_FIRST, FULL_LAST = dt.date(1997, 9, 1), dt.date(1998, 2, 28)
 
 
