@@ -63,10 +63,12 @@ def latest(spark: SparkSession, root: str) -> Version | None:
     return Version(root, number, read_file(spark, _pointer(root, number)))
 
 
-def commit(df: DataFrame, root: str, by: str, *, append: bool = False) -> Version:
+def commit(
+    df: DataFrame, root: str, by: str, *, append: bool = False, without: DataFrame | None = None
+) -> Version:
     """Write ``df`` clustered by the column ``by`` and make it the table's next version.
 
-    ``append`` keeps the rows of the version before. The rows are shuffled once, whatever the number of
+    ``append`` keeps the files of the version before, but for those listed in ``without`` (run, file). The rows are shuffled once, whatever the number of
     values; they are sorted inside a file, so row groups hold narrow ranges as well.
     """
     spark = df.sparkSession
@@ -82,7 +84,10 @@ def commit(df: DataFrame, root: str, by: str, *, append: bool = False) -> Versio
     )
     listed = listed.select(F.lit(run).alias("run"), "file", "value", "rows")
     if append and before:
-        listed = listed.unionByName(before.files(spark))
+        kept = before.files(spark)
+        if without is not None:
+            kept = kept.join(without, ["run", "file"], "left_anti")
+        listed = listed.unionByName(kept)
     made = Version(root, number, run)
     listed.write.parquet(made.list_path)
     create_file(spark, _pointer(root, number), run)
@@ -101,7 +106,10 @@ def read_committed(
         return spark.createDataFrame([], schema)
     listed = found.files(spark)
     if values is None:
-        paths = [f"{root}/run={r['run']}" for r in listed.select("run").distinct().collect()]
+        paths = []
+        for run in sorted(runs_of(spark, found)):
+            names = unlisted(spark, found, run)
+            paths += [f"{root}/run={run}"] if not names else [f"{root}/run={run}/{n}" for n in files_of(spark, found, run)]
     else:
         listed = listed.where(F.col("value").isin(list(values))).select("run", "file").distinct()
         paths = [f"{root}/run={r['run']}/{r['file']}" for r in listed.collect()]
@@ -116,6 +124,19 @@ def runs_of(spark: SparkSession, version: Version) -> set[str]:
     return {r["run"] for r in version.files(spark).select("run").distinct().collect()}
 
 
+def files_of(spark: SparkSession, version: Version, run: str) -> list[str]:
+    """Names of the files of one run that a version has; one row per file reaches the driver."""
+    of_run = version.files(spark).where(F.col("run") == run)
+    return sorted(r["file"] for r in of_run.select("file").distinct().collect())
+
+
+def unlisted(spark: SparkSession, version: Version, run: str) -> list[str]:
+    """Files in the folder of a run that the version does not have: a later commit left them out."""
+    listed = set(files_of(spark, version, run))
+    there = folder_names(spark, f"{version.root}/run={run}")
+    return [n for n in there if n.endswith(".parquet") and n not in listed]
+
+
 def release(spark: SparkSession, root: str, keep: int = 1) -> None:
     """Forget all but the last ``keep`` versions, and delete what no kept one names.
 
@@ -128,10 +149,15 @@ def release(spark: SparkSession, root: str, keep: int = 1) -> None:
     for version in gone:
         delete_folder(spark, _pointer(root, version.number))
     lists = {v.run for v in kept}
-    runs = set().union(*(runs_of(spark, v) for v in kept))
+    runs = {v.run: runs_of(spark, v) for v in kept}
+    used = set().union(*runs.values())
     for name in folder_names(spark, root):
-        if name != LISTS and name.removeprefix("run=") not in runs:
+        if name != LISTS and name.removeprefix("run=") not in used:
             delete_folder(spark, f"{root}/{name}")
+    for run in used - lists:  # only a run before a kept version can have lost files to it
+        nowhere = set.intersection(*({*unlisted(spark, v, run)} for v in kept if run in runs[v.run]))
+        for name in nowhere:
+            delete_folder(spark, f"{root}/run={run}/{name}")
     for name in folder_names(spark, f"{root}/{LISTS}"):
         if not name.endswith(POINTER) and name not in lists:
             delete_folder(spark, f"{root}/{LISTS}/{name}")

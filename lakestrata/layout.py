@@ -100,7 +100,7 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def create_file(spark: SparkSession, path: str, text: str) -> None:
-    """A new small file; fails when there is one of this name already."""
+    """A new small file, and the folder for it; fails when there is one of this name already."""
     files, as_path = _file_system(spark, path)
     out = files.create(as_path(path), False)
     out.write(bytearray(text.encode()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from lakestrata.functions import blank_to_null, normalize_email, split_full_name
 from lakestrata.layout import Layout
 from lakestrata.operators import duplicate_keys, left_fill, too_wide
 from lakestrata.sinks import observed, write_parquet
-from lakestrata.sources import read_parquet, read_partition_range, read_table
+from lakestrata.sources import read_days, read_parquet, read_partition_range, read_table
 
 # Which side a filled column prefers.
 PROFILE_FILLS = {
@@ -142,11 +143,32 @@ def load_gold_sales(
     from the version before, where they lie; days loaded again replace themselves, and days of the range that
     have no rows any more are gone. Folders that no kept version uses are deleted.
     """
-    warehouse = lake.warehouse(database)
-    catalog.create_database(spark, database, warehouse)
     chosen = read_partition_range(
         spark, lake.silver("sales"), "purchase_date", first, last, schemas.SILVER_SALES
     )
+    others = (lambda day: not str(first) <= day <= str(last)) if append else None
+    return _load_sales_version(spark, lake, chosen, others, database, keep)
+
+
+def reload_gold_days(
+    spark: SparkSession, lake: Layout, days: Collection[dt.date], database: str = "gold", keep: int = 1
+) -> int:
+    """Load the given silver days anew into the sales table; all its other days stay where they lie."""
+    chosen = read_days(spark, lake.silver("sales"), "purchase_date", days, schemas.SILVER_SALES)
+    loaded = {str(day) for day in days}
+    return _load_sales_version(spark, lake, chosen, lambda day: day not in loaded, database, keep)
+
+
+def _load_sales_version(
+    spark: SparkSession,
+    lake: Layout,
+    chosen: DataFrame,
+    others: Callable[[str], bool] | None,
+    database: str,
+    keep: int,
+) -> int:
+    warehouse = lake.warehouse(database)
+    catalog.create_database(spark, database, warehouse)
     counted, counts = observed(chosen, "gold_sales")
     before = publishing.adopt(spark, database, "sales")
     version = publishing.new_version(
@@ -155,10 +177,8 @@ def load_gold_sales(
     # Silver files hold one day each, so writing by day needs no shuffle.
     catalog.insert_by_name(counted, database, version, overwrite=True)
     found = reconcile(counts.get["rows"], read_table(spark, database, version))
-    if append and before:
-        publishing.take_over(
-            spark, database, version, before, "purchase_date", lambda day: not str(first) <= day <= str(last)
-        )
+    if others and before:
+        publishing.take_over(spark, database, version, before, "purchase_date", others)
     publishing.publish(spark, database, "sales", version)
     publishing.release(spark, database, "sales", warehouse, keep)
     return found

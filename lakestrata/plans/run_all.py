@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata.layout import Layout
-from lakestrata.plans import customers, food, gold, profiles, question, sales
+from lakestrata.plans import changed, customers, food, gold, profiles, question, sales
 from lakestrata.session import build_session
 from lakestrata.sources import read_table
 
@@ -82,6 +82,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument(
         "--then-enrich", action="store_true", help="after the step 'profiles', go on with 'enrich'"
     )
+    args.add_argument(
+        "--changed", action="store_true", help="for 'all': work off only what was delivered since the last run"
+    )
     args.add_argument("--documents", help="food documents, for the step 'food'")
     args.add_argument("--output", help="CSV output directory, for the step 'food'")
     args.add_argument("--derived", help="for 'food': write the derived rows here as Parquet, too")
@@ -117,6 +120,8 @@ def main(argv: list[str] | None = None) -> None:
                 spark, given.documents, given.output, given.derived, lines=given.lines
             )
         )
+    elif given.changed:
+        print(changed.run_changed(spark, lake, given.first, given.last, as_of))
     else:
         run_all(spark, lake, given.product, given.first, given.last, as_of=as_of).show()
 

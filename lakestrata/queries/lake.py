@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata import commits, schemas
 from lakestrata.layout import working_folder
 from lakestrata.operators import REJECT_REASON, average_by, rows_by
-from lakestrata.plans import customers, profiles, run_all, sales
+from lakestrata.plans import changed, customers, profiles, run_all, sales
 from lakestrata.queries.inputs import (
     CUSTOMERS_SQL,
     DUMPS,
@@ -111,6 +111,28 @@ def sales_in_daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
 
 
+@query(SALES_SQL)
+def sales_by_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same silver table from two runs, the second over files that were replaced or added since the first."""
+    lake, arriving = new_lake(spark), new_lake(spark, sf_dir)
+    given = read_csv_text(spark, arriving.raw("sales/*/*.csv"), schemas.RAW_SALES)
+    year = F.regexp_extract("_metadata.file_path", "arrival=([0-9]+)", 1).cast("int")
+
+    def deliver(rows: DataFrame, name: str) -> None:
+        rows.write.mode("overwrite").options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(lake.raw(f"sales/{name}"))
+
+    deliver(given.where(year < 1994), "early")
+    # Wrong prices and days at first; some of these rows are then of days that the right ones do not have.
+    deliver(given.where(year == 1994).withColumns({"Price": F.lit("$1"), "PurchaseDate": F.lit("1990-01-1")}), "middle")
+    changed.update_sales(spark, lake)
+    deliver(given.where(year == 1994), "middle")
+    deliver(given.where(year > 1994), "late")
+    changed.update_sales(spark, lake)
+    return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
+
+
 @query(CUSTOMERS_SQL)
 def customers_dumps_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping dumps; every client as the newest dump that holds it says."""

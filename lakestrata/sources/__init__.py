@@ -10,12 +10,13 @@ from lakestrata.sources.files import (
     source_folder,
     with_source_file,
 )
-from lakestrata.sources.tables import read_partition_range, read_table
+from lakestrata.sources.tables import read_days, read_partition_range, read_table
 
 __all__ = [
     "SOURCE_FILE",
     "discover_parquet",
     "read_csv_text",
+    "read_days",
     "read_json_documents",
     "read_json_lines",
     "read_parquet",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,19 +21,36 @@ def read_partition_range(
     last: dt.date,
     schema: str | None = None,
 ) -> DataFrame:
-    """Days ``first`` to ``last`` (both included) of a table laid out by day.
+    """Days ``first`` to ``last`` (both included) of a table laid out by day."""
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    return _read_folders(spark, path, column, days, schema).where(F.col(column).between(first, last))
 
-    The folders in the range are named in the path, so the files of other days
-    are not even listed; days without a folder have no rows. The partition
-    column is restored from the folder names.
+
+def read_days(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    days: Collection[dt.date],
+    schema: str | None = None,
+) -> DataFrame:
+    """The given days of a table laid out by day."""
+    days = sorted(set(days))
+    return _read_folders(spark, path, column, days, schema).where(F.col(column).isin(days))
+
+
+def _read_folders(
+    spark: SparkSession, path: str, column: str, days: Collection[dt.date], schema: str | None
+) -> DataFrame:
+    """The folders of the days are named in the path, so the files of other days are not even listed.
+
+    Days without a folder have no rows. The partition column is restored from the folder names. Without any of
+    the folders the whole table is named, for the caller's filter to leave nothing of.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    days = (first + dt.timedelta(days=n) for n in range((last - first).days + 1))
     folders = ",".join(f"{column}={day}" for day in days)
     try:
-        rows = reader.option("basePath", path).parquet(f"{path}/{{{folders}}}")
+        return reader.option("basePath", path).parquet(f"{path}/{{{folders}}}")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = reader.parquet(path)
-    return rows.where(F.col(column).between(first, last))
+        return reader.parquet(path)
