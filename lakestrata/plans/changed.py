@@ -91,7 +91,8 @@ def replace_files(spark: SparkSession, lake: Layout, changes: Changes, note: str
         rows = spark.createDataFrame([], sales.BRONZE)
     touched = rows.select(day.alias("day"))
     holders = None
-    if changes.dropped:
+    before = commits.latest(spark, root)
+    if changes.dropped and commits.runs_of(spark, before):
         dropped = spark.createDataFrame([(path,) for path in changes.dropped], f"{SOURCE_FILE} STRING")
         bronze = sales.read_bronze(spark, lake)
         path = F.split("_metadata.file_path", "/")

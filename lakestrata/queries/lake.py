@@ -123,12 +123,12 @@ def sales_by_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(lake.raw(f"sales/{name}"))
 
-    deliver(given.where(year < 1994), "early")
+    deliver(given.where(year < 1998), "early")
     # Wrong prices and days at first; some of these rows are then of days that the right ones do not have.
-    deliver(given.where(year == 1994).withColumns({"Price": F.lit("$1"), "PurchaseDate": F.lit("1990-01-1")}), "middle")
+    deliver(given.where(year == 1998).withColumns({"Price": F.lit("$1"), "PurchaseDate": F.lit("1990-01-1")}), "middle")
     changed.update_sales(spark, lake)
-    deliver(given.where(year == 1994), "middle")
-    deliver(given.where(year > 1994), "late")
+    deliver(given.where(year == 1998), "middle")
+    deliver(given.where(year > 1998), "late")
     changed.update_sales(spark, lake)
     return read_parquet(spark, lake.silver("sales"), schemas.SILVER_SALES)
 

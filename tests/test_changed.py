@@ -139,6 +139,13 @@ def test_another_range_and_too_many_changes(spark, shop, run, monkeypatch):
     same_as_a_whole_run(spark, shop, run.gold)
 
 
+def test_files_without_rows(spark, lake):
+    for text, days in (("", None), ("1,2022-09-1,TV,$5\n", {D(2022, 9, 1)}), ("", {D(2022, 9, 1)}), ("2,2022-09-2,TV,$5\n", {D(2022, 9, 2)})):
+        put(lake.raw("sales/2022/s.csv"), HEAD + text)
+        assert changed.update_sales(spark, lake) == days
+    assert rows(sales.read_bronze(spark, lake).select("CustomerId")) == [("2",)]
+
+
 def test_a_lake_without_deliveries(spark, lake):
     assert changed.update_sales(spark, lake) == set()
     assert not changed.update_customers(spark, lake) and not changed.update_profiles(spark, lake)

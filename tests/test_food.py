@@ -102,3 +102,25 @@ def test_export(spark, lake, flat):
         assert rows(back) == sorted(
             (tuple(None if v is None else str(v) for v in row) for row in wanted), key=repr
         )
+
+
+def test_only_json_lines_are_refused(spark, lake):
+    nutrient = '{"nutrientName": "Iron", "value": 1.0, "unitName": "mg"}'
+    one_each = ',\n'.join('{"fdcId": %d, "foodNutrients": [\n%s\n]}' % (n, nutrient) for n in (1, 2))
+    valid = {
+        "inner-lines": '{"foods": [\n' + one_each + '\n]}',
+        "array-of-lines": '[\n{"foods": []},\n{"foods": []}\n]',
+        "pretty": json.dumps({"foods": [{"fdcId": 1, "foodNutrients": [json.loads(nutrient)]}]}, indent=1),
+        "compact": '{"foods": []}',
+        "blank-lines": '\n\n {"foods": []} \n\n',
+        "leading-comma": '{"foods": [\n{"fdcId": 1}\n, {"fdcId": 2}\n]}',
+    }
+    for name, text in valid.items():
+        put(lake.raw(f"valid/{name}.json"), text)
+        food.refuse_json_lines(spark, lake.raw(f"valid/{name}.json"))
+    food.refuse_json_lines(spark, lake.raw("valid"))
+    assert food.read_foods(spark, lake.raw("valid/inner-lines.json")).selectExpr("size(foods)").first()[0] == 2
+    put(lake.raw("valid/lines.json"), '{"foods": []}\n{"foods": []}\n')
+    for path in ("valid/lines.json", "valid"):
+        with pytest.raises(ValueError, match="lines.json is JSON Lines"):
+            food.refuse_json_lines(spark, lake.raw(path))
