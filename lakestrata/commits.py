@@ -17,7 +17,7 @@ One run at a time may commit to a table; a second one that took the same number
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -94,16 +94,37 @@ def commit(
     return made
 
 
+def replace_values(df: DataFrame, root: str, by: str, values: Collection) -> Version:
+    """A next version in which ``df`` has taken the place of all rows whose ``by`` is one of ``values``.
+
+    Only the files that hold such rows are read, for the other rows in them. ``df`` may hold rows of ``values`` only.
+    """
+    spark, before, values = df.sparkSession, latest(df.sparkSession, root), list(values)
+    if before is None:
+        return commit(df, root, by)
+    touched = before.files(spark).where(F.col("value").isin(values)).select("run", "file").distinct()
+    paths = [f"{root}/run={r['run']}/{r['file']}" for r in touched.collect()]
+    if paths:
+        there = spark.read.schema(df.schema).parquet(*paths)
+        df = df.unionByName(there.where(~F.col(by).isin(values) | F.col(by).isNull()))
+    return commit(df, root, by, append=True, without=touched)
+
+
 def read_committed(
-    spark: SparkSession, root: str, schema: str, by: str, values: Sequence | None = None
+    spark: SparkSession, root: str, schema: str | None, by: str, values: Sequence | None = None
 ) -> DataFrame:
     """Rows of the latest version; with ``values`` only those whose ``by`` is one of them.
 
-    Then only files that hold such rows are opened. A table without a version has no rows.
+    Then only files that hold such rows are opened. A table without a version has no rows. Without
+    ``schema`` there must be a version, whose files tell it.
     """
     found = latest(spark, root)
+    if found is None and schema is None:
+        raise ValueError(f"no version at {root}")
     if found is None:
         return spark.createDataFrame([], schema)
+    if schema is None:
+        schema = spark.read.parquet(f"{root}/run={found.run}").schema
     listed = found.files(spark)
     if values is None:
         paths = []
@@ -152,7 +173,7 @@ def release(spark: SparkSession, root: str, keep: int = 1) -> None:
     runs = {v.run: runs_of(spark, v) for v in kept}
     used = set().union(*runs.values())
     for name in folder_names(spark, root):
-        if name != LISTS and name.removeprefix("run=") not in used:
+        if name != LISTS and name.removeprefix("run=") not in used | lists:
             delete_folder(spark, f"{root}/{name}")
     for run in used - lists:  # only a run before a kept version can have lost files to it
         nowhere = set.intersection(*({*unlisted(spark, v, run)} for v in kept if run in runs[v.run]))

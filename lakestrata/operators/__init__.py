@@ -22,6 +22,7 @@ from lakestrata.operators.grouped import (
 from lakestrata.operators.nested import explode_records
 from lakestrata.operators.quality import duplicate_keys, quality_counts, too_wide
 from lakestrata.operators.scaling import group_bounds, minmax_normalize
+from lakestrata.operators.sketches import estimates, merge_sketches, sketch_by
 
 __all__ = [
     "REJECT_REASON",
@@ -31,17 +32,20 @@ __all__ = [
     "distinct_count_by",
     "drop_duplicate_keys",
     "duplicate_keys",
+    "estimates",
     "explode_records",
     "group_bounds",
     "keep_latest",
     "left_fill",
     "mark_rejects",
     "median_by",
+    "merge_sketches",
     "minmax_normalize",
     "quality_counts",
     "rejected_rows",
     "require_columns",
     "rows_by",
+    "sketch_by",
     "sum_by",
     "too_wide",
     "top_k",

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.functions import text_year
+from lakestrata.layout import working_folder
 from lakestrata.operators import (
     average_by,
     count_by,
     distinct_count_by,
     drop_duplicate_keys,
     duplicate_keys,
+    estimates,
     group_bounds,
     keep_latest,
     median_by,
@@ -22,6 +26,8 @@ from lakestrata.operators import (
     top_k,
     upsert,
 )
+from lakestrata.operators.sketches import DISTINCT_SIZE, RANK_ERROR
+from lakestrata.plans import statistics
 from lakestrata.queries.inputs import single_precision, table
 from lakestrata.queries.registry import query
 
@@ -87,6 +93,45 @@ def count_by_derived_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(orders, ["order_year"], "key", "orders").orderBy("order_year")
 
 
+SHIPPED_FIRST, SHIPPED_LAST, SHIPPED_AGAIN = dt.date(1996, 3, 1), dt.date(1998, 8, 31), dt.date(1997, 5, 5)
+SHIPPED_SQL = f"CAST(l_shipdate AS DATE) BETWEEN DATE '{SHIPPED_FIRST}' AND DATE '{SHIPPED_LAST}'"
+
+
+@query(
+    f"""SELECT l_returnflag, count(*) AS rows, CAST(CAST(avg(l_extendedprice) AS REAL) AS DOUBLE) AS avg_price,
+      true AS median_is_near, true AS parts_are_near FROM lineitem WHERE {SHIPPED_SQL} GROUP BY l_returnflag"""
+)
+def statistics_merged_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a range from the sketches of its days, against a pass over its rows.
+
+    The median is near when its rank is 0.5 within three times the stated error; distinct parts within three
+    standard errors. One day was wrong at first and is replaced.
+    """
+    root, key = working_folder(spark, "daily-statistics"), "l_returnflag"
+    lines = table(spark, sf_dir, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    again = F.col("day") == F.lit(SHIPPED_AGAIN)
+    wrong = lines.withColumn("l_extendedprice", F.when(again, -1.0).otherwise(F.col("l_extendedprice")))
+    columns = ("day", [key], "l_extendedprice", "l_partkey")
+    statistics.store_daily(wrong, root, *columns)
+    statistics.store_daily(lines.where(again), root, *columns, days=[SHIPPED_AGAIN])
+    merged = statistics.merged_range(spark, root, "day", [key], SHIPPED_FIRST, SHIPPED_LAST)
+    found = estimates(merged, {"median": 0.5}, "average", "parts")
+    chosen = lines.where(F.col("day").between(SHIPPED_FIRST, SHIPPED_LAST))
+    exact = chosen.join(F.broadcast(found.select(key, "median")), key).groupBy(key).agg(
+        F.avg((F.col("l_extendedprice") < F.col("median")).cast("int")).alias("below"),
+        F.avg((F.col("l_extendedprice") <= F.col("median")).cast("int")).alias("up_to"),
+        F.count_distinct("l_partkey").alias("exact_parts"),
+    )
+    off = 3 * RANK_ERROR
+    return found.join(exact, key).select(
+        key,
+        "rows",
+        single_precision("average").alias("avg_price"),
+        ((F.col("below") <= 0.5 + off) & (F.col("up_to") >= 0.5 - off)).alias("median_is_near"),
+        (F.abs(F.col("parts") / F.col("exact_parts") - 1) <= 3 / DISTINCT_SIZE**0.5).alias("parts_are_near"),
+    )
+
+
 @query("SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey")
 def rows_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_by(table(spark, sf_dir, "customer"), ["c_nationkey"], "customers")
