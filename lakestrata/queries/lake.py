@@ -28,6 +28,7 @@ from lakestrata.sinks import write_csv, write_parquet, write_partitioned
 from lakestrata.sources import (
     SOURCE_FILE,
     discover_parquet,
+    discover_widened,
     read_csv_text,
     read_json_lines,
     read_parquet,
@@ -311,6 +312,25 @@ def schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover_parquet(spark, path)
 
 
+@query(
+    """SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, CASE WHEN p_size > 40 THEN p_brand END AS p_brand,
+      CAST(p_retailprice AS DECIMAL(14,3)) AS price,
+      CASE WHEN p_size > 40 THEN 'large' WHEN p_size > 20 THEN 'medium' ELSE 'small' END AS batch FROM part"""
+)
+def schema_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three folders that hold the same columns in types of different width, read as one table."""
+    path = working_folder(spark, "parts-widened")
+    parts, size = table(spark, sf_dir, "part"), F.col("p_size")
+    price = F.col("p_retailprice")
+    for name, chosen, columns in (
+        ("small", size <= 20, [F.col("p_partkey").cast("int"), size, price.cast("decimal(10,2)").alias("price")]),
+        ("medium", (size > 20) & (size <= 40), ["p_partkey", size.cast("double"), price.cast("decimal(13,2)").alias("price")]),
+        ("large", size > 40, ["p_partkey", size.cast("smallint"), "p_brand", price.cast("decimal(12,3)").alias("price")]),
+    ):
+        parts.where(chosen).select(*columns).write.parquet(f"{path}/batch={name}")
+    return discover_widened(spark, path)
+
+
 @query("SELECT p_partkey, p_name FROM part")
 def hidden_files_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leftovers of unfinished jobs lie among the files and are not read."""

@@ -11,10 +11,13 @@ from lakestrata.sources.files import (
     with_source_file,
 )
 from lakestrata.sources.tables import read_days, read_partition_range, read_table
+from lakestrata.sources.widening import TypeConflict, discover_widened
 
 __all__ = [
     "SOURCE_FILE",
+    "TypeConflict",
     "discover_parquet",
+    "discover_widened",
     "read_csv_text",
     "read_days",
     "read_json_documents",
