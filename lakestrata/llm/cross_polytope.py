@@ -4,7 +4,8 @@ A rotation is three rounds of random signs and a Hadamard transform; the hash is
 nearest to the rotated vector. A bucket is three hashes; each vector enters its best buckets of a table
 (multiprobe, by how little is lost when second-best axes are taken). Pairs of a bucket are
 verified by cosine in double precision, and each is counted in its first common bucket only, so neither
-links nor candidates are written out as pairs.
+links nor candidates are written out as pairs. A worker takes buckets as they come in a sorted partition,
+many small ones at once.
 """
 
 from __future__ import annotations
@@ -22,9 +23,12 @@ from lakestrata.llm.components import components
 COSINE = 0.9
 TABLES = 10
 HASHES = 3  # per bucket
-PROBES = 4  # buckets per table and vector
+PROBES = 4  # buckets per table and vector, and more for long ones
+MORE_PROBES = {512: 6, 1024: 8, 2048: 12, 4096: 17}  # from this many axes on
 NEAR_AXES = 3  # axes per hash that probes may take
 BLOCK = 1024  # a larger bucket is compared block by block
+SMALL = 48  # members of a bucket whose pairs are compared together with those of others
+CHUNK = 1 << 21  # components compared at once
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -38,7 +42,12 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(size)
 
 
-def codes(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def probes_of(size: int) -> int:
+    """Probes for vectors of ``size`` axes: signs and axes are more, so near vectors share fewer of them."""
+    return max([PROBES, *(probes for least, probes in MORE_PROBES.items() if size >= least)])
+
+
+def codes(unit: np.ndarray, tables: int = TABLES, probes: int | None = None) -> np.ndarray:
     """Bucket codes (vectors x tables x probes) of unit vectors."""
     n, dim = unit.shape
     size = 1 << max(1, (dim - 1).bit_length())
@@ -46,7 +55,7 @@ def codes(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.nd
     padded[:, :dim] = unit
     near = min(NEAR_AXES, size)
     picks = sorted((p for p in itertools.product(range(near), repeat=HASHES) if sum(p) < NEAR_AXES + 1), key=lambda p: (sum(p), p))
-    probes = min(probes, len(picks))
+    probes = min(probes or probes_of(size), len(picks))
     out = np.empty((n, tables, probes), np.int64)
     for table in range(tables):
         rng = np.random.default_rng([table, size])
@@ -83,7 +92,7 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def hashed(distinct: DataFrame) -> DataFrame:
-    """Adds raw components, codes and buckets to distinct vectors."""
+    """Adds raw components, their number, and the codes of each table to distinct vectors."""
     single = "float" in distinct.schema["vector"].dataType.simpleString()
     dtype, kind = ("<f4", pa.float32()) if single else ("<f8", pa.float64())
 
@@ -92,88 +101,158 @@ def hashed(distinct: DataFrame) -> DataFrame:
             sizes = batch.column("vector").value_lengths().to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                values = part.column("vector").flatten().cast(kind).to_numpy().astype(dtype)
-                raw = [v.tobytes() for v in values.reshape(-1, size)]
-                code = codes(_unit(raw, dtype))
-                n, tables, probes = code.shape
-                # Vectors of different sizes never meet: the size is part of the bucket.
-                bucket = (code + (np.arange(tables)[None, :, None] << 52)) ^ (int(size) << 40)
-                every = np.arange(n + 1, dtype=np.int32) * tables * probes
-                yield pa.RecordBatch.from_pydict({
-                    "k1": part.column("k1"), "k2": part.column("k2"), "rep": part.column("rep"), "copies": part.column("copies"),
-                    "raw": pa.array(raw, pa.binary()),
-                    "codes": pa.array([c.astype("<i8").tobytes() for c in code], pa.binary()),
-                    "buckets": pa.ListArray.from_arrays(every, pa.array(bucket.ravel())),
-                })
-
-    schema = "k1 long, k2 long, rep long, copies long, raw binary, codes binary, buckets array<long>"
+                for at in range(0, part.num_rows, rows := max(16, CHUNK // int(size))):
+                    yield _coded(part.slice(at, rows), int(size), dtype, kind)
+
+    schema = "k1 long, k2 long, rep long, copies long, size int, raw binary, codes array<long>"
     return materialize(distinct.mapInArrow(run, schema), "hashed-vectors")
 
 
-def _hooks(linked: np.ndarray) -> np.ndarray:
-    """Smallest place reachable by links, for each place."""
-    label = np.arange(len(linked))
-    while True:
-        least = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(axis=1))
-        least = least[least]
-        if (least == label).all():
-            return label
-        label = least
+def _coded(part: pa.RecordBatch, size: int, dtype: str, kind: pa.DataType) -> pa.RecordBatch:
+    values = part.column("vector").flatten().cast(kind).to_numpy().astype(dtype)
+    raw = [v.tobytes() for v in values.reshape(-1, size)]
+    code = codes(_unit(raw, dtype))
+    ends = np.arange(len(code) + 1, dtype=np.int32) * (code.shape[1] * code.shape[2])
+    return pa.RecordBatch.from_pydict({
+        "k1": part.column("k1"), "k2": part.column("k2"), "rep": part.column("rep"), "copies": part.column("copies"),
+        "size": pa.array(np.full(len(code), size, np.int32)),
+        "raw": pa.array(raw, pa.binary()),
+        "codes": pa.ListArray.from_arrays(ends, pa.array(code.ravel())),
+    })
 
 
-def _first_common(a: np.ndarray, b: np.ndarray, table: int, code: int) -> np.ndarray:
-    """Whether (table, code) is the first bucket that the rows of ``a`` and ``b`` share.
+def _near_pairs(unit: np.ndarray, starts: np.ndarray, across: np.ndarray, block: np.ndarray, cosine: float):
+    """(one, two): places of vectors of one group with a cosine of at least ``cosine``.
+
+    A group begins at each of ``starts``; where ``across``, only pairs of different blocks count.
+    """
+    ends = np.append(starts[1:], len(unit))
+    sizes = ends - starts
+    end, whole = np.repeat(ends, sizes), ~np.repeat(across, sizes)
+    one, two = [], []
+    small = np.repeat(sizes <= SMALL, sizes)
+    here = np.flatnonzero(small)
+    for step in range(1, int(sizes[sizes <= SMALL].max(initial=0))):
+        here = here[here + step < end[here]]
+        x = here[whole[here] | (block[here] != block[here + step])]
+        for at in range(0, len(x), rows := max(64, CHUNK // unit.shape[1])):
+            i = x[at : at + rows]
+            near = np.einsum("ij,ij->i", unit[i], unit[i + step]) >= cosine
+            one.append(i[near])
+            two.append(i[near] + step)
+    for group in np.flatnonzero(sizes > SMALL):
+        own = slice(starts[group], ends[group])
+        near = np.triu(unit[own] @ unit[own].T >= cosine, 1)
+        if across[group]:
+            near &= block[own][:, None] != block[own][None, :]
+        i, j = np.nonzero(near)
+        one.append(i + starts[group])
+        two.append(j + starts[group])
+    return (np.concatenate([np.empty(0, np.int64), *x]) for x in (one, two))
+
+
+def _first_common(a: np.ndarray, b: np.ndarray, table: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Whether (table, code) of each pair is the first bucket that the rows of ``a`` and ``b`` (pairs x tables x probes) share.
 
     Close vectors mostly share a bucket of the first table, so few pairs are left for later ones.
     """
     left = np.arange(len(a))
-    for t in range(table + 1):
+    first = np.zeros(len(a), bool)
+    for t in range(a.shape[1]):
         x, y = a[left, t], b[left, t]
         common = x[:, :, None] == y[:, None, :]
-        if t == table:
-            common &= x[:, :, None] < code
-        left = left[~common.any(axis=(1, 2))]
+        last = table[left] == t
+        common &= ~last[:, None, None] | (x < code[left, None])[:, :, None]
+        none = ~common.any(axis=(1, 2))
+        first[left[none & last]] = True
+        left = left[none & ~last]
         if not len(left):
             break
-    first = np.zeros(len(a), bool)
-    first[left] = True
     return first
 
 
+def _least_reachable(one: np.ndarray, two: np.ndarray, rep: np.ndarray) -> np.ndarray:
+    """Smallest ``rep`` that each place reaches by the pairs."""
+    order = np.argsort(rep, kind="stable")
+    rank = np.empty(len(rep), np.int64)
+    rank[order] = np.arange(len(rep))
+    x, y = rank[one], rank[two]
+    label = np.arange(len(rep))
+    while True:
+        least = label.copy()
+        np.minimum.at(least, x, label[y])
+        np.minimum.at(least, y, label[x])
+        least = least[least]
+        if (least == label).all():
+            return rep[order][label[rank]]
+        label = least
+
+
+GROUP = ["size", "table", "code", "low", "high"]
+
+
+def _groups_linked(rows: pa.Table, dtype: str, cosine: float) -> pa.RecordBatch:
+    """Links of whole groups of vectors of one size, which lie one after another."""
+    code, low, high, table, rep, copies, block = (
+        rows[c].to_numpy() for c in ("code", "low", "high", "table", "rep", "copies", "block")
+    )
+    changes = np.zeros(len(code), bool)
+    changes[0] = True
+    for column in (table, code, low, high):
+        changes[1:] |= column[1:] != column[:-1]
+    starts = np.flatnonzero(changes)
+    unit = _unit(rows["raw"].to_pylist(), dtype)
+    one, two = _near_pairs(unit, starts, low[starts] != high[starts], block, cosine)
+    every = rows["codes"].combine_chunks().flatten().to_numpy().reshape(len(unit), TABLES, -1)
+    links = np.zeros(len(unit), np.int64)
+    for at in range(0, len(one), 50_000):
+        x, y = one[at : at + 50_000], two[at : at + 50_000]
+        first = _first_common(every[x], every[y], table[x], code[x])
+        np.add.at(links, x[first], copies[y[first]])
+        np.add.at(links, y[first], copies[x[first]])
+    hook = _least_reachable(one, two, rep)
+    keep = pa.array((links > 0) | (hook != rep))
+    out = pa.table({
+        "k1": rows["k1"], "k2": rows["k2"], "rep": rows["rep"], "n_links": pa.array(links), "hook": pa.array(hook),
+    }).filter(keep)
+    return pa.RecordBatch.from_pydict({c: out[c].combine_chunks() for c in out.column_names})
+
+
 def bucket_links(members: DataFrame, dtype: str, cosine: float = COSINE) -> DataFrame:
     """(k1, k2, rep, n_links, hook) per member and block pair of a bucket with a link in it."""
 
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        unit = _unit(group["raw"].to_pylist(), dtype)
-        code = np.stack([np.frombuffer(c, "<i8") for c in group["codes"].to_pylist()]).reshape(len(unit), TABLES, -1)
-        rep, copies, block = (group[c].to_numpy() for c in ("rep", "copies", "block"))
-        bucket, low, high = (group[c][0].as_py() for c in ("bucket", "low", "high"))
-        near = np.clip(unit @ unit.T, -1, 1) >= cosine
-        across = (block[:, None] == low) & (block[None, :] == high)
-        if low == high:
-            across = np.triu(np.ones_like(near), 1).astype(bool)
-        one, two = np.nonzero(near & across)
-        table, links = bucket >> 52, np.zeros(len(unit), np.int64)
-        # The bucket's own code: the only one of this table whose bucket number is this.
-        size = len(group["raw"][0].as_py()) // np.dtype(dtype).itemsize
-        own = (bucket ^ (size << 40)) - (table << 52)
-        for at in range(0, len(one), 50_000):
-            x, y = one[at : at + 50_000], two[at : at + 50_000]
-            first = _first_common(code[x], code[y], table, own)
-            np.add.at(links, x[first], copies[y[first]])
-            np.add.at(links, y[first], copies[x[first]])
-        linked = np.zeros_like(near)
-        linked[one, two] = linked[two, one] = True
-        order = np.argsort(rep, kind="stable")
-        hook = np.empty(len(rep), np.int64)
-        hook[order] = rep[order][_hooks(linked[np.ix_(order, order)])]
-        keep = pa.array((links > 0) | (hook != rep))
-        return pa.table({
-            "k1": group["k1"], "k2": group["k2"], "rep": group["rep"], "n_links": pa.array(links), "hook": pa.array(hook),
-        }).filter(keep)
-
-    return members.groupBy("bucket", "low", "high").applyInArrow(compare, "k1 long, k2 long, rep long, n_links long, hook long")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c) for c in GROUP]
+            ends = np.zeros(batch.num_rows, bool)
+            for key in keys:
+                values = key.to_numpy()
+                ends[1:] |= values[1:] != values[:-1]
+            begin = tuple(key[0].as_py() for key in keys)
+            # Where the group that goes on into the next batch begins.
+            cut = int(np.flatnonzero(ends)[-1]) if ends.any() else (0 if begin != last else -1)
+            if cut >= 0:
+                yield from whole([*held, batch.slice(0, cut)])
+                held = []
+            held.append(batch.slice(max(cut, 0)))
+            last = tuple(key[-1].as_py() for key in keys)
+        yield from whole(held)
+
+    def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not sum(p.num_rows for p in parts):
+            return
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        sizes = rows["size"].to_numpy()
+        edges = np.concatenate(([0], np.flatnonzero(sizes[1:] != sizes[:-1]) + 1, [len(sizes)]))
+        for low, high in zip(edges[:-1], edges[1:]):
+            yield _groups_linked(rows.slice(low, high - low).combine_chunks(), dtype, cosine)
+
+    dealt = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return dealt.mapInArrow(scan, "k1 long, k2 long, rep long, n_links long, hook long")
 
 
 def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -189,14 +268,17 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")
     )
     table = hashed(distinct)
-    placed = table.select("k1", "k2", F.explode("buckets").alias("bucket"))
-    full = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    placed = placed.join(full, "bucket")
+    probes = (F.size("codes") / TABLES).cast("int")
+    placed = table.select("k1", "k2", "size", probes.alias("probes"), F.posexplode("codes").alias("at", "code"))
+    bucket = ["size", "table", "code"]
+    placed = placed.select("k1", "k2", "size", F.floor(F.col("at") / F.col("probes")).cast("int").alias("table"), "code")
+    full = placed.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
+    placed = placed.join(full, bucket)
     blocks = F.ceil(F.col("n") / BLOCK)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("k1"), blocks))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     placed = placed.select(
-        "k1", "k2", "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        "k1", "k2", *bucket, "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     members = placed.join(table.select("k1", "k2", "rep", "copies", "raw", "codes"), ["k1", "k2"])
     single = "float" in embeddings.schema["embedding"].dataType.simpleString()
