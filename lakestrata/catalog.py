@@ -30,9 +30,12 @@ def recreate_table(
     location: str,
     partitioned_by: str | None = None,
     options: Mapping[str, str] | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> None:
     """Declare an external Parquet table anew. Files at ``location`` stay as they are.
 
+    ``buckets`` names a column and a number of buckets: rows are then written by its hash, sorted inside a bucket.
+
     A partitioned table is empty until its folders are picked up by
     :func:`refresh_partitions` or written by an insert. ``columns`` may use
     VARCHAR(n): an insert of longer text then fails.
@@ -44,6 +47,7 @@ def recreate_table(
         f"CREATE TABLE {name} ({columns}) USING parquet"
         + (f" OPTIONS ({listed})" if listed else "")
         + (f" PARTITIONED BY ({partitioned_by})" if partitioned_by else "")
+        + ("" if buckets is None else f" CLUSTERED BY ({buckets[0]}) SORTED BY ({buckets[0]}) INTO {buckets[1]} BUCKETS")
         + f" LOCATION '{location}'"
     )
 

@@ -29,12 +29,18 @@ def numbers(spark: SparkSession, database: str, table: str) -> list[int]:
 
 
 def new_version(
-    spark: SparkSession, database: str, table: str, columns: str, warehouse: str, partitioned_by: str | None = None
+    spark: SparkSession,
+    database: str,
+    table: str,
+    columns: str,
+    warehouse: str,
+    partitioned_by: str | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> str:
     """Declare the next version, empty, in a folder of its own; returns the name of its table."""
     name = f"{table}{MARK}{max(numbers(spark, database, table), default=0) + 1}"
     location = f"{warehouse}/{table}-{uuid.uuid4().hex}"
-    catalog.recreate_table(spark, database, name, columns, location, partitioned_by)
+    catalog.recreate_table(spark, database, name, columns, location, partitioned_by, buckets=buckets)
     return name
 
 

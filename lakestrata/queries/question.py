@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakestrata.layout import Layout, working_folder
+from lakestrata.plans import by_client
 from lakestrata.plans.question import purchases_by_state, sales_in_window, top_states
 from lakestrata.queries.inputs import BIRTH_SQL, birth_date, table
 from lakestrata.queries.registry import query
@@ -93,3 +96,19 @@ def purchases_by_state_in_age_band(spark: SparkSession, sf_dir: str) -> DataFram
 )
 def sales_of_product_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_in_window(sale_lines(spark, sf_dir), PRODUCT, first=FIRST, last=LAST)
+
+
+@query(states_sql(f"{RANGE_SQL.replace(str(LAST), '1998-02-28')} AND {AGE_SQL}", 5))
+def top_states_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six months of the question from sales counted and laid out by client."""
+    lake, database = Layout(working_folder(spark, "lake")), f"g_{uuid.uuid4().hex}"
+    by_client.load_by_client(
+        spark,
+        lake,
+        sale_lines(spark, sf_dir).withColumn("client_id", F.col("client_id").cast("int")),
+        users(spark, sf_dir).withColumn("client_id", F.col("client_id").cast("int")),
+        database,
+        buckets=8,
+    )
+    window = {"first": FIRST, "last": dt.date(1998, 2, 28)}
+    return by_client.top_states_by_client(spark, database, PRODUCT, (20, 30), 5, **window)
