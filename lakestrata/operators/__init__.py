@@ -21,7 +21,7 @@ from lakestrata.operators.grouped import (
 )
 from lakestrata.operators.nested import explode_records
 from lakestrata.operators.quality import duplicate_keys, quality_counts, too_wide
-from lakestrata.operators.scaling import group_bounds, minmax_normalize
+from lakestrata.operators.scaling import group_bounds, minmax_normalize, scale_between
 from lakestrata.operators.sketches import estimates, merge_sketches, sketch_by
 
 __all__ = [
@@ -45,6 +45,7 @@ __all__ = [
     "rejected_rows",
     "require_columns",
     "rows_by",
+    "scale_between",
     "sketch_by",
     "sum_by",
     "too_wide",

@@ -25,7 +25,11 @@ def minmax_normalize(df: DataFrame, value: str, by: Sequence[str], name: str) ->
     in a skew-splitting sort-merge join when there are very many groups. Groups
     are matched NULL-safely, as a window would do.
     """
-    bounds = materialize(group_bounds(df, by, value), "bounds")
+    return scale_between(df, materialize(group_bounds(df, by, value), "bounds"), value, by, name)
+
+
+def scale_between(df: DataFrame, bounds: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
+    """The same with given ``bounds``, one row (by, low, high) per group of ``df``."""
     same_group = reduce(and_, [F.col(f"row.{k}").eqNullSafe(F.col(f"bound.{k}")) for k in by])
     spread = F.col("bound.high") - F.col("bound.low")
     scaled = (

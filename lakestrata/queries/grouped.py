@@ -28,6 +28,7 @@ from lakestrata.operators import (
 )
 from lakestrata.operators.sketches import DISTINCT_SIZE, RANK_ERROR
 from lakestrata.plans import statistics
+from lakestrata.plans.scaled import ScaledTable
 from lakestrata.queries.inputs import single_precision, table
 from lakestrata.queries.registry import query
 
@@ -182,6 +183,18 @@ def scaled_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_normalize(events, "value", ["event_type"], "scaled")
 
 
+@query(SCALED_SQL.format(source="events"))
+def scaled_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from three arrivals; groups are scaled again where an arrival moves their bounds."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    kept = ScaledTable(working_folder(spark, "scaled-events"), "event_type", "value", "scaled")
+    # Outliers come last, so that some bounds move with every arrival.
+    middle, late = F.col("value").between(5, 50), F.pmod("event_id", F.lit(3)) == 0
+    for arrival in (middle & ~late, middle & late, F.coalesce(~middle, F.lit(True))):
+        kept.add(events.where(arrival))
+    return kept.rows(spark).select("event_id", "event_type", "value", "scaled")
+
+
 @query(
     SCALED_SQL.format(
         source="""(SELECT event_id, nullif(event_type, 'error') AS event_type,
