@@ -357,8 +357,9 @@ def set_links(lists: DataFrame, sets: Sets, join: Join) -> DataFrame | None:
         if turn > 1:
             # Lists here have at most SHORT_LIST sets per round so far; every pair is looked at once.
             # Open sets come first and meet those behind them; closed sets do not meet each other.
+            # Sets that share one difference mostly share others too: their lists are the same, and one is enough.
             member = F.struct((~F.col("open")).alias("closed"), "sid")
-            members = short.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m"))
+            members = short.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m")).select("m").distinct()
             pairs = members.select("m", F.posexplode("m").alias("at", "x")).where("NOT x.closed")
             pairs = pairs.select("x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y"))
             pairs = pairs.select(F.greatest("x.sid", "y.sid").alias("a"), F.least("x.sid", "y.sid").alias("b")).distinct()
