@@ -2,9 +2,10 @@
 
 With at most k edits between two lines, one of k + 1 disjoint segments of the shorter line stands
 unchanged in the longer one, near its own place. The first half of the segments is placed from the
-start of a line and the others from its end, with one size for all lengths of a band. So lines are joined
+start of a line and the others from its end, with one size for all lengths of a band. So lines meet
 by the hash of (band of the shorter line, segment number, segment), the longer line probing only with the
-substrings that the number of edits outside of the segment allows. Candidates are verified by a bit-parallel
+substrings that the number of edits outside of the segment allows. Lines of a segment that too many lines share are cut
+into finer segments, of which the rarest are indexed. Candidates are verified by a bit-parallel
 edit distance on a diagonal band.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakestrata.layout import materialize
 from lakestrata.llm.components import components
@@ -23,11 +24,18 @@ MOST_EDITS = 5
 LEAST_CHARS = 20  # shorter lines are not compared for edits
 # Candidate lines are preselected by a hash of this many bits, which bounds the broadcast at 2^20 rows.
 PRESELECT_BITS = 20
+# Lines and keys are frequent when they make up more than one of so many rows: at most so many are broadcast.
+FREQUENT = 1 << 16
+# Heavy keys are looked for in the lines of one hash in SAMPLE, where they stand for LEAST_HEAVY lines or more.
+SAMPLE = 64
+LEAST_HEAVY = 16
+# Lines of a key with more than these are compared by finer segments.
+MOST_LINES = 128
 # Letters whose counts are compared before the distance.
 LETTERS = "aeinorst"
 
 
-def lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+def lines(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, line_no, line) of the lines of ``least`` characters or more; a null text has none."""
     split = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return split.where(F.length("line") >= least)
@@ -48,48 +56,74 @@ def _band(length: Column) -> Column:
     return length - F.pmod(length, F.when(length < 80, F.lit(10)).otherwise(eighth))
 
 
-def _keys(line: Column, length: Column, band: Column, edits: int, moved: bool) -> Column:
-    """Keys of the segments of ``line`` under the sizes of ``band``; ``moved``: also of the substrings that the longer
-    line may hold them at.
+def _segments(edits: int, fine: int) -> int:
+    return (edits + 1) * fine
 
-    Let h be the number of segments placed from the start. Either at most h - 1 edits reach into them, and the first
-    segment i that at most i edits reach up to is unchanged behind i edits; or the other segments are as well off
-    when read from the end. So a segment moves by no more than its number from its own side.
+
+def _moves(edits: int, fine: int) -> list[int]:
+    """Where segments are looked for: (number, shift from the place in the shorter line), packed as ``number * 64 + shift + 16``.
+
+    Coarse segments (``fine`` = 1): let h be the number of segments placed from the start, the others being placed from the
+    end and numbered from -1 down. Either at most h - 1 edits reach into the first ones, and the first segment i that at most i
+    edits reach up to is unchanged behind i edits; or the other segments are as well off when read from the end. So a
+    segment moves by no more than its number from its own side. Fine segments are all placed from the start and move by
+    any number of edits.
+    """
+    if fine > 1:
+        found = [(i, shift) for i in range(_segments(edits, fine)) for shift in range(-edits, edits + 1)]
+    else:
+        left = edits // 2 + 1
+        found = [(i, shift) for i in range(left) for shift in range(-i, i + 1)]
+        found += [(-1 - i, shift) for i in range(edits + 1 - left) for shift in range(-i, i + 1)]
+    return [no * 64 + shift + 16 for no, shift in found]
+
+
+BELOW = 32  # the bit of a move that reads the line under the sizes of the band below its own
+
+
+def _fineness(band: Column) -> Column:
+    """Fine segments per coarse one: more where a line is long enough."""
+    return F.when(band < 160, F.lit(2)).otherwise(F.lit(4))
+
+
+def keyed(known: DataFrame, edits: int | None, fine: bool = False) -> DataFrame:
+    """(key, id, indexed, needed) of the segments of (id, line): under the sizes of its own band, and under those of the band below
+    when lengths of it are within reach.
+
+    Rows with ``indexed`` are the segments of the line itself. The others are substrings that a longer line may
+    hold a segment at; an indexed row is one of these as well. Of any ``needed`` segments of a line one is unchanged. One row per move leaves the plan before the key is
+    computed, so that the generated code has one hash rather than one for each move.
     """
-    size = F.floor(band / (edits + 1)).cast("int")
-    keys, left = [], edits // 2 + 1
-    for i in range(left):
-        for shift in range(-i, i + 1) if moved else (0,):
-            keys.append(F.xxhash64(band, F.lit(i), F.substring(line, size * i + 1 + shift, size)))
-    for i in range(edits + 1 - left):
-        for shift in range(-i, i + 1) if moved else (0,):
-            keys.append(F.xxhash64(band, F.lit(-1 - i), F.substring(line, length - size * (i + 1) + 1 + shift, size)))
-    return F.array(*keys)
-
-
-def _keys_of(line: Column, length: Column, band: Column, edits: int | None, moved: bool) -> Column:
-    """As :func:`_keys`, by the edits of the band when ``edits`` is None."""
-    if edits:
-        return _keys(line, length, band, edits, moved)
-    found = _keys(line, length, band, MOST_EDITS, moved)
-    for n in range(MOST_EDITS - 1, LEAST_CHARS // CHARS_PER_EDIT - 1, -1):
-        found = F.when(edits_of(band) == n, _keys(line, length, band, n, moved)).otherwise(found)
-    return found
-
-
-def index_keys(line: Column, length: Column, edits: int | None) -> Column:
-    return _keys_of(line, length, _band(length), edits, False)
-
-
-def probe_keys(line: Column, length: Column, edits: int | None) -> Column:
-    """Keys of all shorter or equal lines that ``line`` may be close to: of its own band, and of the band below
-    when its lengths are within reach."""
-    own = _band(length)
-    below = _band(own - 1)
-    reach = F.lit(edits) if edits else edits_of(below)
-    near = (own > LEAST_CHARS) & (length - reach < own)
-    others = F.when(near, _keys_of(line, length, below, edits, True)).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(_keys_of(line, length, own, edits, True), others)
+    known = known.select("id", "line", F.length("line").alias("long")).withColumn("own", _band(F.col("long")))
+    known = known.withColumn("below", _band(F.col("own") - 1))
+
+    def moves(band: Column, bit: int) -> Column:
+        found = F.array().cast("array<int>")
+        for n in [edits] if edits else range(max(1, LEAST_CHARS // CHARS_PER_EDIT), MOST_EDITS + 1):
+            for part in (2, 4) if fine else (1,):
+                here = (F.lit(edits) if edits else edits_of(band)) == n
+                if fine:
+                    here = here & (_fineness(band) == part)
+                found = F.when(here, F.lit([m + bit for m in _moves(n, part)])).otherwise(found)
+        return found
+
+    reach = F.lit(edits) if edits else edits_of(F.col("below"))
+    near = (F.col("own") > LEAST_CHARS) & (F.col("long") - reach < F.col("own"))
+    others = F.when(near, moves(F.col("below"), BELOW)).otherwise(F.array().cast("array<int>"))
+    rows = known.select("id", "line", "long", "own", "below", F.explode(F.concat(moves(F.col("own"), 0), others)).alias("move"))
+    lower = F.col("move").bitwiseAND(BELOW) != 0
+    rows = rows.select(
+        "id", "line", "long", F.when(lower, F.col("below")).otherwise(F.col("own")).alias("band"),
+        F.shiftright("move", 6).alias("no"), (F.col("move").bitwiseAND(31) - 16).alias("shift"), lower.alias("lower"),
+    )
+    band, no, shift = F.col("band"), F.col("no"), F.col("shift")
+    parts = ((F.lit(edits) if edits else edits_of(band)) + 1) * (_fineness(band) if fine else F.lit(1))
+    rows = rows.withColumn("size", F.floor(band / parts).cast("int"))
+    size = F.col("size")
+    at = F.when(no >= 0, size * no).otherwise(F.col("long") + size * no) + 1 + shift
+    key = F.xxhash64(band, no, F.substr("line", at, size))
+    needed = F.lit(edits) if edits else edits_of(band)
+    return rows.select(key.alias("key"), "id", (~F.col("lower") & (shift == 0)).alias("indexed"), (needed + 1).alias("needed"))
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -159,25 +193,106 @@ def _follow(
     return bind(end, lambda e: F.when(e <= edits, e))
 
 
-def candidates(distinct_lines: DataFrame, edits: int | None) -> DataFrame:
-    """(a, b): line keys of which one segment of the shorter line a stands in b.
+def line_key(line: Column) -> Column:
+    """A hash of the line whose last four bits hold those of its length; the two bits above are free (INDEXED, HOT)."""
+    return F.xxhash64(line).bitwiseAND(F.lit(-64)).bitwiseOR(F.length(line).cast("long").bitwiseAND(15))
+
+
+INDEXED, HOT = 16, 32
 
-    A line key is a hash whose last four bits hold those of the line's length, which keeps the shuffled rows short; lengths
-    that fit in these bits only are sorted out later.
+
+def _with_ids(docs: DataFrame) -> DataFrame:
+    """(id, line) of the lines that are compared, once per document."""
+    line = docs.select(F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+    return line.where(F.length("line") >= LEAST_CHARS).select(line_key(F.col("line")).alias("id"), "line")
+
+
+def _each_once(docs: DataFrame) -> DataFrame:
+    """(id, line) of all lines, the frequent ones once and the others no more often than in documents.
+
+    Frequent is a line that makes up more than one of FREQUENT lines, so there are at most FREQUENT of them. They are taken out by
+    a broadcast of their ids, and only their texts are made distinct: the texts of the others are never shuffled.
+    """
+    counts = materialize(_with_ids(docs).groupBy("id").agg(F.count("*").alias("n")).where("n > 1"), "line-counts")
+    total = _with_ids(docs).count()
+    frequent = F.broadcast(counts.where(F.col("n") > total // FREQUENT).select("id"))
+    return _with_ids(docs).join(frequent, "id", "left_anti").union(_with_ids(docs).join(frequent, "id", "left_semi").distinct())
+
+
+def _heavy_keys(docs: DataFrame, edits: int | None) -> DataFrame:
+    """Keys that stand for so many lines that no task should sort them, found in the lines of one hash in SAMPLE.
+
+    They are at most FREQUENT. The sample decides only where a key is handled: lines of
+    a key that it misses are found to be too many for pairs after the exchange.
+    """
+    sample = _with_ids(docs).where(F.pmod(F.shiftright("id", 6), F.lit(SAMPLE)) == 0).distinct()
+    counts = materialize(keyed(sample, edits).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_HEAVY), "key-counts")
+    keys = keyed(sample, edits).count()
+    return counts.where(F.col("n") > keys // FREQUENT).select("key")
+
+
+def _once(a: Column, b: Column, edits: int | None) -> Column:
+    """Lengths that may belong to a pair with shorter line ``a``, by their last bits; pairs of equal lengths in one order."""
+    gap = F.pmod(b.bitwiseAND(15) - a.bitwiseAND(15), F.lit(16))
+    return (gap <= (edits or MOST_EDITS)) & ((gap > 0) | (a < b))
+
+
+def candidates(docs: DataFrame, edits: int | None) -> DataFrame:
+    """(a, b): keys of lines of which one segment of the shorter line a stands in b, each pair once.
+
+    All rows meet in one exchange, and only those of keys with two lines or more are written. Keys of more than MOST_LINES
+    lines give no pairs: their lines meet again in :func:`_fine_candidates`.
     """
     if edits is not None and (edits < 1 or 4 * edits > LEAST_CHARS):
         raise ValueError(f"at least one edit, and at most one in four of {LEAST_CHARS} characters")
-    known = distinct_lines.select(line_key(F.col("line")).alias("id"), F.length("line").alias("long"), "line")
-    line, long = F.col("line"), F.col("long")
-    index = known.select(F.col("id").alias("a"), F.explode(index_keys(line, long, edits)).alias("key"))
-    probes = known.select(F.col("id").alias("b"), F.explode(probe_keys(line, long, edits)).alias("key"))
-    gap = F.pmod(F.col("b").bitwiseAND(15) - F.col("a").bitwiseAND(15), F.lit(16))
-    once = (gap <= (edits or MOST_EDITS)) & ((gap > 0) | (F.col("a") < F.col("b")))
-    return index.join(probes, "key").where(once).select("a", "b").distinct()
+    heavy = F.broadcast(_heavy_keys(docs, edits).withColumn("heavy", F.lit(True)))
+    rows = keyed(_each_once(docs), edits).join(heavy, "key", "left")
+    # A heavy key is told apart by line, which spreads its rows; they only name the lines concerned.
+    spread = F.when(F.col("heavy"), F.xxhash64("key", "id")).otherwise(F.col("key"))
+    flags = F.when(F.col("indexed"), INDEXED).otherwise(0) + F.when(F.col("heavy"), HOT).otherwise(0)
+    rows = rows.select(spread.alias("key"), F.col("id").bitwiseOR(flags.cast("long")).alias("code"))
+    line, group = F.col("code").bitwiseAND(~(INDEXED + HOT)), Window.partitionBy("key")
+    rows = rows.select(
+        "key", "code", F.min(line).over(group).alias("least"), F.max(line).over(group).alias("most"),
+        F.max(F.col("code").bitwiseAND(INDEXED)).over(group).alias("index"), F.count("*").over(group).alias("n"),
+    )
+    hot = (F.col("code").bitwiseAND(HOT) != 0) | (F.col("n") > MOST_LINES)
+    rows = rows.where((F.col("code").bitwiseAND(HOT) != 0) | ((F.col("least") < F.col("most")) & (F.col("index") > 0)))
+    rows = rows.select("key", line.alias("id"), (F.col("code").bitwiseAND(INDEXED) != 0).alias("indexed"), hot.alias("hot"))
+    rows = materialize(rows, "line-keys")
+    left = rows.where("NOT hot AND indexed").select("key", F.col("id").alias("a"))
+    right = rows.where("NOT hot").select("key", F.col("id").alias("b"))
+    pairs = left.join(right, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
+    many = materialize(rows.where("hot").select("id").distinct(), "line-hot")
+    if not many.isEmpty():
+        pairs = pairs.union(_fine_candidates(texts_of(docs, many), edits))
+    return pairs.distinct()
+
+
+def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
+    """Pairs of (id, line) whose coarse segments are shared by too many lines.
+
+    A line is cut into two or four times as many segments. All but ``edits`` of them stand in a close line, so one of any
+    ``edits`` + 1 does; the rarest ones are indexed. A passage that many lines share gives no pairs as long as the rest
+    of a line holds that many segments. What is frequent beyond that belongs to lines that agree in most of their
+    segments; the join splits it where it is skewed.
+    """
+    rows = keyed(known, edits, fine=True)
+    index = materialize(rows.where("indexed").select("key", F.col("id").alias("a"), "needed").distinct(), "line-fine")
+    counted = index.join(index.groupBy("key").agg(F.count("*").alias("n")), "key")
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("n", "key"))
+    rarest = counted.withColumn("rank", rank).where("rank <= needed").select("key", "a")
+    probes = rows.select("key", F.col("id").alias("b"))
+    return rarest.join(probes, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
 
 
-def line_key(line: Column) -> Column:
-    return F.xxhash64(line).bitwiseAND(F.lit(-16)).bitwiseOR(F.length(line).cast("long").bitwiseAND(15))
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line) of the lines with these ids. A bounded broadcast of hash buckets leaves most other lines unshuffled."""
+    bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
+    buckets = ids.select(bucket.alias("bucket")).distinct()
+    texts = _with_ids(docs).withColumn("bucket", bucket)
+    texts = texts.join(F.broadcast(buckets), "bucket", "left_semi").select("id", "line").distinct()
+    return materialize(texts.join(ids, "id", "left_semi"), "line-texts")
 
 
 def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
@@ -185,13 +300,8 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
 
     Without ``edits`` they follow from the length of the shorter line (:func:`edits_of`).
     """
-    pairs = materialize(candidates(lines(docs).select("line").distinct(), edits), "line-candidates")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
-    buckets = ids.select(bucket.alias("bucket")).distinct()
-    texts = lines(docs).select("line", line_key(F.col("line")).alias("id")).withColumn("bucket", bucket)
-    texts = texts.join(F.broadcast(buckets), "bucket", "left_semi").select("id", "line").distinct()
-    texts = materialize(texts.join(ids, "id", "left_semi"), "line-texts")
+    pairs = materialize(candidates(docs, edits), "line-candidates")
+    texts = texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     # Lines of a pair of equal lengths come in any order; otherwise a is the shorter one.
@@ -206,23 +316,59 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
     return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")
 
 
-def dedup_lines(docs: DataFrame, edits: int | None = None, least: int = LEAST_CHARS) -> DataFrame:
-    """Per doc_id: n_lines, n_near (lines with a close but different line) and n_removed.
-
-    Lines that are equal or linked through close lines form a class; all but its first line, in the order
-    of doc_id and line number, are removed. Lines under ``least`` characters stay (with 1, only empty lines do);
-    those under LEAST_CHARS form classes of equal lines only. Rows with equal doc_id
-    count as one document. A null text has no lines; an empty text has one empty line.
-    """
+def _placed(docs: DataFrame, edits: int | None, least: int) -> DataFrame:
+    """(doc_id, line_no, id, class, near) of every line of ``least`` characters or more, written to the shared folder."""
     linked = materialize(links(docs, edits).select("a", "b"), "line-links")
     classes = components(linked, "a", "b")
     placed = lines(docs, least).select("doc_id", "line_no", line_id(F.col("line")).alias("id"))
-    placed = placed.join(classes, F.col("id") == F.col("node"), "left").select(
-        "doc_id", "line_no", F.coalesce("component", "id").alias("class"), F.col("node").isNotNull().alias("near")
-    )
-    placed = materialize(placed, "line-classes")
-    first = placed.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    kept = first.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.count("*").alias("kept"))
+    placed = placed.join(classes, F.col("id") == F.col("node"), "left")
+    near = F.col("node").isNotNull().alias("near")
+    return materialize(placed.select("doc_id", "line_no", "id", F.coalesce("component", "id").alias("class"), near), "line-classes")
+
+
+def _first(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+
+
+def line_classes(docs: DataFrame, edits: int | None = None, least: int = 1) -> DataFrame:
+    """(doc_id, line_no, id, class, near, kept) of every line of ``least`` characters or more.
+
+    Lines that are equal or linked through close lines form a class; only its first line, in the order
+    of doc_id and line number, is ``kept``. Lines under LEAST_CHARS form classes of equal lines only. ``near`` tells that a close
+    but different line exists. Equal doc_ids and numbers count as one place.
+    """
+    placed = _placed(docs, edits, least)
+    kept = F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
+    return placed.join(_first(placed), "class").select(*placed.columns, kept.alias("kept"))
+
+
+def kept_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` cut down to the kept lines of :func:`line_classes`, and the numbers of the others as ``removed``.
+
+    Lines outside of the classes (empty ones) stay. A null text stays null, and a text whose lines all go is empty. Rows of one
+    doc_id lose the lines that stand at the removed numbers with the removed content.
+    """
+    gone = classes.where("NOT kept").groupBy(F.col("doc_id").alias("_doc"))
+    gone = gone.agg(F.collect_set(F.struct("line_no", "id")).alias("_gone"))
+    none = F.array().cast("array<struct<line_no:int,id:binary>>")
+    both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumn("_gone", F.coalesce("_gone", none))
+    split = F.transform(F.split("text", "\n"), lambda line, n: F.struct(n.alias("line_no"), line.alias("line")))
+    out = lambda x: F.array_contains("_gone", F.struct(x["line_no"].alias("line_no"), line_id(x["line"]).alias("id")))
+    both = both.withColumn("_marked", F.transform(split, lambda x: F.struct(x["line_no"], x["line"], out(x).alias("out"))))
+    text = F.array_join(F.transform(F.filter("_marked", lambda x: ~x["out"]), lambda x: x["line"]), "\n")
+    removed = F.transform(F.filter("_marked", lambda x: x["out"]), lambda x: x["line_no"])
+    removed = F.coalesce(removed, F.array().cast("array<int>"))
+    return both.select(*[c for c in docs.columns if c != "text"], text.alias("text"), removed.alias("removed"))
+
+
+def dedup_lines(docs: DataFrame, edits: int | None = None, least: int = 1) -> DataFrame:
+    """Per doc_id: n_lines, n_near (lines with a close but different line) and n_removed, by :func:`line_classes`.
+
+    Lines under ``least`` characters stay. Rows with equal doc_id
+    count as one document. A null text has no lines; an empty text has one empty line.
+    """
+    placed = _placed(docs, edits, least)
+    kept = _first(placed).groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.count("*").alias("kept"))
     per_doc = placed.groupBy("doc_id").agg(F.count("*").alias("compared"), F.count_if("near").alias("n_near"))
     counts = docs.groupBy("doc_id").agg(F.coalesce(F.sum(F.size(F.split("text", "\n"))), F.lit(0)).cast("long").alias("n_lines"))
     sums = [

@@ -54,7 +54,7 @@ def test_banded_distance(spark, edits):
 def test_links_match_brute_force(spark, edits):
     lines = sorted({x for x in random_lines(10 + edits, 60) if len(x) >= edit_join.LEAST_CHARS})
     docs = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "doc_id long, text string")
-    names = {r["id"]: r["line"] for r in edit_join.lines(docs).select("line", edit_join.line_id(F.col("line")).alias("id")).collect()}
+    names = {r["id"]: r["line"] for r in edit_join.lines(docs, 1).select("line", edit_join.line_id(F.col("line")).alias("id")).collect()}
     found = {frozenset((names[r["a"]], names[r["b"]])): r["distance"] for r in edit_join.links(docs, edits).collect()}
     wanted = {}
     for n, a in enumerate(lines):
@@ -72,7 +72,7 @@ def test_documents(spark):
         (7, "x" * 50_000, 0), (8, "x" * 49_999, 0), (None, "a line without a document", 0), (9, "a line without a document", 0),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, line_no int")
-    found = sorted(map(tuple, edit_join.dedup_lines(docs).collect()), key=str)
+    found = sorted(map(tuple, edit_join.dedup_lines(docs, least=20).collect()), key=str)
     # (doc_id, lines, lines with a near one, removed)
     assert found == sorted([
         (1, 2, 1, 0), (2, 3, 0, 0), (3, 3, 2, 2), (4, 0, 0, 0), (5, 1, 0, 0), (6, 2, 0, 2), (7, 1, 1, 0), (8, 1, 1, 1),
@@ -95,8 +95,14 @@ def alike(a, b):
     return sum(abs(a.count(x) - b.count(x)) for x in set(a + b)) <= 10
 
 
-@pytest.mark.parametrize("edits", [None, 3, 5])
-def test_edits_by_length_match_brute_force(spark, edits):
+@pytest.mark.parametrize("edits, limits", [
+    (None, {}), (3, {}), (5, {}), (None, {"MOST_LINES": 1}), (2, {"MOST_LINES": 1}),
+    (None, {"SAMPLE": 1, "LEAST_HEAVY": 2}), (5, {"SAMPLE": 2, "LEAST_HEAVY": 1}),
+])
+def test_edits_by_length_match_brute_force(spark, monkeypatch, edits, limits):
+    """Also with nearly all keys taken for frequent, by the sample or by the exchange."""
+    for name, value in limits.items():
+        monkeypatch.setattr(edit_join, name, value)
     rng = random.Random(20 + (edits or 0))
     lines = set()
     for length in [20, 29, 30, 31, 39, 41, 50, 52, 60, 79, 80, 88, 128, 130, 257] * 2:
@@ -104,7 +110,7 @@ def test_edits_by_length_match_brute_force(spark, edits):
         lines |= {line} | {changed(rng, line, n) for n in range(1, 7)}
     lines = sorted(x for x in lines if len(x) >= edit_join.LEAST_CHARS)
     docs = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "doc_id long, text string")
-    names = {r["id"]: r["line"] for r in edit_join.lines(docs).select("line", edit_join.line_id(F.col("line")).alias("id")).collect()}
+    names = {r["id"]: r["line"] for r in edit_join.lines(docs, 1).select("line", edit_join.line_id(F.col("line")).alias("id")).collect()}
     found = {frozenset((names[r["a"]], names[r["b"]])): r["distance"] for r in edit_join.links(docs, edits).collect()}
     wanted = {}
     for n, a in enumerate(lines):
@@ -126,3 +132,29 @@ def test_short_lines_that_repeat_are_removed(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = QUERIES["op9_segment_edit_join"](spark, str(tmp_path))
     assert sorted(map(tuple, found.collect())) == [(1, 4, 0, 1), (2, 3, 0, 1), (3, 2, 0, 1)]
+
+
+@pytest.mark.parametrize("shared", [60, 120])
+def test_lines_of_one_beginning_are_no_candidates(spark, shared):
+    rng = random.Random(shared)
+    start = "".join(rng.choice("abcdefgh ") for _ in range(shared))
+    lines = [start + "".join(rng.choice("abcdefghijklmnop ") for _ in range(120)) for _ in range(3000)]
+    lines += [changed(rng, line, 3) for line in lines[:40]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert edit_join.candidates(docs, None).count() < len(lines)
+    assert edit_join.links(docs).count() == 40
+
+
+def test_kept_texts(spark):
+    rows = [
+        (2, "Yes.\n\nNo.\na line that is long enough\nYes.", 0), (1, "Yes.\na line that was long enough", 1),
+        (3, None, 2), (4, "", 3), (None, "No.\n\nNo.", 4), (5, "Yes.", 5), (6, "new\nnew", 6), (6, "new\nnew", 6),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, line_no int")
+    found = edit_join.kept_texts(docs, edit_join.line_classes(docs))
+    assert found.columns == ["doc_id", "line_no", "text", "removed"]
+    # A null doc_id comes first, and the empty line of a text stays.
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (2, 0, "", [0, 2, 3, 4]), (1, 1, "Yes.\na line that was long enough", []), (3, 2, None, []), (4, 3, "", []),
+        (None, 4, "No.\n", [2]), (5, 5, "", [0]), (6, 6, "new", [1]), (6, 6, "new", [1]),
+    ], key=str)
