@@ -279,7 +279,8 @@ def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
     """
     rows = keyed(known, edits, fine=True)
     index = materialize(rows.where("indexed").select("key", F.col("id").alias("a"), "needed").distinct(), "line-fine")
-    counted = index.join(index.groupBy("key").agg(F.count("*").alias("n")), "key")
+    # By what is looked for: a passage behind an inserted character is rare as a segment, and yet stands in many lines.
+    counted = index.join(rows.groupBy("key").agg(F.count("*").alias("n")), "key")
     rank = F.row_number().over(Window.partitionBy("a").orderBy("n", "key"))
     rarest = counted.withColumn("rank", rank).where("rank <= needed").select("key", "a")
     probes = rows.select("key", F.col("id").alias("b"))
