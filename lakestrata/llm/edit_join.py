@@ -31,6 +31,8 @@ SAMPLE = 64
 LEAST_HEAVY = 16
 # Lines of a key with more than these are compared by finer segments.
 MOST_LINES = 128
+# Segments of a line whose absence from the other one is counted before the distance.
+PARTS = 48
 # Letters whose counts are compared before the distance.
 LETTERS = "aeinorst"
 
@@ -184,7 +186,9 @@ def _follow(
         return F.struct((s["j"] + 1).alias("j"), vp.alias("vp"), vn.alias("vn"), score.alias("score"))
 
     def step(s: Column, letter: Column) -> Column:
-        return bind(bind(bind(equal(s, letter), diagonal), horizontal), vertical)
+        # No cell of the band is lower than the followed one by more than its width, so the rest of the line cannot help.
+        hopeless = s["score"] > edits + width - 1
+        return F.when(hopeless, s).otherwise(bind(bind(bind(equal(s, letter), diagonal), horizontal), vertical))
 
     # Column 0 is 0, 1, 2, ...: every difference below row 0 is one.
     above = full & ~((1 << edits) - 1)
@@ -287,6 +291,14 @@ def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
     return rarest.join(probes, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
 
 
+def _broken(a: Column, b: Column) -> Column:
+    """How many of up to PARTS segments of ``a`` stand nowhere in ``b``: never more than the edits between them, as an edit
+    changes one segment at most."""
+    size = F.greatest(F.lit(4), F.ceil(F.length(a) / PARTS).cast("int"))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(a) - size + 1), size)
+    return F.aggregate(starts, F.lit(0), lambda n, at: n + F.when(F.contains(b, F.substr(a, at, size)), 0).otherwise(1))
+
+
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, line) of the lines with these ids. A bounded broadcast of hash buckets leaves most other lines unshuffled."""
     bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
@@ -310,7 +322,7 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
     both = both.where((F.length("line_b") - F.length("line_a")).between(F.lit(0), allowed))
     count = lambda line, letter: F.length(line) - F.length(F.replace(F.col(line), F.lit(letter), F.lit("")))
     apart = sum((F.abs(count("line_a", x) - count("line_b", x)) for x in LETTERS), F.lit(0))
-    both = both.where(apart <= 2 * allowed)
+    both = both.where(apart <= 2 * allowed).where(_broken(F.col("line_a"), F.col("line_b")) <= allowed)
     most = edits or MOST_EDITS
     distance = F.transform(F.array(banded_distance(F.col("line_a"), F.col("line_b"), most)), lambda d: F.when(d <= allowed, d))[0]
     ids = line_id(F.col("line_a")).alias("a"), line_id(F.col("line_b")).alias("b")
