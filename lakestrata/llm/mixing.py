@@ -103,23 +103,26 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -
     """Learn from a bounded sample of labelled documents.
 
     The chosen labels number at most ``rows``, which bounds the broadcast; the model has at most MOST_FEATURES
-    features. Labels without doc_id or verdict are left out; of contradicting labels the
-    worst counts. Without labelled documents every domain is equally likely.
+    features. Labels without doc_id or verdict, and labels of absent documents, are left out before the bound; of
+    contradicting labels the worst counts, and of several texts under one doc_id that of smallest hash. Without labelled documents every domain is equally likely.
     """
     order = {d: n for n, d in enumerate(DOMAINS)}
     rank = F.coalesce(*[F.when(F.col("_domain") == d, n) for d, n in order.items()])
     chosen = (
         labels.select("doc_id", domain_of(F.col("quality"), F.col("toxic")).alias("_domain"))
         .where("doc_id IS NOT NULL AND _domain IS NOT NULL")
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
         .groupBy("doc_id")
         .agg(F.max(rank).alias("domain"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+    chosen = materialize(chosen, "mixing-labels")
     listed = words(F.col("text"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     train = (
-        docs.select("doc_id", listed.alias("w"))
-        .join(F.broadcast(chosen), "doc_id")
+        texts.groupBy("doc_id", "domain").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select("domain", listed.alias("w"))
         .select("domain", F.array_distinct("w").alias("d"), F.size("w").alias("n"))
         .select("domain", features(F.col("d"), F.col("n")).alias("f"))
     )

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
+from lakestrata.layout import materialize
 from lakestrata.llm.words import MARKS, pieces, words_of
 
 # The classifier is fitted on at most so many labelled rows, those of smallest hash of doc_id.
@@ -61,20 +62,18 @@ def _hits(column: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents.
+    """(text, toxic) of at most ``rows`` labelled documents, one row each.
 
-    The chosen labels number at most ``rows``, which bounds the broadcast. Labels without a
-    doc_id or a verdict, and labels of absent documents, are left out; of contradicting labels
-    the toxic one counts.
+    Labels without a doc_id or a verdict, and labels of absent documents, are left out before the bound; of
+    contradicting labels the toxic one counts, and of several texts under one doc_id that of smallest hash. The chosen
+    labels number at most ``rows``, which bounds the broadcast.
     """
-    chosen = (
-        labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = materialize(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "severity-labels")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    once = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return materialize(once.select("text", "toxic"), "severity-sample")
 
 
 def _associated(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:

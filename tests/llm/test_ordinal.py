@@ -89,3 +89,12 @@ def test_the_sample_is_bounded(spark):
 
 def test_every_document_is_returned(spark):
     assert QUERIES["op10_ordinal_severity"](spark, "/root/testdata/sf0.001").count() == read(spark, "/root/testdata/sf0.001", "documents").count()
+
+
+def test_sample_is_bounded_after_labels_meet_documents(spark):
+    docs = spark.createDataFrame([(7, f"text {n}") for n in range(300)] + [(8, "b"), (9, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(7, 3000)] + [(8, 1), (None, 1)], "doc_id long, toxic int")
+    for rows in (1, 2, 3, 50):
+        found = ordinal.labelled_sample(docs, labels, rows).collect()
+        assert len(found) == min(rows, 3)
+    assert sum(r["toxic"] for r in found) == 3
