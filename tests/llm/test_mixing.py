@@ -118,11 +118,11 @@ def test_goals():
 
 
 def test_labels_of_absent_documents_do_not_use_up_the_bound(spark):
-    docs = [(n, "good words here" if n % 2 else "bad stuff there") for n in range(60)]
+    docs = [(n, "good words here" if n % 4 else "bad stuff there") for n in range(60)]
     docs += [(1, "good words here")] * 200  # repeated rows count once
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     labels = spark.createDataFrame(
-        [(n, n % 2, 0) for n in range(5000)], "doc_id long, quality int, toxic int"
+        [(n, int(n % 4 > 0), 0) for n in range(5000)], "doc_id long, quality int, toxic int"
     )
     few = mixing.fit_domains(docs, labels, 60)
     assert few == mixing.fit_domains(docs, labels) and few.known
