@@ -5,8 +5,8 @@ unchanged in the longer one, near its own place. The first half of the segments
 start of a line and the others from its end, with one size for all lengths of a band. So lines meet
 by the hash of (band of the shorter line, segment number, segment), the longer line probing only with the
 substrings that the number of edits outside of the segment allows. Lines of a segment that too many lines share are cut
-into finer segments, of which the rarest are indexed. Candidates are verified by a bit-parallel
-edit distance on a diagonal band.
+into finer segments, of which the rarest are indexed. Candidates that Spark's ``levenshtein`` finds within reach
+get their distance by a bit-parallel method on a diagonal band.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ SAMPLE = 64
 LEAST_HEAVY = 16
 # Lines of a key with more than these are compared by finer segments.
 MOST_LINES = 128
-# Segments of a line whose absence from the other one is counted before the distance.
-PARTS = 48
 # Letters whose counts are compared before the distance.
 LETTERS = "aeinorst"
 
@@ -291,12 +289,9 @@ def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
     return rarest.join(probes, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
 
 
-def _broken(a: Column, b: Column) -> Column:
-    """How many of up to PARTS segments of ``a`` stand nowhere in ``b``: never more than the edits between them, as an edit
-    changes one segment at most."""
-    size = F.greatest(F.lit(4), F.ceil(F.length(a) / PARTS).cast("int"))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(a) - size + 1), size)
-    return F.aggregate(starts, F.lit(0), lambda n, at: n + F.when(F.contains(b, F.substr(a, at, size)), 0).otherwise(1))
+def _within(a: Column, b: Column, allowed: Column, most: int) -> Column:
+    """Whether Spark's own banded distance of ``a`` and ``b`` is at most ``allowed``; it gives -1 above ``most``."""
+    return F.pmod(F.levenshtein(a, b, most), F.lit(1 << 20)) <= allowed
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -322,8 +317,9 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
     both = both.where((F.length("line_b") - F.length("line_a")).between(F.lit(0), allowed))
     count = lambda line, letter: F.length(line) - F.length(F.replace(F.col(line), F.lit(letter), F.lit("")))
     apart = sum((F.abs(count("line_a", x) - count("line_b", x)) for x in LETTERS), F.lit(0))
-    both = both.where(apart <= 2 * allowed).where(_broken(F.col("line_a"), F.col("line_b")) <= allowed)
     most = edits or MOST_EDITS
+    # The distance below is interpreted character by character, so pairs that are out of reach leave by a compiled one.
+    both = both.where(apart <= 2 * allowed).where(_within(F.col("line_a"), F.col("line_b"), allowed, most))
     distance = F.transform(F.array(banded_distance(F.col("line_a"), F.col("line_b"), most)), lambda d: F.when(d <= allowed, d))[0]
     ids = line_id(F.col("line_a")).alias("a"), line_id(F.col("line_b")).alias("b")
     return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")
