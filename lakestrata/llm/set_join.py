@@ -33,6 +33,9 @@ SEEN_SETS = 200_000  # that a task remembers to have sent
 # Lists up to this length are settled pair by pair after the first round, longer ones after more rounds.
 SHORT_LIST = 16
 PRESELECT = 1 << 20  # bounds the broadcasts that preselect rows by a hash
+# A text has many times its own size in keys, and a pair two arrays of shingles: both are handled in smaller pieces than texts.
+KEY_BYTES = 1 << 19
+PAIR_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,7 +134,7 @@ def part_keys(docs: DataFrame, join: Join) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most=KEY_BYTES):
                 first, value = shingles(words_of(piece.column("text"), lower=True), join.width)
                 size, sid = np.diff(first), set_ids(first, value)
                 # A task sends a set once, however many copies it reads.
@@ -233,11 +236,16 @@ class Sets:
                 for piece in pieces(batch):
                     first, value = shingles(words_of(piece.column("text"), lower=True), width)
                     partners = piece.column(name)
-                    at = pa.array(np.repeat(np.arange(piece.num_rows), partners.value_lengths().to_numpy()))
+                    at = np.repeat(np.arange(piece.num_rows), partners.value_lengths().to_numpy())
                     raw = pa.array([value[a:b].astype("<u8").tobytes() for a, b in zip(first, first[1:])], pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column("sid").take(at), partners.flatten(), raw.take(at)], names=["sid", name, "tokens"]
-                    )
+                    # A row per partner, so a set of many partners fills several batches.
+                    filled = np.cumsum(8 * np.diff(first)[at]) // PAIR_BYTES
+                    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff(filled)) + 1):
+                        rows = pa.array(at[some])
+                        yield pa.RecordBatch.from_arrays(
+                            [piece.column("sid").take(rows), partners.flatten().take(pa.array(some)), raw.take(rows)],
+                            names=["sid", name, "tokens"],
+                        )
 
         return chosen.mapInArrow(run, f"sid long, {name} long, tokens binary")
 
@@ -281,19 +289,20 @@ def compare(pairs: DataFrame, sets: Sets, join: Join, differences: bool) -> Data
     both = mine.join(theirs, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for piece in (p for batch in batches for part in pieces(batch, "x", PAIR_BYTES) for p in pieces(part, "y", PAIR_BYTES)):
             rows = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            # Values of one row at a time, which are read where they lie.
+            for x, y in zip(piece.column("x"), piece.column("y")):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 apart = np.setxor1d(x, y, assume_unique=True)
                 linked = len(apart) * (100 + join.percent) <= (100 - join.percent) * (len(x) + len(y))
                 far = not differences or len(apart) * join.percent > join.near * len(x)
                 rows.append((len(x), len(y), linked, len(apart), b"" if far else apart.tobytes()))
             names = ["size_a", "size_b", "linked", "apart", "difference"]
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
-            columns = list(zip(*rows)) or [[]] * len(names)
+            columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["a", "b", *names]
+                [piece.column("a"), piece.column("b"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["a", "b", *names]
             )
 
     schema = "a long, b long, size_a long, size_b long, linked boolean, apart long, difference binary"
