@@ -1,9 +1,14 @@
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import put
 from lakestrata.plans import food, run_all
+from lakestrata.queries import inputs
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def nutrient(name, value, unit):
@@ -124,3 +129,21 @@ def test_only_json_lines_are_refused(spark, lake):
     for path in ("valid/lines.json", "valid"):
         with pytest.raises(ValueError, match="lines.json is JSON Lines"):
             food.refuse_json_lines(spark, lake.raw(path))
+
+
+def delivered_bytes(path):
+    return sum(f.stat().st_size for f in Path(path).rglob("part-*"))
+
+
+def test_json_lines_are_delivered_compressed_in_bounded_files(spark, monkeypatch):
+    lineitem = inputs.table(spark, SMALL, "lineitem")
+    documents = inputs.food_documents(lineitem)
+    monkeypatch.setattr(inputs, "LINES_PER_FILE", 1000)
+    path = inputs.write_food_lines(spark, SMALL)
+    text = documents.agg(F.sum(F.length(F.to_json(F.struct("foods"))))).first()[0]
+    assert delivered_bytes(path) * 4 < text
+    back = food.read_foods(spark, path, lines=True)
+    per_file = back.groupBy(F.input_file_name().alias("file")).count()
+    assert per_file.agg(F.max("count")).first()[0] <= 1000
+    assert back.count() == lineitem.count()
+    assert food.flat_foods(back).exceptAll(food.flat_foods(documents)).isEmpty()
