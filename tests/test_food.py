@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,22 @@ def test_json_lines_are_delivered_compressed_in_bounded_files(spark, monkeypatch
     assert per_file.agg(F.max("count")).first()[0] <= 1000
     assert back.count() == lineitem.count()
     assert food.flat_foods(back).exceptAll(food.flat_foods(documents)).isEmpty()
+
+
+def test_whole_file_documents_are_delivered_compressed(spark):
+    lineitem = inputs.table(spark, SMALL, "lineitem")
+    documents = inputs.food_documents(lineitem)
+    text = documents.agg(F.sum(F.length(F.to_json(F.struct("foods"))))).first()[0]
+    path = inputs.deliver_food_files(spark, SMALL)
+    assert delivered_bytes(path) * 4 < text
+    back = food.read_foods(spark, path)
+    assert back.count() == lineitem.count()
+    assert food.flat_foods(back).exceptAll(food.flat_foods(documents)).isEmpty()
+
+
+def test_whole_file_documents_hold_a_bounded_number_of_rows(monkeypatch):
+    monkeypatch.setattr(inputs, "DOCUMENT_ROWS", 2)
+    batches = [pa.RecordBatch.from_pydict({"line": lines}) for lines in (["1"], ["2", "3"], [], ["4", "5"])]
+    found = [v for batch in inputs._arrays(iter(batches)) for v in batch.column("value").to_pylist()]
+    assert [json.loads(v) for v in found] == [[1, 2], [3, 4], [5]]
+    assert list(inputs._arrays(iter([]))) == []
