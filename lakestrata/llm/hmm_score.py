@@ -226,55 +226,64 @@ def starting_point(encoded: DataFrame, model: Model) -> Model:
     return replace(model, start=np.full(STATES, 1 / STATES), moves=moves, emits=emits)
 
 
-def _by_length(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols in a row, longest sequence first; where each begins, its length, its old place."""
+def _by_time(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all sequences, first ones first and the longest sequence first among them, so that a step of the
+    recursion reads them where they lie; where each step begins; the step of each symbol; the sequences' old places."""
     sizes = np.array([len(s) for s in sequences])
     order = np.argsort(-sizes, kind="stable")
     sizes = sizes[order]
-    return np.concatenate([sequences[n] for n in order]).astype(np.int64), np.cumsum(sizes) - sizes, sizes, order
+    whole = np.concatenate([sequences[n] for n in order])
+    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # sequences longer than t
+    step = np.append(0, np.cumsum(active))
+    time = np.repeat(np.arange(len(active), dtype=np.int32), active)
+    rank = np.arange(len(whole)) - step[time]
+    return whole[(np.cumsum(sizes) - sizes)[rank] + time].astype(np.int64), step, time, order
 
 
 def forward(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """Log10 likelihood of each whole sequence, by the scaled forward recursion."""
-    symbols, begin, sizes, order = _by_length(sequences)
-    scales = np.empty(len(symbols))
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # longer than t
+    symbols, step, time, order = _by_time(sequences)
+    scales, ones = np.empty(len(symbols)), np.ones(STATES)
     alpha = None
-    for t, n in enumerate(active):
-        at = begin[:n] + t
-        alpha = (model.start if t == 0 else alpha[:n] @ model.moves) * model.emits[symbols[at]]
-        scale = alpha.sum(axis=1)
+    for t, (a, b) in enumerate(zip(step[:-1].tolist(), step[1:].tolist())):
+        alpha = (model.start if t == 0 else alpha[: b - a] @ model.moves) * model.emits.take(symbols[a:b], axis=0)
+        scale = np.matmul(alpha, ones, out=scales[a:b])
         alpha /= scale[:, None]
-        scales[at] = scale
-    out = np.empty(len(sizes))
-    out[order] = np.add.reduceat(np.log10(scales), begin)
+    out = np.empty(len(sequences))
+    out[order] = np.bincount(np.arange(len(symbols)) - step[time], np.log10(scales), len(sequences))
     return out
 
 
 def expected_counts(sequences: list[np.ndarray], model: Model, first: np.ndarray) -> tuple[np.ndarray, ...]:
     """Expected starts, moves and emissions. ``first`` marks sequences that begin a text."""
-    symbols, begin, sizes, order = _by_length(sequences)
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-    alpha, scales = np.empty((len(symbols), STATES)), np.empty(len(symbols))
-    now = None
-    for t, n in enumerate(active):
-        at = begin[:n] + t
-        now = (model.start if t == 0 else now[:n] @ model.moves) * model.emits[symbols[at]]
-        scale = now.sum(axis=1)
-        now /= scale[:, None]
-        alpha[at], scales[at] = now, scale
-    gamma = np.empty_like(alpha)
-    pairs = np.zeros((STATES, STATES))
-    beta = np.ones((len(sizes), STATES))
-    for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        at = begin[:n] + t
-        gamma[at] = alpha[at] * beta[:n]
+    symbols, step, time, order = _by_time(sequences)
+    steps = list(zip(step[:-1].tolist(), step[1:].tolist()))
+    emitted = model.emits.take(symbols, axis=0)
+    alpha, scales, ones = np.empty((len(symbols), STATES)), np.empty(len(symbols)), np.ones(STATES)
+    before = 0
+    for t, (a, b) in enumerate(steps):
+        now = alpha[a:b]
         if t:
-            onward = beta[:n] * model.emits[symbols[at]] / scales[at][:, None]
-            pairs += alpha[at - 1].T @ onward
-            beta[:n] = onward @ model.moves.T
-    starts = gamma[begin[first[order]]].sum(axis=0)
+            np.matmul(alpha[before : before + b - a], model.moves, out=now)
+            now *= emitted[a:b]
+        else:
+            np.multiply(model.start, emitted[a:b], out=now)
+        now /= np.matmul(now, ones, out=scales[a:b])[:, None]
+        before = a
+    emitted /= scales[:, None]
+    # What lies ahead of each symbol, and the same as seen from the symbol before it.
+    beta, onward = np.ones((len(symbols), STATES)), emitted
+    back = np.ascontiguousarray(model.moves.T)
+    for t in range(len(steps) - 1, 0, -1):
+        a, b = steps[t]
+        onward[a:b] *= beta[a:b]
+        earlier = steps[t - 1][0]
+        np.matmul(onward[a:b], back, out=beta[earlier : earlier + b - a])
+    later = steps[0][1]
+    rank = np.arange(later, len(symbols)) - step[time[later:]]
+    pairs = alpha[step[time[later:] - 1] + rank].T @ onward[later:]
+    gamma = np.multiply(alpha, beta, out=beta)
+    starts = gamma[:later][first[order]].sum(axis=0)
     emits = np.stack([np.bincount(symbols, gamma[:, k], SYMBOLS) for k in range(STATES)], axis=1)
     return starts, pairs * model.moves, emits
 

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -114,3 +115,52 @@ def test_odd_input(spark):
     assert by_id[1][2:4] == by_id[2][2:4] == by_id[3][2:4] and by_id[1][2] == 1
     assert by_id[8][2] == 40_001 and all(math.isfinite(r[6]) and r[6] < 0 for r in found)
     assert hmm.score_texts(docs.limit(0)).collect() == []
+
+
+def scattered_counts(sequences, m, first):
+    """Expected counts with each step's rows picked out of sequences that lie one after another."""
+    sizes = np.array([len(s) for s in sequences])
+    order = np.argsort(-sizes, kind="stable")
+    sizes = sizes[order]
+    symbols, begin = np.concatenate([sequences[n] for n in order]).astype(np.int64), np.cumsum(sizes) - sizes
+    active = [int((sizes > t).sum()) for t in range(sizes[0])]
+    alpha, scales = np.empty((len(symbols), hmm.STATES)), np.empty(len(symbols))
+    for t, n in enumerate(active):
+        at = begin[:n] + t
+        now = (m.start if t == 0 else now[:n] @ m.moves) * m.emits[symbols[at]]
+        scales[at] = now.sum(axis=1)
+        now /= scales[at][:, None]
+        alpha[at] = now
+    gamma, pairs, beta = np.empty_like(alpha), 0, np.ones((len(sizes), hmm.STATES))
+    for t in range(len(active) - 1, -1, -1):
+        n = active[t]
+        at = begin[:n] + t
+        gamma[at] = alpha[at] * beta[:n]
+        if t:
+            onward = beta[:n] * m.emits[symbols[at]] / scales[at][:, None]
+            pairs = pairs + alpha[at - 1].T @ onward
+            beta[:n] = onward @ m.moves.T
+    emits = np.stack([np.bincount(symbols, gamma[:, k], hmm.SYMBOLS) for k in range(hmm.STATES)], axis=1)
+    return gamma[begin[first[order]]].sum(axis=0), pairs * m.moves, emits
+
+
+def test_expected_counts_are_those_of_scattered_steps_at_less_than_their_cost():
+    rng = np.random.default_rng(3)
+    emits, moves = rng.random((hmm.SYMBOLS, hmm.STATES)), rng.random((hmm.STATES, hmm.STATES))
+    m = hmm.Model(
+        1, 1, {}, np.ones(hmm.SYMBOLS), np.ones(hmm.ENDINGS), np.full(hmm.STATES, 1 / hmm.STATES),
+        moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0),
+    )
+    sequences = [rng.integers(0, hmm.SYMBOLS, n).astype("<u2") for n in rng.integers(1, 1024, 150)]
+    first = rng.random(len(sequences)) < 0.5
+    seconds, found = {}, {}
+    for call in (scattered_counts, hmm.expected_counts):
+        taken = []
+        for _ in range(4):
+            begin = time.process_time()
+            found[call] = call(sequences, m, first)
+            taken.append(time.process_time() - begin)
+        seconds[call] = min(taken)
+    for plain, got in zip(*found.values()):
+        assert np.allclose(plain, got)
+    assert seconds[hmm.expected_counts] < 0.7 * seconds[scattered_counts]
