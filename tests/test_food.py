@@ -161,9 +161,9 @@ def test_whole_file_documents_are_delivered_compressed(spark):
     assert food.flat_foods(back).exceptAll(food.flat_foods(documents)).isEmpty()
 
 
-def test_whole_file_documents_hold_a_bounded_number_of_rows(monkeypatch):
-    monkeypatch.setattr(inputs, "DOCUMENT_ROWS", 2)
+def test_whole_file_documents_hold_a_bounded_number_of_rows():
+    arrays = inputs._arrays(2)
     batches = [pa.RecordBatch.from_pydict({"line": lines}) for lines in (["1"], ["2", "3"], [], ["4", "5"])]
-    found = [v for batch in inputs._arrays(iter(batches)) for v in batch.column("value").to_pylist()]
+    found = [v for batch in arrays(iter(batches)) for v in batch.column("value").to_pylist()]
     assert [json.loads(v) for v in found] == [[1, 2], [3, 4], [5]]
-    assert list(inputs._arrays(iter([]))) == []
+    assert list(arrays(iter([]))) == []
