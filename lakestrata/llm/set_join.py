@@ -9,11 +9,12 @@ use this, none of which writes all pairs of a group:
    skipped at once, then sets that are in too few lists of a block, and of the others' lists the
    longest.
 2. Of each list only the pairs with its most central set, the leader, are computed.
-3. Derived answers: sets linked to one leader are connected. Any other link among the members of
-   a list shows in their differences from the leader: two sets that differ from it by x and y shingles
-   must share (x + y - allowed) / 2 of these. So the next round indexes differences in place of sets,
-   by their rarest shingles: a difference that is a set's own has no list, and most have none. Members
-   far from the leader stay in their list and get a leader of their own.
+3. Derived answers: sets linked to one leader are connected. Any other link among its members shows in
+   their differences from it: sets are as far apart as their differences are. All members of a leader that are not far from
+   it settle their links by these in one task, without a text. Only the members of a leader that has too many
+   go through another round, which indexes differences in place of sets, by their rarest shingles: two sets that differ
+   from it by x and y shingles must share (x + y - allowed) / 2 of these. Members far from the leader stay in their
+   list and get a leader of their own, once.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from lakestrata.llm.words import Words, mix, pieces, runs, words_of
 
 BAND = 1.5  # ratio of set sizes in a block of a list
 SEEN_SETS = 200_000  # that a task remembers to have sent
-# Lists up to this length are settled pair by pair after the first round, longer ones after more rounds.
-SHORT_LIST = 16
+# One task settles the members of a leader up to this number of them and of their differences; both grow by each round.
+MEMBERS = 4096
+DIFFERENCES = 1 << 18
+OVERLAPS = 1 << 20  # counted at a time
 PRESELECT = 1 << 20  # bounds the broadcasts that preselect rows by a hash
 # A text has many times its own size in keys, and a pair two arrays of shingles: both are handled in smaller pieces than texts.
 KEY_BYTES = 1 << 19
@@ -46,9 +49,9 @@ class Join:
         if not 50 < percent < 100 or width < 1:
             raise ValueError("a similarity between 50 and 100 percent, exclusive, and a width of at least 1")
         self.width, self.percent = width, percent
-        # A member counts as far from its leader beyond 40 percent of its size, and as near up to
-        # near / percent. No set near only can be linked with one far only.
-        self.near = 140 - percent
+        # A member counts as far from its leader if it differs from it by more than its size, and as near up to
+        # near / percent times its size. No set near only can be linked with one far only.
+        self.near = 200 - percent
         edges = [1]
         while edges[-1] < 1 << 40:
             edges.append(max(edges[-1] + 1, int(edges[-1] * BAND)))
@@ -279,8 +282,9 @@ def rarest(tokens: DataFrame, within: list[str], owner: list[str], sizes: DataFr
     return rest.withColumn("listed", listed).drop("common", "left")
 
 
-def compare(pairs: DataFrame, sets: Sets, join: Join, differences: bool) -> DataFrame:
-    """(a, b, size_a, size_b, linked, apart, difference) of pairs of sets."""
+def compare(pairs: DataFrame, sets: Sets, join: Join, every: bool) -> DataFrame:
+    """(a, b, size_a, size_b, linked, apart, difference) of members and their leaders; the difference is empty
+    for members that are not near, unless ``every`` one is wanted."""
     # A set has no more partners than it has lists.
     mine = sets.tokens(pairs.groupBy(F.col("a").alias("sid")).agg(F.collect_set("b").alias("b")), "b")
     mine = mine.select(F.col("sid").alias("a"), "b", F.col("tokens").alias("x"))
@@ -296,7 +300,7 @@ def compare(pairs: DataFrame, sets: Sets, join: Join, differences: bool) -> Data
                 x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 apart = np.setxor1d(x, y, assume_unique=True)
                 linked = len(apart) * (100 + join.percent) <= (100 - join.percent) * (len(x) + len(y))
-                far = not differences or len(apart) * join.percent > join.near * len(x)
+                far = not every and len(apart) * join.percent > join.near * len(x)
                 rows.append((len(x), len(y), linked, len(apart), b"" if far else apart.tobytes()))
             names = ["size_a", "size_b", "linked", "apart", "difference"]
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
@@ -309,19 +313,71 @@ def compare(pairs: DataFrame, sets: Sets, join: Join, differences: bool) -> Data
     return materialize(both.mapInArrow(run, schema), "set-comparisons")
 
 
-def next_lists(led: DataFrame, found: DataFrame, join: Join) -> DataFrame:
-    """Lists for the pairs that a round of leaders has left undecided.
+def near_members(found: DataFrame) -> DataFrame:
+    """Members near leaders that have something left to decide, with the number ``n`` of them and ``differences`` of a leader."""
+    near = found.where(F.length("difference") > 0)
+    # Leaders all of whose members are linked have nothing left to decide.
+    sums = near.groupBy("b").agg(F.count("*").alias("n"), F.sum("apart").alias("differences"), F.bool_or(~F.col("linked")).alias("undecided"))
+    return near.join(sums.where("undecided AND n > 1").drop("undecided"), "b")
+
 
-    A member near its leader goes on by its differences, one far from it stays in the list; linked
+def overlaps(owner: np.ndarray, token: np.ndarray, size: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, counts): for some of ``rows`` at a time, how many tokens each shares with every set.
+
+    ``owner`` and ``token`` list the sets' tokens in the order of owners, ``size`` has their number by set.
+    """
+    order = np.argsort(token, kind="stable")
+    _, place, often = np.unique(token, return_inverse=True, return_counts=True)
+    holders, begin = owner[order], np.cumsum(often) - often
+    first = np.cumsum(size) - size
+    work = np.maximum(np.bincount(owner, often[place], len(size))[rows], len(size)).cumsum()
+    for some in np.split(rows, np.flatnonzero(np.diff(work // OVERLAPS)) + 1):
+        mine = size[some]
+        at = place[np.repeat(first[some] - np.cumsum(mine) + mine, mine) + np.arange(mine.sum())]
+        met = often[at]
+        other = holders[np.repeat(begin[at] - np.cumsum(met) + met, met) + np.arange(met.sum())]
+        row = np.repeat(np.repeat(np.arange(len(some)), mine), met)
+        yield some, np.bincount(row * len(size) + other, minlength=len(some) * len(size)).reshape(len(some), len(size))
+
+
+def member_links(members: DataFrame, join: Join) -> DataFrame:
+    """(a, b) links that connect what is linked among the members of one leader, each with its difference from it.
+
+    Members linked to the leader count as connected. At most one link for each member.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        sid, whole = table.column("a").to_numpy(), table.column("size_a").to_numpy()
+        linked, size = table.column("linked").to_numpy(), table.column("apart").to_numpy()
+        token = np.frombuffer(b"".join(table.column("difference").to_pylist()), "<u8")
+        group = np.where(linked, len(sid), np.arange(len(sid)))
+        links = []
+        for rows, shared in overlaps(np.repeat(np.arange(len(sid)), size), token, size, np.flatnonzero(~linked)):
+            for row, same in zip(rows, shared):
+                near = (size[row] + size - 2 * same) * (100 + join.percent) <= (100 - join.percent) * (whole[row] + whole)
+                # One link to each group that is met; these become one.
+                met, at = np.unique(np.where(near, group, group[row]), return_index=True)
+                for one, other in zip(met, at):
+                    if one != group[row]:
+                        links.append((sid[row], sid[other]))
+                if len(met) > 1:
+                    group[np.isin(group, met)] = group[row]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = members.select("a", "b", "size_a", "linked", "apart", "difference")
+    return rows.groupBy("b").applyInArrow(run, "a long, b long")
+
+
+def next_lists(led: DataFrame, found: DataFrame, near: DataFrame, join: Join, every: bool) -> DataFrame:
+    """Lists for the pairs that a round of leaders has left undecided; ``near`` has the members of leaders that have too many.
+
+    A member near its leader goes on by its differences, one far from it stays in the list unless ``every`` member counts as near; linked
     sets always share one of the two zones, which overlap. Sets linked to the leader are
     closed: pairs of closed sets need no look.
     """
-    distant = found.where("NOT linked AND apart * 10 > size_a * 4").select(F.col("a").alias("sid"), "b")
+    distant = found.where(F.lit(not every) & F.expr("NOT linked AND apart > size_a")).select(F.col("a").alias("sid"), "b")
     far = led.join(distant, ["sid", "b"]).select("key", "sid", "rank", "open")
-    near = found.where((F.col("apart") > 0) & (F.col("apart") * join.percent <= F.col("size_a") * join.near))
-    # Leaders all of whose members are linked have nothing left to decide.
-    undecided = near.where("NOT linked").select("b").distinct()
-    near = near.join(undecided, "b", "left_semi")
     tokens = _unpack(near, "difference", "a", "b")
     # What a linked set shares at least with any open one, and an open one with any set.
     closed_share = F.ceil(F.col("size") * join.percent / (100 + join.percent))
@@ -354,29 +410,19 @@ def set_links(lists: DataFrame, sets: Sets, join: Join) -> DataFrame | None:
         # The leader is the open set of least rank: the one most like the others.
         heads = lists.groupBy("key").agg(
             F.min_by(F.when(F.col("open"), F.col("sid")), F.when(F.col("open"), F.col("rank"))).alias("b"), F.count("*").alias("n")
-        ).where("n > 1 AND b IS NOT NULL")
+        ).where("n > 1 AND b IS NOT NULL").drop("n")
         led = materialize(lists.join(heads, "key"), "set-lists")
         if led.isEmpty():
             return links
-        longest = SHORT_LIST * (turn - 1)
-        short, led = led.where(F.col("n") <= longest), led.where(F.col("n") > longest)
-        edges = led.where("sid <> b").select(F.col("sid").alias("a"), "b")
-        found = compare(edges, sets, join, differences=True)
-        linked = found.where("linked").select("a", "b").unionByName(larger_helpers(found, join))
-        if turn > 1:
-            # Lists here have at most SHORT_LIST sets per round so far; every pair is looked at once.
-            # Open sets come first and meet those behind them; closed sets do not meet each other.
-            # Sets that share one difference mostly share others too: their lists are the same, and one is enough.
-            member = F.struct((~F.col("open")).alias("closed"), "sid")
-            members = short.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m")).select("m").distinct()
-            pairs = members.select("m", F.posexplode("m").alias("at", "x")).where("NOT x.closed")
-            pairs = pairs.select("x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y"))
-            pairs = pairs.select(F.greatest("x.sid", "y.sid").alias("a"), F.least("x.sid", "y.sid").alias("b")).distinct()
-            pairs = materialize(pairs, "set-pairs")
-            if not pairs.isEmpty():
-                linked = linked.unionByName(compare(pairs, sets, join, differences=False).where("linked").select("a", "b"))
+        # Few are far from their first leader. From the second on their differences are looked at all the same.
+        found = compare(led.where("sid <> b").select(F.col("sid").alias("a"), "b"), sets, join, every=turn > 1)
+        near = near_members(found)
+        few = (F.col("n") <= MEMBERS * turn) & (F.col("differences") <= DIFFERENCES * turn)
+        many = near.where(~few).drop("n", "differences")
+        helped = larger_helpers(found.join(many.select("b").distinct(), "b", "left_semi"), join)
+        linked = found.where("linked").select("a", "b").unionByName(member_links(near.where(few), join)).unionByName(helped)
         links = linked if links is None else links.unionByName(linked)
-        lists, turn = next_lists(led, found, join), turn + 1
+        lists, turn = next_lists(led, found, many, join, every=turn > 1), turn + 1
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

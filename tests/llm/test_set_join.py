@@ -72,6 +72,32 @@ def test_families_of_near_copies(spark, seed, percent):
     check(spark, list(zip(keys, texts)), 3, percent)
 
 
+@pytest.mark.parametrize("limits", [{"MEMBERS": 30}, {"DIFFERENCES": 900}, {"OVERLAPS": 500}])
+def test_leaders_of_too_many_members(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(set_join, name, value)
+    rng = random.Random(5)
+    check(spark, list(enumerate(family(rng, 120, 100, 14) + family(rng, 40, 40, 5))))
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_a_family_is_settled_in_few_rounds_without_its_pairs(spark, monkeypatch, width, percent):
+    written = []
+
+    def watched(df, name, plain=set_join.materialize):
+        out = plain(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(set_join, "materialize", watched)
+    rows = list(enumerate(family(random.Random(6), 400, 100, 30)))
+    check(spark, rows, width, percent)
+    assert [name for name, _ in written].count("set-lists") <= 3
+    # A set has a leader in each of its lists at most.
+    lists = max(n for name, n in written if name == "set-lists")
+    assert all(n <= lists for name, n in written if name not in ("set-lists", "set-parts"))
+
+
 def test_boundary_of_the_similarity(spark):
     words = [f"w{n}" for n in range(40)]
     # 36 of 40 shingles: 90 percent exactly; 35 of 39 below.
