@@ -289,6 +289,22 @@ def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
     return rarest.join(probes, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
 
 
+def letter_counts(line: Column) -> Column:
+    """How often each of LETTERS stands in the line, by their last eight bits."""
+    packed = F.lit(0).cast("long")
+    for n, letter in enumerate(LETTERS):
+        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(256)).cast("long"), 8 * n))
+    return packed
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """At most the sum of the differences of two lines' counts; an edit changes it by two at most."""
+    byte = lambda x, n: F.shiftrightunsigned(x, 8 * n).bitwiseAND(255)
+    gaps = [F.abs(byte(a, n) - byte(b, n)) for n in range(len(LETTERS))]
+    return sum((F.least(gap, 256 - gap) for gap in gaps), F.lit(0))
+
+
 def _within(a: Column, b: Column, allowed: Column, most: int) -> Column:
     """Whether Spark's own banded distance of ``a`` and ``b`` is at most ``allowed``; it gives -1 above ``most``."""
     return F.pmod(F.levenshtein(a, b, most), F.lit(1 << 20)) <= allowed
@@ -310,16 +326,21 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """
     pairs = materialize(candidates(docs, edits), "line-candidates")
     texts = texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    # Lengths and letters are compared first, so that texts are joined only to pairs that these leave.
+    marks = texts.select("id", F.length("line").alias("long"), letter_counts(F.col("line")).alias("letters"))
+    both = pairs.join(marks.select(F.col("id").alias("a"), F.col("long").alias("long_a"), F.col("letters").alias("letters_a")), "a")
+    both = both.join(marks.select(F.col("id").alias("b"), F.col("long").alias("long_b"), F.col("letters").alias("letters_b")), "b")
     # Lines of a pair of equal lengths come in any order; otherwise a is the shorter one.
+    reach = F.lit(edits) if edits else edits_of(F.col("long_a"))
+    both = both.where((F.col("long_b") - F.col("long_a")).between(F.lit(0), reach))
+    both = both.where(letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * reach)
+    likely = materialize(both.select("a", "b"), "line-likely")
+    both = likely.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+    both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     allowed = F.lit(edits) if edits else edits_of(F.length("line_a"))
-    both = both.where((F.length("line_b") - F.length("line_a")).between(F.lit(0), allowed))
-    count = lambda line, letter: F.length(line) - F.length(F.replace(F.col(line), F.lit(letter), F.lit("")))
-    apart = sum((F.abs(count("line_a", x) - count("line_b", x)) for x in LETTERS), F.lit(0))
     most = edits or MOST_EDITS
     # The distance below is interpreted character by character, so pairs that are out of reach leave by a compiled one.
-    both = both.where(apart <= 2 * allowed).where(_within(F.col("line_a"), F.col("line_b"), allowed, most))
+    both = both.where(_within(F.col("line_a"), F.col("line_b"), allowed, most))
     distance = F.transform(F.array(banded_distance(F.col("line_a"), F.col("line_b"), most)), lambda d: F.when(d <= allowed, d))[0]
     ids = line_id(F.col("line_a")).alias("a"), line_id(F.col("line_b")).alias("b")
     return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")

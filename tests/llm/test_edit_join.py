@@ -145,6 +145,38 @@ def test_lines_of_one_beginning_are_no_candidates(spark, shared):
     assert edit_join.links(docs).count() == 40
 
 
+def test_letters_never_tell_close_lines_apart(spark):
+    rng = random.Random(8)
+    pairs = []
+    for length in [20, 100, 255, 256, 257, 700] * 3:
+        line = "".join(rng.choice("aeinorst") for _ in range(length)) + "t" * rng.choice([0, 250, 511])
+        pairs += [(line, changed(rng, line, n, "aeinorst "), n) for n in range(6)] + [(line, line + "t" * 300, 300)]
+    df = spark.createDataFrame(pairs, "a string, b string, n int")
+    apart = edit_join.letters_apart(edit_join.letter_counts(F.col("a")), edit_join.letter_counts(F.col("b")))
+    found = df.select("a", "b", "n", apart.alias("apart")).collect()
+    plain = [sum(abs(r["a"].count(x) - r["b"].count(x)) for x in edit_join.LETTERS) for r in found]
+    assert all(r["apart"] <= 2 * r["n"] for r in found)
+    assert all(r["apart"] == p if p < 100 else r["apart"] <= p for r, p in zip(found, plain))
+
+
+def test_texts_are_joined_only_to_pairs_of_like_letters(spark, monkeypatch):
+    written = {}
+
+    def watched(df, name, plain=edit_join.materialize):
+        out = plain(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(edit_join, "materialize", watched)
+    rng = random.Random(9)
+    start = "".join(rng.choice("bcdfgh ") for _ in range(60))
+    lines = [start + "".join(rng.choice(rng.choice(["aei", "nor", "st"])) for _ in range(60)) for _ in range(40)]
+    lines += [start + x * 60 for x in "aeinorst"] + [start + "a" * 59 + "e"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert edit_join.links(docs).count() == 1
+    assert written["line-likely"] < written["line-candidates"] / 10
+
+
 def test_kept_texts(spark):
     rows = [
         (2, "Yes.\n\nNo.\na line that is long enough\nYes.", 0), (1, "Yes.\na line that was long enough", 1),
