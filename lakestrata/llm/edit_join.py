@@ -4,9 +4,9 @@ With at most k edits between two lines, one of k + 1 disjoint segments of the sh
 unchanged in the longer one, near its own place. The first half of the segments is placed from the
 start of a line and the others from its end, with one size for all lengths of a band. So lines meet
 by the hash of (band of the shorter line, segment number, segment), the longer line probing only with the
-substrings that the number of edits outside of the segment allows. Lines of a segment that too many lines share are cut
-into finer segments, of which the rarest are indexed. Candidates that Spark's ``levenshtein`` finds within reach
-get their distance by a bit-parallel method on a diagonal band.
+substrings that the number of edits outside of the segment allows; of long segments both lines show windows in place of
+that. Lines of a segment that too many lines share are cut into finer segments, of which the rarest are indexed. Lines of a
+key are paired if their lengths and counts of letters allow it. Spark's ``levenshtein``, bounded, tells the distance.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ LEAST_HEAVY = 16
 MOST_LINES = 128
 # Letters whose counts are compared before the distance.
 LETTERS = "aeinorst"
+MORE_LETTERS = (" cdhlmpu", ",.bfgvwy")
+# Bands from this length on are wide, and their segments are compared by windows.
+WINDOWED = 80
 
 
 def lines(docs: DataFrame, least: int) -> DataFrame:
@@ -52,15 +55,15 @@ def edits_of(length: Column) -> Column:
 
 def _band(length: Column) -> Column:
     """Least length of the band of ``length``. Bands are wider than MOST_EDITS, and all their lengths allow the same edits."""
-    eighth = F.call_function("shiftleft", F.lit(1), F.length(F.bin(length)) - 4)
-    return length - F.pmod(length, F.when(length < 80, F.lit(10)).otherwise(eighth))
+    quarter = F.call_function("shiftleft", F.lit(1), F.length(F.bin(length)) - 3)
+    return length - F.pmod(length, F.when(length < WINDOWED, F.lit(10)).otherwise(quarter))
 
 
 def _segments(edits: int, fine: int) -> int:
     return (edits + 1) * fine
 
 
-def _moves(edits: int, fine: int) -> list[int]:
+def _moves(edits: int, fine: int, windows: bool) -> list[int]:
     """Where segments are looked for: (number, shift from the place in the shorter line), packed as ``number * 64 + shift + 16``.
 
     Coarse segments (``fine`` = 1): let h be the number of segments placed from the start, the others being placed from the
@@ -68,13 +71,17 @@ def _moves(edits: int, fine: int) -> list[int]:
     edits reach up to is unchanged behind i edits; or the other segments are as well off when read from the end. So a
     segment moves by no more than its number from its own side. Fine segments are all placed from the start and move by
     any number of edits.
+
+    With ``windows`` both lines show the i + 1 windows of a segment that are shorter than it by i characters, i being its number from its
+    own side: whatever the shift, one window of the one line is one of the other line. That is fewer rows than 2 * i + 1 shifts.
     """
     if fine > 1:
         found = [(i, shift) for i in range(_segments(edits, fine)) for shift in range(-edits, edits + 1)]
     else:
         left = edits // 2 + 1
-        found = [(i, shift) for i in range(left) for shift in range(-i, i + 1)]
-        found += [(-1 - i, shift) for i in range(edits + 1 - left) for shift in range(-i, i + 1)]
+        shifts = lambda i: range(0 if windows else -i, i + 1)
+        found = [(i, shift) for i in range(left) for shift in shifts(i)]
+        found += [(-1 - i, shift) for i in range(edits + 1 - left) for shift in shifts(i)]
     return [no * 64 + shift + 16 for no, shift in found]
 
 
@@ -90,7 +97,7 @@ def keyed(known: DataFrame, edits: int | None, fine: bool = False) -> DataFrame:
     """(key, id, indexed, needed) of the segments of (id, line): under the sizes of its own band, and under those of the band below
     when lengths of it are within reach.
 
-    Rows with ``indexed`` are the segments of the line itself. The others are substrings that a longer line may
+    Rows with ``indexed`` are the segments of the line itself, or their windows. The others are substrings that a longer line may
     hold a segment at; an indexed row is one of these as well. Of any ``needed`` segments of a line one is unchanged. One row per move leaves the plan before the key is
     computed, so that the generated code has one hash rather than one for each move.
     """
@@ -100,11 +107,11 @@ def keyed(known: DataFrame, edits: int | None, fine: bool = False) -> DataFrame:
     def moves(band: Column, bit: int) -> Column:
         found = F.array().cast("array<int>")
         for n in [edits] if edits else range(max(1, LEAST_CHARS // CHARS_PER_EDIT), MOST_EDITS + 1):
-            for part in (2, 4) if fine else (1,):
+            # Fine segments differ by their number, coarse ones by whether they have windows.
+            for part, windows in [(2, False), (4, False)] if fine else [(1, False), (1, True)]:
                 here = (F.lit(edits) if edits else edits_of(band)) == n
-                if fine:
-                    here = here & (_fineness(band) == part)
-                found = F.when(here, F.lit([m + bit for m in _moves(n, part)])).otherwise(found)
+                here = here & (_fineness(band) == part if fine else (band >= WINDOWED) == windows)
+                found = F.when(here, F.lit([m + bit for m in _moves(n, part, windows)])).otherwise(found)
         return found
 
     reach = F.lit(edits) if edits else edits_of(F.col("below"))
@@ -121,9 +128,12 @@ def keyed(known: DataFrame, edits: int | None, fine: bool = False) -> DataFrame:
     rows = rows.withColumn("size", F.floor(band / parts).cast("int"))
     size = F.col("size")
     at = F.when(no >= 0, size * no).otherwise(F.col("long") + size * no) + 1 + shift
-    key = F.xxhash64(band, no, F.substr("line", at, size))
+    windows = F.lit(not fine) & (band >= WINDOWED)
+    window = F.when(windows, size - F.when(no >= 0, no).otherwise(-1 - no)).otherwise(size)
+    key = F.xxhash64(band, no, F.substr("line", at, window))
     needed = F.lit(edits) if edits else edits_of(band)
-    return rows.select(key.alias("key"), "id", (~F.col("lower") & (shift == 0)).alias("indexed"), (needed + 1).alias("needed"))
+    indexed = ~F.col("lower") & (windows | (shift == 0))
+    return rows.select(key.alias("key"), "id", indexed.alias("indexed"), (needed + 1).alias("needed"))
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -233,17 +243,87 @@ def _heavy_keys(docs: DataFrame, edits: int | None) -> DataFrame:
     return counts.where(F.col("n") > keys // FREQUENT).select("key")
 
 
-def _once(a: Column, b: Column, edits: int | None) -> Column:
-    """Lengths that may belong to a pair with shorter line ``a``, by their last bits; pairs of equal lengths in one order."""
-    gap = F.pmod(b.bitwiseAND(15) - a.bitwiseAND(15), F.lit(16))
-    return (gap <= (edits or MOST_EDITS)) & ((gap > 0) | (a < b))
+def _count(line: Column, letter: str) -> Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+
+
+def letter_counts(line: Column) -> Column:
+    """How often each of LETTERS stands in the line, by their last eight bits."""
+    packed = F.lit(0).cast("long")
+    for n, letter in enumerate(LETTERS):
+        packed = packed.bitwiseOR(F.shiftleft(F.pmod(_count(line, letter), F.lit(256)).cast("long"), 8 * n))
+    return packed
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """At most the sum of the differences of two lines' counts; an edit changes it by two at most."""
+    byte = lambda x, n: F.shiftrightunsigned(x, 8 * n).bitwiseAND(255)
+    gaps = [F.abs(byte(a, n) - byte(b, n)) for n in range(len(LETTERS))]
+    return sum((F.least(gap, 256 - gap) for gap in gaps), F.lit(0))
+
+
+def counts_in_steps(line: Column, letters: str) -> Column:
+    """Counts of eight letters modulo 16, in eight bits each, of which one changes with each step.
+
+    The bits in which two such numbers differ are at most as many as the sum of the differences of the counts.
+    """
+    packed = F.lit(0).cast("long")
+    for n, letter in enumerate(letters):
+        codes = F.lit([(1 << c) - 1 if c < 8 else 256 - (1 << c - 8) for c in range(16)])
+        packed = packed.bitwiseOR(F.shiftleft(F.element_at(codes, F.pmod(_count(line, letter), F.lit(16)) + 1).cast("long"), 8 * n))
+    return packed
+
+
+def marks(line: Column) -> list[Column]:
+    """What tells most lines of a key apart: the length, and counts of letters."""
+    steps = [counts_in_steps(line, letters).alias(f"steps{n}") for n, letters in enumerate(MORE_LETTERS)]
+    return [F.length(line).alias("long"), letter_counts(line).alias("letters"), *steps]
+
+
+MARKS = ["long", "letters", *[f"steps{n}" for n in range(len(MORE_LETTERS))]]
+SKETCH = [f"sketch{n}" for n in range(4)]
+
+
+def sketches(known: DataFrame) -> DataFrame:
+    """(id, SKETCH): 256 bits for each (id, line), each the parity of how many of the line's pairs of neighbouring letters have its hash.
+
+    An edit changes at most four bits, and one that changes the length at most three.
+    """
+    letters = F.split("line", "")
+    both = known.select("id", F.explode(F.arrays_zip(letters.alias("x"), F.slice(letters, F.lit(2), F.length("line")).alias("y"))).alias("p"))
+    hashed = both.where("p.y IS NOT NULL").select("id", F.xxhash64("p.x", "p.y").alias("h"))
+    word, bit = F.shiftright("h", 6).bitwiseAND(3), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+    return hashed.groupBy("id").agg(*[F.bit_xor(F.when(word == n, bit).otherwise(F.lit(0).cast("long"))).alias(name) for n, name in enumerate(SKETCH)])
+
+
+def _differing(names: list[str]) -> Column:
+    return sum((F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b"))) for name in names), F.lit(0))
+
+
+def _likely(edits: int | None) -> Column:
+    """Whether lines a and b, with their marks as ``<mark>_a`` and ``<mark>_b``, may be a pair with the shorter line a.
+
+    A replaced letter changes the counts by two at most, and each of the others, which make up the gap, by one. Pairs of equal
+    lengths come in one order.
+    """
+    reach = F.lit(edits) if edits else edits_of(F.col("long_a"))
+    gap = F.col("long_b") - F.col("long_a")
+    apart, most = _differing(MARKS[2:]), 2 * reach - gap
+    near = gap.between(F.lit(0), reach) & ((gap > 0) | (F.col("a") < F.col("b"))) & (apart <= most)
+    return near & (apart + letters_apart(F.col("letters_a"), F.col("letters_b")) <= most)
+
+
+def _as(rows: DataFrame, side: str) -> DataFrame:
+    """``rows`` with the id as ``side`` and the marks named by it."""
+    return rows.select("key", F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c in MARKS + SKETCH])
 
 
 def candidates(docs: DataFrame, edits: int | None) -> DataFrame:
-    """(a, b): keys of lines of which one segment of the shorter line a stands in b, each pair once.
+    """(a, b): keys of lines of which one segment of the shorter line a stands in b, and whose marks allow it, each pair once.
 
     All rows meet in one exchange, and only those of keys with two lines or more are written. Keys of more than MOST_LINES
-    lines give no pairs: their lines meet again in :func:`_fine_candidates`.
+    lines give no pairs: their lines meet again in :func:`_fine_candidates`. Marks join the rows that are written, so
+    that pairs that cannot be close never become rows.
     """
     if edits is not None and (edits < 1 or 4 * edits > LEAST_CHARS):
         raise ValueError(f"at least one edit, and at most one in four of {LEAST_CHARS} characters")
@@ -262,9 +342,10 @@ def candidates(docs: DataFrame, edits: int | None) -> DataFrame:
     rows = rows.where((F.col("code").bitwiseAND(HOT) != 0) | ((F.col("least") < F.col("most")) & (F.col("index") > 0)))
     rows = rows.select("key", line.alias("id"), (F.col("code").bitwiseAND(INDEXED) != 0).alias("indexed"), hot.alias("hot"))
     rows = materialize(rows, "line-keys")
-    left = rows.where("NOT hot AND indexed").select("key", F.col("id").alias("a"))
-    right = rows.where("NOT hot").select("key", F.col("id").alias("b"))
-    pairs = left.join(right, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
+    met = rows.where("NOT hot")
+    known = _some(docs, met.select("id").distinct()).select("id", *marks(F.col("line"))).distinct()
+    met = materialize(met.select("key", "id", "indexed").join(known, "id"), "line-candidates")
+    pairs = _as(met.where("indexed"), "a").join(_as(met, "b"), "key").where(_likely(edits)).select("a", "b")
     many = materialize(rows.where("hot").select("id").distinct(), "line-hot")
     if not many.isEmpty():
         pairs = pairs.union(_fine_candidates(texts_of(docs, many), edits))
@@ -277,46 +358,31 @@ def _fine_candidates(known: DataFrame, edits: int | None) -> DataFrame:
     A line is cut into two or four times as many segments. All but ``edits`` of them stand in a close line, so one of any
     ``edits`` + 1 does; the rarest ones are indexed. A passage that many lines share gives no pairs as long as the rest
     of a line holds that many segments. What is frequent beyond that belongs to lines that agree in most of their
-    segments; the join splits it where it is skewed.
+    segments, which only their marks tell apart; the join splits it where it is skewed.
     """
     rows = keyed(known, edits, fine=True)
     index = materialize(rows.where("indexed").select("key", F.col("id").alias("a"), "needed").distinct(), "line-fine")
     # By what is looked for: a passage behind an inserted character is rare as a segment, and yet stands in many lines.
     counted = index.join(rows.groupBy("key").agg(F.count("*").alias("n")), "key")
     rank = F.row_number().over(Window.partitionBy("a").orderBy("n", "key"))
-    rarest = counted.withColumn("rank", rank).where("rank <= needed").select("key", "a")
-    probes = rows.select("key", F.col("id").alias("b"))
-    return rarest.join(probes, "key").where(_once(F.col("a"), F.col("b"), edits)).select("a", "b")
-
-
-def letter_counts(line: Column) -> Column:
-    """How often each of LETTERS stands in the line, by their last eight bits."""
-    packed = F.lit(0).cast("long")
-    for n, letter in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(256)).cast("long"), 8 * n))
-    return packed
-
-
-def letters_apart(a: Column, b: Column) -> Column:
-    """At most the sum of the differences of two lines' counts; an edit changes it by two at most."""
-    byte = lambda x, n: F.shiftrightunsigned(x, 8 * n).bitwiseAND(255)
-    gaps = [F.abs(byte(a, n) - byte(b, n)) for n in range(len(LETTERS))]
-    return sum((F.least(gap, 256 - gap) for gap in gaps), F.lit(0))
+    rarest = materialize(counted.withColumn("rank", rank).where("rank <= needed AND n > 1").select("key", F.col("a").alias("id")), "line-rarest")
+    marked = materialize(known.select("id", *marks(F.col("line"))).join(sketches(known), "id"), "line-marks")
+    probes = rows.select("key", "id").join(rarest.select("key").distinct(), "key", "left_semi").distinct()
+    pairs = _as(rarest.join(marked, "id"), "a").join(_as(probes.join(marked, "id"), "b"), "key").where(_likely(edits))
+    reach = F.lit(edits) if edits else edits_of(F.col("long_a"))
+    return pairs.where(_differing(SKETCH) <= 4 * reach - (F.col("long_b") - F.col("long_a"))).select("a", "b")
 
 
-def _within(a: Column, b: Column, allowed: Column, most: int) -> Column:
-    """Whether Spark's own banded distance of ``a`` and ``b`` is at most ``allowed``; it gives -1 above ``most``."""
-    return F.pmod(F.levenshtein(a, b, most), F.lit(1 << 20)) <= allowed
+def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line) of the lines with these ids and of some others. A bounded broadcast of hash buckets leaves out most others."""
+    bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
+    buckets = ids.select(bucket.alias("bucket")).distinct()
+    return _with_ids(docs).withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi").select("id", "line")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, line) of the lines with these ids. A bounded broadcast of hash buckets leaves most other lines unshuffled."""
-    bucket = F.pmod(F.xxhash64("id"), F.lit(1 << PRESELECT_BITS))
-    buckets = ids.select(bucket.alias("bucket")).distinct()
-    texts = _with_ids(docs).withColumn("bucket", bucket)
-    texts = texts.join(F.broadcast(buckets), "bucket", "left_semi").select("id", "line").distinct()
-    return materialize(texts.join(ids, "id", "left_semi"), "line-texts")
+    """(id, line) of the lines with these ids."""
+    return materialize(_some(docs, ids).distinct().join(ids, "id", "left_semi"), "line-texts")
 
 
 def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
@@ -324,26 +390,16 @@ def links(docs: DataFrame, edits: int | None = None) -> DataFrame:
 
     Without ``edits`` they follow from the length of the shorter line (:func:`edits_of`).
     """
-    pairs = materialize(candidates(docs, edits), "line-candidates")
-    texts = texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    # Lengths and letters are compared first, so that texts are joined only to pairs that these leave.
-    marks = texts.select("id", F.length("line").alias("long"), letter_counts(F.col("line")).alias("letters"))
-    both = pairs.join(marks.select(F.col("id").alias("a"), F.col("long").alias("long_a"), F.col("letters").alias("letters_a")), "a")
-    both = both.join(marks.select(F.col("id").alias("b"), F.col("long").alias("long_b"), F.col("letters").alias("letters_b")), "b")
-    # Lines of a pair of equal lengths come in any order; otherwise a is the shorter one.
-    reach = F.lit(edits) if edits else edits_of(F.col("long_a"))
-    both = both.where((F.col("long_b") - F.col("long_a")).between(F.lit(0), reach))
-    both = both.where(letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * reach)
-    likely = materialize(both.select("a", "b"), "line-likely")
+    likely = materialize(candidates(docs, edits), "line-likely")
+    texts = texts_of(docs, likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct())
     both = likely.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    # Lines of a pair of equal lengths come in any order; otherwise a is the shorter one.
     allowed = F.lit(edits) if edits else edits_of(F.length("line_a"))
-    most = edits or MOST_EDITS
-    # The distance below is interpreted character by character, so pairs that are out of reach leave by a compiled one.
-    both = both.where(_within(F.col("line_a"), F.col("line_b"), allowed, most))
-    distance = F.transform(F.array(banded_distance(F.col("line_a"), F.col("line_b"), most)), lambda d: F.when(d <= allowed, d))[0]
+    # Negative above the most edits.
+    distance = F.levenshtein("line_a", "line_b", edits or MOST_EDITS)
     ids = line_id(F.col("line_a")).alias("a"), line_id(F.col("line_b")).alias("b")
-    return both.select(*ids, distance.alias("distance")).where("distance IS NOT NULL")
+    return both.where(distance.between(F.lit(0), allowed)).select(*ids, distance.alias("distance"))
 
 
 def _placed(docs: DataFrame, edits: int | None, least: int) -> DataFrame:

@@ -177,6 +177,36 @@ def test_texts_are_joined_only_to_pairs_of_like_letters(spark, monkeypatch):
     assert written["line-likely"] < written["line-candidates"] / 10
 
 
+def test_lines_of_a_key_that_cannot_be_close_give_no_pairs(spark):
+    rng = random.Random(11)
+    start = "".join(rng.choice("bcdfgh ") for _ in range(60))
+    lines = [start + "".join(rng.choice(rng.choice(["aei", "nor", "st"])) for _ in range(60)) for _ in range(100)]
+    lines += [changed(rng, line, 4) for line in lines[:10]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    # All pairs of 110 lines share the start.
+    assert edit_join.candidates(docs, None).count() < 1000
+    assert edit_join.links(docs).count() == 10
+
+
+@pytest.mark.parametrize("edits, rows", [(3, 6), (4, 9), (5, 12)])
+def test_long_segments_have_fewer_rows_than_shifts(spark, edits, rows):
+    known = spark.createDataFrame([(1, "".join(random.Random(3).choices("abcdefgh", k=110)))], "id long, line string")
+    assert edit_join.keyed(known, edits).count() == rows
+
+
+def test_an_edit_changes_at_most_four_bits_of_a_sketch(spark):
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcé𝒳 ") for _ in range(n)) for n in [20, 60, 300] * 4]
+    pairs = [(line, changed(rng, line, n), n) for line in lines for n in range(1, 6)]
+    known = spark.createDataFrame([(2 * n + side, p[side]) for n, p in enumerate(pairs) for side in (0, 1)], "id long, line string")
+    found = {r["id"]: r[1:] for r in edit_join.sketches(known).collect()}
+    mask = (1 << 64) - 1
+    for n, (a, b, edits) in enumerate(pairs):
+        bits = sum(((x ^ y) & mask).bit_count() for x, y in zip(found[2 * n], found[2 * n + 1]))
+        assert bits <= 4 * edits - abs(len(a) - len(b))
+    assert any(any(x) for x in found.values())
+
+
 def test_kept_texts(spark):
     rows = [
         (2, "Yes.\n\nNo.\na line that is long enough\nYes.", 0), (1, "Yes.\na line that was long enough", 1),
