@@ -105,14 +105,12 @@ def keyed(known: DataFrame, edits: int | None, fine: bool = False) -> DataFrame:
     known = known.withColumn("below", _band(F.col("own") - 1))
 
     def moves(band: Column, bit: int) -> Column:
-        found = F.array().cast("array<int>")
-        for n in [edits] if edits else range(max(1, LEAST_CHARS // CHARS_PER_EDIT), MOST_EDITS + 1):
-            # Fine segments differ by their number, coarse ones by whether they have windows.
-            for part, windows in [(2, False), (4, False)] if fine else [(1, False), (1, True)]:
-                here = (F.lit(edits) if edits else edits_of(band)) == n
-                here = here & (_fineness(band) == part if fine else (band >= WINDOWED) == windows)
-                found = F.when(here, F.lit([m + bit for m in _moves(n, part, windows)])).otherwise(found)
-        return found
+        # One table, by the edits and by the number of fine segments, or whether coarse ones have windows: choices by `when` are too much code.
+        kinds = [(2, False), (4, False)] if fine else [(1, False), (1, True)]
+        table = F.lit([[m + bit for m in _moves(n, part, windows)] for n in range(1, MOST_EDITS + 1) for part, windows in kinds])
+        second = _fineness(band) == 4 if fine else band >= WINDOWED
+        place = ((F.lit(edits) if edits else edits_of(band)) - 1) * 2 + F.when(second, 2).otherwise(1)
+        return F.element_at(table, place)
 
     reach = F.lit(edits) if edits else edits_of(F.col("below"))
     near = (F.col("own") > LEAST_CHARS) & (F.col("long") - reach < F.col("own"))
